@@ -1 +1,248 @@
-"""MLlib training, selection and scoring jobs (inventory 2.8, V6, V7, C1, C2)."""
+"""MLlib training, selection and scoring jobs (inventory 2.8, V6, V7, C1, C2).
+
+All fits read one checkpointed training frame (``cleaning.model_frame``) whose stratified
+folds feed ``CrossValidator(foldCol=...)``, so every model family is compared on the same
+rows. Grids here are small; the functions take any grid. These keys have no SQL oracle
+(iterative fits); their tests live in tests/test_models.py.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
+import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from appraise.functions import rsem
+from appraise.operators import evaluate as V
+from appraise.operators import lasso as L
+from appraise.operators.sampling import bootstrap_weights, shuffle_column, split_stratified
+from appraise.operators.score import SUBMISSION_MONTHS, score_months
+from appraise.plans.cleaning import FEATURES, clean_properties, model_frame
+from appraise.plans.registry import register
+
+LABEL = "logerror"
+SEED = 2016
+PARALLEL_FITS = 4
+
+
+def assembler(features: Sequence[str] = FEATURES) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+
+
+def mae_evaluator(label: str = LABEL) -> RegressionEvaluator:
+    return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mae")
+
+
+def forest(num_trees: int = 20, max_depth: int = 6, mtry: int | None = None, label: str = LABEL) -> RandomForestRegressor:
+    return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=num_trees, maxDepth=max_depth,
+                                 featureSubsetStrategy=str(mtry) if mtry else "onethird", minInstancesPerNode=5,
+                                 seed=SEED)
+
+
+def cross_validate(frame: DataFrame, estimator, grid, folds: int = 3, parallelism: int = 4):
+    """caret ``train(trControl=cv)``: every grid point on the frame's own fold column."""
+    cv = CrossValidator(estimator=Pipeline(stages=[assembler(), estimator]), estimatorParamMaps=grid,
+                        evaluator=mae_evaluator(), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED)
+    return cv.fit(frame)
+
+
+def _grid_table(spark, cv_model, grid, names: dict, extra: dict | None = None) -> DataFrame:
+    rows = []
+    best = int(np.argmin(cv_model.avgMetrics))
+    for i, (pm, m, s) in enumerate(zip(grid, cv_model.avgMetrics, cv_model.stdMetrics)):
+        values = {names[p.name]: pm[p] for p in pm if p.name in names}
+        rows.append({**values, **(extra or {}), "mae_mean": float(m), "mae_sd": float(s), "best": i == best})
+    return spark.createDataFrame(rows)
+
+
+@register("rf_cv")
+def rf_cv(spark, sf):
+    """M1 + M4: forest regression, 3-fold CV over mtry, then the refit with the best mtry."""
+    frame = model_frame(spark, sf)
+    rf = forest()
+    grid = ParamGridBuilder().addGrid(rf.featureSubsetStrategy, ["2", "3", "4"]).build()
+    cvm = cross_validate(frame, rf, grid)
+    return _grid_table(spark, cvm, grid, {"featureSubsetStrategy": "mtry"}).select(
+        F.col("mtry").cast("int").alias("mtry"), "mae_mean", "mae_sd", "best")
+
+
+@register("rf_tree_sweep")
+def rf_tree_sweep(spark, sf):
+    """M3: CV error by number of trees at a fixed mtry (same seed)."""
+    frame = model_frame(spark, sf)
+    rf = forest(mtry=3)
+    grid = ParamGridBuilder().addGrid(rf.numTrees, [10, 20, 40]).build()
+    cvm = cross_validate(frame, rf, grid)
+    return _grid_table(spark, cvm, grid, {"numTrees": "num_trees"}).select("num_trees", "mae_mean", "mae_sd", "best")
+
+
+@register("rf_sign")
+def rf_sign(spark, sf):
+    """M2: forest classification of the sign of the target, scored on the out-of-bag rows of
+    five bootstrap resamples (weight = times drawn): accuracy and kappa per resample."""
+    frame = model_frame(spark, sf).withColumn("sign", rsem.sign_label(LABEL).cast("double"))
+    weights = bootstrap_weights(frame.select("sale_key"), "sale_key", 5)
+    data = frame.join(weights, "sale_key")
+    prep = assembler().transform(data).cache()
+    rows = []
+    for b in range(5):
+        part = prep.where(F.col("resample") == b)
+        clf = RandomForestClassifier(labelCol="sign", featuresCol="features", weightCol="weight", numTrees=20,
+                                     maxDepth=6, featureSubsetStrategy="3", seed=SEED)
+        model = clf.fit(part.where(F.col("weight") > 0).withColumn("weight", F.col("weight").cast("double")))
+        oob = model.transform(part.where(F.col("weight") == 0))
+        m = V.accuracy_kappa(oob, "sign", "prediction").first()
+        rows.append((b, int(m["n"]), float(m["accuracy"]), float(m["kappa"]) if m["kappa"] is not None else None))
+    prep.unpersist()
+    return spark.createDataFrame(rows, "resample int, n_oob long, accuracy double, kappa double")
+
+
+@register("gbt_grid")
+def gbt_grid(spark, sf):
+    """M5/M9: boosting grid depth x shrinkage x trees; the tree-count axis comes from ONE fit per
+    (depth, shrinkage, fold) at the largest count, scored per iteration on the held-out fold."""
+    frame = assembler().transform(model_frame(spark, sf))
+    depths, steps, tree_counts = [2, 4], [0.05, 0.1], [10, 20, 40]
+
+    def held_out_curve(task):
+        depth, step, f = task
+        gbt = GBTRegressor(labelCol=LABEL, featuresCol="features", maxIter=max(tree_counts), maxDepth=depth,
+                           stepSize=step, minInstancesPerNode=10, seed=SEED)
+        model = gbt.fit(frame.where(F.col("fold") != f))
+        return model.evaluateEachIteration(frame.where(F.col("fold") == f), "absolute")
+
+    tasks = [(d, s, f) for d in depths for s in steps for f in range(3)]
+    # independent fits run as concurrent Spark jobs (as CrossValidator(parallelism=...) does)
+    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
+        curves = dict(zip(tasks, pool.map(held_out_curve, tasks)))
+    rows = []
+    for depth in depths:
+        for step in steps:
+            errs = np.array([curves[(depth, step, f)] for f in range(3)])
+            for t in tree_counts:
+                col = errs[:, t - 1]
+                rows.append((depth, step, t, float(col.mean()), float(col.std(ddof=1))))
+    best = min(range(len(rows)), key=lambda i: rows[i][3])
+    return spark.createDataFrame([(*r, i == best) for i, r in enumerate(rows)],
+                                 "max_depth int, step_size double, num_trees int, mae_mean double, mae_sd double, best boolean")
+
+
+@register("boost_cv_rounds")
+def boost_cv_rounds(spark, sf, rounds: int = 60, patience: int = 20):
+    """M7/M8: per-round CV of boosting with row (0.7) and column (0.5) subsampling; train and
+    test MAE mean and sd (population, as xgb.cv) per round; best round with early stopping
+    after ``patience`` rounds without improvement; then the final fit at the best round."""
+    frame = assembler().transform(model_frame(spark, sf))
+
+    def curves(f):
+        gbt = GBTRegressor(labelCol=LABEL, featuresCol="features", maxIter=rounds, maxDepth=2, stepSize=0.1,
+                           minInstancesPerNode=10, subsamplingRate=0.7, featureSubsetStrategy="0.5", seed=SEED)
+        model = gbt.fit(frame.where(F.col("fold") != f))
+        return (model.evaluateEachIteration(frame.where(F.col("fold") != f), "absolute"),
+                model.evaluateEachIteration(frame.where(F.col("fold") == f), "absolute"))
+
+    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
+        results = list(pool.map(curves, range(3)))
+    tr, te = np.array([r[0] for r in results]), np.array([r[1] for r in results])
+    mean = te.mean(axis=0)
+    best, since = 0, 0
+    for r in range(1, rounds):
+        if mean[r] < mean[best]:
+            best, since = r, 0
+        else:
+            since += 1
+            if since >= patience:
+                break
+    rows = [(r + 1, float(tr[:, r].mean()), float(tr[:, r].std()), float(te[:, r].mean()), float(te[:, r].std()), r == best)
+            for r in range(rounds)]
+    return spark.createDataFrame(rows, "round int, train_mae_mean double, train_mae_sd double, "
+                                       "test_mae_mean double, test_mae_sd double, best boolean")
+
+
+@register("lasso_cv")
+def lasso_cv(spark, sf):
+    """M6: L1 path on 100 lambdas (10^-7 .. 10^2), no intercept, standardised; 10-fold CV
+    picks lambda.min; one aggregate pass over the data (see ``operators.lasso``)."""
+    frame = model_frame(spark, sf, folds=10)
+    rows, best, _coef = L.lasso_cv(frame, FEATURES, LABEL, "fold")
+    return spark.createDataFrame([(*r, r[0] == best) for r in rows],
+                                 "lambda double, cv_mse_mean double, cv_mse_sd double, n_nonzero int, best boolean")
+
+
+@register("lasso_coefficients")
+def lasso_coefficients(spark, sf):
+    """M6: coefficients of the refit at lambda.min (``coef(fit, s=lambda.min)``)."""
+    frame = model_frame(spark, sf, folds=10)
+    _rows, best, coef = L.lasso_cv(frame, FEATURES, LABEL, "fold")
+    return spark.createDataFrame([(c, float(b), best) for c, b in zip(FEATURES, coef)],
+                                 "feature string, coefficient double, lambda double")
+
+
+@register("leaderboard")
+def leaderboard(spark, sf):
+    """Linear, forest and boosting pipelines on the same folds, ranked by CV MAE;
+    the leader is the first row."""
+    frame = model_frame(spark, sf)
+    families = {
+        "linear": LinearRegression(labelCol=LABEL, featuresCol="features", regParam=1e-4, elasticNetParam=1.0),
+        "forest": forest(mtry=3),
+        "boosting": GBTRegressor(labelCol=LABEL, featuresCol="features", maxIter=20, maxDepth=3, stepSize=0.1, seed=SEED),
+    }
+    rows = []
+    for name, est in families.items():
+        cvm = cross_validate(frame, est, [{}])
+        rows.append((name, float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0])))
+    rows.sort(key=lambda r: r[1])
+    return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)], "rank int, model string, mae_mean double, mae_sd double")
+
+
+def final_forest(spark, sf, num_trees: int = 40, mtry: int = 3):
+    """M4: the forest refit on all training rows with the chosen parameters."""
+    frame = model_frame(spark, sf)
+    return Pipeline(stages=[assembler(), forest(num_trees=num_trees, mtry=mtry)]).fit(frame), frame
+
+
+@register("importance_gain")
+def importance_gain(spark, sf, k: int = 20):
+    """Impurity importance per feature of the final forest, largest first, top k."""
+    model, _ = final_forest(spark, sf)
+    imp = model.stages[-1].featureImportances.toArray()
+    rows = sorted(zip(FEATURES, map(float, imp)), key=lambda r: -r[1])[:k]
+    return spark.createDataFrame(rows, "feature string, importance double")
+
+
+@register("importance_permutation")
+def importance_permutation(spark, sf):
+    """V7: permutation importance. Fit on a 60 % stratified split; on the held-out rows shuffle
+    one feature at a time (repeatable hash permutation) and report the rise of the MAE."""
+    frame = model_frame(spark, sf)
+    split = split_stratified(frame, LABEL, "sale_key", 0.6)
+    train, test = split.where("is_train"), split.where(~F.col("is_train")).cache()
+    model = Pipeline(stages=[assembler(), forest(mtry=3)]).fit(train)
+    ev = mae_evaluator()
+    base = ev.evaluate(model.transform(test))
+    rows = []
+    for c in FEATURES:
+        shuffled = shuffle_column(test, c, "sale_key", salt=f"perm-{c}")
+        rows.append((c, float(ev.evaluate(model.transform(shuffled)) - base), float(base)))
+    test.unpersist()
+    rows.sort(key=lambda r: -r[1])
+    return spark.createDataFrame(rows, "feature string, mae_increase double, base_mae double")
+
+
+@register("predict_pivot")
+def predict_pivot(spark, sf):
+    """Score every property for the six submission months in one pass over the
+    exploded rows; wide result (parcel, 201610 .. 201712), 4 decimals."""
+    model, _ = final_forest(spark, sf)
+    props = clean_properties(spark, sf)
+    return score_months(model, props, "id_parcel", SUBMISSION_MONTHS, "month", "prediction", 4)

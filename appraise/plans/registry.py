@@ -22,5 +22,5 @@ def register(key: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so its queries register."""
-    from appraise.plans import (evaluation, linking, loading, modelling, profiling, recoding,  # noqa: F401
-                                repair, resampling)
+    from appraise.plans import (cleaning, evaluation, linking, loading, modelling, profiling,  # noqa: F401
+                                recoding, repair, resampling)
