@@ -149,7 +149,7 @@ def hot_deck(df: DataFrame, col: str, id_col: str, *, salt: str = "hotdeck", don
         rest = rest.withColumn(out, value)
     if n_donors == 0:
         return rest.unionByName(gaps.withColumn(out, value))
-    slots = hash_rank(donors, "_h", "_id", rank_col="_slot").select("_slot", "_donor")
+    slots = hash_rank(donors, "_h", "_id", rank_col="_slot", n_rows=n_donors).select("_slot", "_donor")
     if n_donors <= broadcast_donors_max:
         slots = F.broadcast(slots)
     gaps = gaps.withColumn("_gh", keyed_hash(f"{salt}:pick", key))

@@ -37,7 +37,7 @@ def _interval(v, lo, hi):
     return cond
 
 
-def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_rows: int = 1_000_000,
+def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_rows: int = 200_000,
                       accuracy: int = 10_000) -> dict[int, float]:
     """Values at the given 0-based ranks of the single double column ``_v`` (no NULLs)."""
     v = F.col("_v")
@@ -90,7 +90,7 @@ def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_row
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], *, window_rows: int = 1_000_000,
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], *, window_rows: int = 200_000,
                     accuracy: int = 10_000) -> list[float | None]:
     """Type-7 quantiles of ``col`` (NULLs ignored), exact, as python floats (driver-side scalars)."""
     values = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())

@@ -10,20 +10,32 @@ third of all rows is still spread over 2^bits bins.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BITS = 16
+ROWS_PER_BIN = 1 << 14
+MAX_BITS = 20
+
+
+def bits_for(n_rows: int) -> int:
+    """Hash bits so that a bin holds about ``ROWS_PER_BIN`` rows (at most 2^20 bins)."""
+    return min(MAX_BITS, max(0, math.ceil(math.log2(max(n_rows, 1) / ROWS_PER_BIN))))
 
 
 def hash_rank(df: DataFrame, hash_col: str, id_col: str, *, partition_cols: Sequence[str] = (),
-              rank_col: str = "_rank", count_col: str | None = None, bits: int = DEFAULT_BITS,
-              broadcast_offsets: bool | None = None) -> DataFrame:
+              rank_col: str = "_rank", count_col: str | None = None, bits: int | None = None,
+              n_rows: int | None = None, broadcast_offsets: bool | None = None) -> DataFrame:
     """Add ``rank_col`` = 0-based rank within ``partition_cols`` ordered by (hash, id); optionally
-    ``count_col`` = size of the group. ``hash_col`` must lie in [0, 2^32) and ``id_col`` be unique."""
+    ``count_col`` = size of the group. ``hash_col`` must lie in [0, 2^32) and ``id_col`` be unique.
+
+    The bin count follows the row count (``n_rows`` when the caller knows it, else one count):
+    about 16k rows per window partition, and an offset table of at most 2^20 rows per group."""
     parts = list(partition_cols)
+    if bits is None:
+        bits = bits_for(n_rows if n_rows is not None else df.count())
     binned = df.withColumn("_bin", F.shiftright(F.col(hash_col), 32 - bits))
     counts = binned.groupBy(*parts, "_bin").agg(F.count(F.lit(1)).alias("_bin_n"))
     before = Window.partitionBy(*parts).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -31,9 +43,10 @@ def hash_rank(df: DataFrame, hash_col: str, id_col: str, *, partition_cols: Sequ
     if count_col:
         offsets = offsets.withColumn(count_col, F.sum("_bin_n").over(Window.partitionBy(*parts)))
     offsets = offsets.drop("_bin_n")
-    # without group columns the offset table has at most 2^bits rows: a proven broadcast bound
+    # without group columns the offset table has at most 2^bits <= 2^16 rows: a proven broadcast
+    # bound; otherwise the planner / AQE pick the join from the real sizes
     if broadcast_offsets is None:
-        broadcast_offsets = not parts
+        broadcast_offsets = not parts and bits <= 16
     if broadcast_offsets:
         offsets = F.broadcast(offsets)
     local = Window.partitionBy(*parts, "_bin").orderBy(F.col(hash_col), F.col(id_col))

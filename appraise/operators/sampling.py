@@ -43,7 +43,7 @@ def split_random(df: DataFrame, id_col: str, share: float, *, salt: str = "rando
     """R ``sample(1:n, share*n)``: exactly ``floor(share * n)`` training rows, smallest hashes."""
     n = df.count()
     k = int(math.floor(share * n))
-    r = hash_rank(df.withColumn("_h", keyed_hash(salt, id_col)), "_h", id_col)
+    r = hash_rank(df.withColumn("_h", keyed_hash(salt, id_col)), "_h", id_col, n_rows=n)
     return r.withColumn(out_col, F.col("_rank") < F.lit(k)).drop("_h", "_rank")
 
 
@@ -68,7 +68,7 @@ def bootstrap_weights(df: DataFrame, id_col: str, resamples: int = 5, *, salt: s
     n = df.count()
     spark = df.sparkSession
     ranked = hash_rank(df.select(id_col).withColumn("_h", keyed_hash(rank_salt, id_col)), "_h", id_col,
-                       rank_col="_rank").select(id_col, "_rank")
+                       rank_col="_rank", n_rows=n).select(id_col, "_rank")
     draws = (spark.range(0, resamples * n)
              .select((F.col("id") / F.lit(n)).cast("bigint").cast("int").alias("resample"),
                      (F.col("id") % F.lit(n)).alias("_draw")))
@@ -85,8 +85,10 @@ def shuffle_column(df: DataFrame, col: str, id_col: str, *, salt: str = "permute
     The row at rank i in ``h(salt:a)`` order receives the value of the row at rank i in
     ``h(salt:b)`` order: two exact hash ranks and one equi-join on a unique rank."""
     out = out_col or col
-    a = hash_rank(df.withColumn("_ha", keyed_hash(f"{salt}:a", id_col)), "_ha", id_col, rank_col="_ra").drop("_ha")
+    n = df.count()
+    a = hash_rank(df.withColumn("_ha", keyed_hash(f"{salt}:a", id_col)), "_ha", id_col, rank_col="_ra",
+                  n_rows=n).drop("_ha")
     b = hash_rank(df.select(id_col, F.col(col).alias("_donor")).withColumn("_hb", keyed_hash(f"{salt}:b", id_col)),
-                  "_hb", id_col, rank_col="_ra").select("_ra", "_donor")
+                  "_hb", id_col, rank_col="_ra", n_rows=n).select("_ra", "_donor")
     res = a.join(b, "_ra", "inner")
     return res.withColumn(out, F.col("_donor").cast(df.schema[col].dataType)).drop("_ra", "_donor")

@@ -43,20 +43,18 @@ def _boxcox_expr(x: Column, lam: float) -> Column:
 def boxcox_profile(df: DataFrame, col: str, grid: list[float] = BOXCOX_GRID) -> DataFrame:
     """Profile log-likelihood of the Box-Cox family (Box & Cox 1964) for each lambda of the
     grid, up to a constant: -n/2 * ln(var_pop(t_lambda)) + (lambda - 1) * sum(ln x), over the
-    positive values of ``col``. All lambdas in ONE aggregate pass; var(x^l/l) is used for
-    var((x^l - 1)/l), which avoids cancellation near 1. Returns (lambda, loglik)."""
-    x = F.col(col)
-    pos = df.where(x > 0).select(x.cast("double").alias("_x"))
-    xv = F.col("_x")
-    aggs = [F.count(F.lit(1)).alias("_n"), F.sum(F.log(xv)).alias("_sl")]
-    for i, lam in enumerate(grid):
-        t = F.log(xv) if lam == 0 else F.pow(xv, F.lit(lam)) / F.lit(lam)
-        aggs.append(F.var_pop(t).alias(f"v{i}"))
-    one = pos.agg(*aggs)
-    rows = [F.struct(F.lit(lam).alias("lambda"),
-                     (F.lit(-0.5) * F.col("_n") * F.log(F.col(f"v{i}")) + F.lit(lam - 1.0) * F.col("_sl")).alias("loglik"))
-            for i, lam in enumerate(grid)]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.lambda", "r.loglik")
+    positive values of ``col``; var(x^l / l) stands for var((x^l - 1) / l) (no cancellation
+    near 1). Each row is paired with every lambda by a local ``explode`` and ONE grouped
+    aggregate does all lambdas: partial aggregation runs before the shuffle, so only
+    (lambda, partial state) rows leave each task. Returns (lambda, loglik)."""
+    x = F.col(col).cast("double")
+    lam = F.col("lambda")
+    pos = df.where(F.col(col) > 0).select(x.alias("_x"), F.log(x).alias("_lx"))
+    pos = pos.withColumn("lambda", F.explode(F.array(*[F.lit(float(v)) for v in grid])))
+    t = F.when(lam == 0, F.col("_lx")).otherwise(F.pow(F.col("_x"), lam) / lam)
+    agg = pos.groupBy("lambda").agg(F.count(F.lit(1)).alias("_n"), F.sum("_lx").alias("_sl"), F.var_pop(t).alias("_v"))
+    loglik = F.lit(-0.5) * F.col("_n") * F.log(F.col("_v")) + (lam - F.lit(1.0)) * F.col("_sl")
+    return agg.select("lambda", loglik.alias("loglik"))
 
 
 def boxcox_lambda(df: DataFrame, col: str, grid: list[float] = BOXCOX_GRID, fudge: float = 0.2) -> float:
