@@ -13,8 +13,9 @@ are found by narrowing instead:
    below / inside the new bounds. The interval shrinks by about ``accuracy / 4`` per
    round; the exact counts keep the answer exact even when the sketch is off (the
    step is then retried with a wider margin).
-3. Inside the final interval, group by value (ties collapse, so a value that holds a
-   third of all rows is one row) and walk the cumulative counts on that small table.
+3. Group the values inside the final intervals (ties collapse, so a value that holds a
+   third of all rows is one row) in one job; that table has at most
+   ``len(ranks) * window_rows`` rows, so it is fetched and its counts are walked.
 
 At n = 10^12 and the defaults this is about five scans; at test scale it is one scan
 plus the grouped pick.
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,7 +38,7 @@ def _interval(v, lo, hi):
     return cond
 
 
-def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_rows: int = 200_000,
+def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_rows: int = 100_000,
                       accuracy: int = 10_000) -> dict[int, float]:
     """Values at the given 0-based ranks of the single double column ``_v`` (no NULLs)."""
     v = F.col("_v")
@@ -69,32 +70,42 @@ def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_row
                 state[r] = [cand[r][0], cand[r][1], below, inside]
             else:  # sketch missed or did not shrink: widen the margin and retry
                 margin[r] *= 4.0
-    # final pick: one small grouped table per distinct interval
+    # final pick: all open intervals in ONE grouped job; its rows are distinct values inside the
+    # intervals, at most sum(inside) <= len(ranks) * window_rows, so fetching them is bounded
     out: dict[int, float] = {}
-    by_interval: dict[tuple, list[int]] = {}
+    open_ranks = []
     for r, (lo, hi, below, _inside) in state.items():
         if lo is not None and lo == hi:
             out[r] = float(lo)
         else:
-            by_interval.setdefault((lo, hi, below), []).append(r)
-    for (lo, hi, below), rs in by_interval.items():
-        grouped = values.where(_interval(v, lo, hi)).groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
-        # bounded table (<= window_rows rows): a single ordered window is fine here
-        w = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cum = grouped.withColumn("_end", F.sum("_c").over(w)).withColumn("_start", F.col("_end") - F.col("_c"))
-        picks = [F.max(F.when((F.col("_start") <= F.lit(r - below)) & (F.lit(r - below) < F.col("_end")), v)).alias(f"r{i}")
-                 for i, r in enumerate(rs)]
-        row = cum.agg(*picks).first()
-        for i, r in enumerate(rs):
-            out[r] = row[f"r{i}"]
+            open_ranks.append(r)
+    if open_ranks:
+        intervals = sorted({(state[r][0], state[r][1]) for r in open_ranks}, key=str)
+        cond = F.lit(False)
+        for lo, hi in intervals:
+            cond = cond | _interval(v, lo, hi)
+        grouped = sorted((row[0], row[1]) for row in
+                         values.where(cond).groupBy("_v").agg(F.count(F.lit(1))).collect())
+        for r in open_ranks:
+            lo, hi, below, _inside = state[r]
+            target, seen = r - below, 0
+            for value, count in grouped:
+                if (lo is not None and value < lo) or (hi is not None and value > hi):
+                    continue
+                if seen + count > target:
+                    out[r] = value
+                    break
+                seen += count
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], *, window_rows: int = 200_000,
-                    accuracy: int = 10_000) -> list[float | None]:
-    """Type-7 quantiles of ``col`` (NULLs ignored), exact, as python floats (driver-side scalars)."""
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], *, window_rows: int = 100_000,
+                    accuracy: int = 10_000, n: int | None = None) -> list[float | None]:
+    """Type-7 quantiles of ``col`` (NULLs ignored), exact, as python floats (driver-side scalars).
+    ``n`` = number of non-missing values when the caller already has it (saves one pass)."""
     values = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    n = values.count()
+    if n is None:
+        n = values.count()
     if n == 0:
         return [None for _ in probs]
     plan = []

@@ -17,10 +17,17 @@ from appraise.operators.quantiles import exact_quantiles
 from appraise.operators.ranking import hash_rank
 
 
-def with_strata(df: DataFrame, y_col: str, groups: int = 4, out_col: str = "stratum") -> DataFrame:
+def row_counts(df: DataFrame, col: str) -> tuple[int, int]:
+    """(all rows, rows with ``col`` present) in one pass."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count(col).alias("m")).first()
+    return int(r["n"]), int(r["m"])
+
+
+def with_strata(df: DataFrame, y_col: str, groups: int = 4, out_col: str = "stratum",
+                n_present: int | None = None) -> DataFrame:
     """Outcome strata (caret's numeric-outcome bins): cut at the (1/g .. (g-1)/g) exact quantiles,
     intervals closed on the right; 0-based stratum; a missing outcome is its own (NULL) stratum."""
-    cuts = exact_quantiles(df, y_col, [k / groups for k in range(1, groups)])
+    cuts = exact_quantiles(df, y_col, [k / groups for k in range(1, groups)], n=n_present)
     y = F.col(y_col)
     s = F.lit(0)
     for c in cuts:
@@ -32,8 +39,9 @@ def split_stratified(df: DataFrame, y_col: str, id_col: str, p: float, *, salt:
                      groups: int = 4, out_col: str = "is_train", keep_helpers: bool = False) -> DataFrame:
     """caret ``createDataPartition(y, p)``: in each outcome stratum the ``ceil(p * n_s)`` rows with
     the smallest ``h(salt, id)`` are the training rows."""
-    s = with_strata(df, y_col, groups, "_stratum").withColumn("_h", keyed_hash(salt, id_col))
-    r = hash_rank(s, "_h", id_col, partition_cols=["_stratum"], count_col="_n")
+    n, m = row_counts(df, y_col)
+    s = with_strata(df, y_col, groups, "_stratum", n_present=m).withColumn("_h", keyed_hash(salt, id_col))
+    r = hash_rank(s, "_h", id_col, partition_cols=["_stratum"], count_col="_n", n_rows=n)
     out = r.withColumn(out_col, F.col("_rank") < F.ceil(F.lit(float(p)) * F.col("_n")))
     return out if keep_helpers else out.drop("_stratum", "_h", "_rank", "_n")
 
@@ -51,8 +59,9 @@ def stratified_folds(df: DataFrame, y_col: str, id_col: str, k: int = 3, *, salt
                      groups: int = 4, out_col: str = "fold") -> DataFrame:
     """caret ``createFolds(y, k)``: balanced 0-based folds inside each outcome stratum
     (rank in hash order mod k). Usable as ``CrossValidator(foldCol=...)``."""
-    s = with_strata(df, y_col, groups, "_stratum").withColumn("_h", keyed_hash(salt, id_col))
-    r = hash_rank(s, "_h", id_col, partition_cols=["_stratum"])
+    n, m = row_counts(df, y_col)
+    s = with_strata(df, y_col, groups, "_stratum", n_present=m).withColumn("_h", keyed_hash(salt, id_col))
+    r = hash_rank(s, "_h", id_col, partition_cols=["_stratum"], n_rows=n)
     return r.withColumn(out_col, (F.col("_rank") % F.lit(k)).cast("int")).drop("_stratum", "_h", "_rank")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -43,18 +44,35 @@ def _boxcox_expr(x: Column, lam: float) -> Column:
 def boxcox_profile(df: DataFrame, col: str, grid: list[float] = BOXCOX_GRID) -> DataFrame:
     """Profile log-likelihood of the Box-Cox family (Box & Cox 1964) for each lambda of the
     grid, up to a constant: -n/2 * ln(var_pop(t_lambda)) + (lambda - 1) * sum(ln x), over the
-    positive values of ``col``; var(x^l / l) stands for var((x^l - 1) / l) (no cancellation
-    near 1). Each row is paired with every lambda by a local ``explode`` and ONE grouped
-    aggregate does all lambdas: partial aggregation runs before the shuffle, so only
-    (lambda, partial state) rows leave each task. Returns (lambda, loglik)."""
+    positive values of ``col``.
+
+    Two aggregate passes, both plain sums (map-side partial aggregation, small codegen):
+    (1) n, sum(ln x) and the geometric mean g; (2) for every lambda the first two moments of
+    d = t_lambda - t_lambda(g), i.e. the transform centred near its mean, so
+    var = (S2 - S1^2 / n) / n has no cancellation. Returns a (lambda, loglik) table."""
     x = F.col(col).cast("double")
-    lam = F.col("lambda")
-    pos = df.where(F.col(col) > 0).select(x.alias("_x"), F.log(x).alias("_lx"))
-    pos = pos.withColumn("lambda", F.explode(F.array(*[F.lit(float(v)) for v in grid])))
-    t = F.when(lam == 0, F.col("_lx")).otherwise(F.pow(F.col("_x"), lam) / lam)
-    agg = pos.groupBy("lambda").agg(F.count(F.lit(1)).alias("_n"), F.sum("_lx").alias("_sl"), F.var_pop(t).alias("_v"))
-    loglik = F.lit(-0.5) * F.col("_n") * F.log(F.col("_v")) + (lam - F.lit(1.0)) * F.col("_sl")
-    return agg.select("lambda", loglik.alias("loglik"))
+    pos = df.where(F.col(col) > 0).select(F.log(x).alias("_lx"))
+    first = pos.agg(F.count(F.lit(1)).alias("n"), F.sum("_lx").alias("sl")).first()
+    n, sl = int(first["n"]), first["sl"]
+    spark = df.sparkSession
+    if n == 0:
+        return spark.createDataFrame([(float(v), None) for v in grid], "lambda double, loglik double")
+    mlog = sl / n
+    aggs = []
+    for i, lam in enumerate(grid):
+        # x^lambda as exp(lambda ln x): one log per row, then one exp per lambda (cheaper than pow)
+        if lam == 0:
+            d = F.col("_lx") - F.lit(mlog)
+        else:
+            d = (F.exp(F.lit(float(lam)) * F.col("_lx")) - F.lit(math.exp(lam * mlog))) / F.lit(float(lam))
+        aggs += [F.sum(d).alias(f"s{i}"), F.sum(d * d).alias(f"q{i}")]
+    mom = pos.agg(*aggs).first()
+    rows = []
+    for i, lam in enumerate(grid):
+        s1, s2 = mom[f"s{i}"], mom[f"q{i}"]
+        var = (s2 - s1 * s1 / n) / n
+        rows.append((float(lam), -0.5 * n * math.log(var) + (lam - 1.0) * sl if var > 0 else None))
+    return spark.createDataFrame(rows, "lambda double, loglik double")
 
 
 def boxcox_lambda(df: DataFrame, col: str, grid: list[float] = BOXCOX_GRID, fudge: float = 0.2) -> float:
