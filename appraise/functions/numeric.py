@@ -19,7 +19,7 @@ def _col(c) -> Column:
 
 def fixed_units(c, digits: int) -> Column:
     """The value in integer units of 10^-digits (exact for values that carry ``digits`` decimals)."""
-    return F.round(_col(c) * F.lit(float(10 ** digits))).cast("bigint")
+    return F.rint(_col(c) * F.lit(float(10 ** digits))).cast("bigint")
 
 
 def fixed_sum(c, digits: int) -> Column:

@@ -19,6 +19,18 @@ def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if bounded(df, max_rows) else df
 
 
+def broadcast_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """A small *derived* table (an aggregate over few groups) made a broadcast side with a
+    proven bound: it is computed once, at most ``max_rows + 1`` rows are fetched, and when the
+    bound holds the rows become a local relation that Spark broadcasts (the big side is then
+    joined in place, no shuffle of it). Past the bound the table is returned as is and the
+    planner / AQE shuffle both sides."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def join_facts(facts: DataFrame, props: DataFrame, key: str = "id_parcel", how: str = "inner") -> DataFrame:
     """Facts to properties: ``inner`` (dplyr ``inner_join``) or ``right`` with properties on the
     left (``merge(p, t, all.y=TRUE)``: every fact row kept)."""

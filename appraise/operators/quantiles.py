@@ -25,6 +25,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +41,9 @@ def _interval(v, lo, hi):
 
 
 def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_rows: int = 100_000,
-                      accuracy: int = 10_000) -> dict[int, float]:
-    """Values at the given 0-based ranks of the single double column ``_v`` (no NULLs)."""
+                      accuracy: int = 10_000, seeds: dict | None = None) -> dict[int, float]:
+    """Values at the given 0-based ranks of the single double column ``_v`` (no NULLs).
+    ``seeds``: candidate (low, high) bounds per rank from an earlier sketch (skips one pass)."""
     v = F.col("_v")
     # rank -> [lo, hi, below, inside]; the interval [lo, hi] holds ranks below .. below+inside-1
     state = {r: [None, None, 0, n] for r in sorted(set(ranks))}
@@ -50,14 +53,24 @@ def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_row
                    if inside > window_rows and not (lo is not None and lo == hi)]
         if not pending:
             break
-        aggs = []
-        for i, r in enumerate(pending):
-            lo, hi, below, inside = state[r]
-            f = (r - below) / inside
-            fl, fh = max(0.0, f - margin[r]), min(1.0, f + margin[r])
-            aggs.append(F.percentile_approx(F.when(_interval(v, lo, hi), v), [fl, fh], accuracy).alias(f"q{i}"))
-        approx = values.agg(*aggs).first()
-        cand = {r: tuple(approx[f"q{i}"]) for i, r in enumerate(pending)}
+        # one sketch per distinct interval (in the first round every rank shares the full range)
+        groups: dict[tuple, list[int]] = {}
+        for r in pending:
+            groups.setdefault((state[r][0], state[r][1]), []).append(r)
+        aggs, wanted = [], {}
+        for gi, ((lo, hi), rs) in enumerate(groups.items()):
+            fracs = []
+            for r in rs:
+                _lo, _hi, below, inside = state[r]
+                f = (r - below) / inside
+                wanted[r] = (gi, len(fracs))
+                fracs += [max(0.0, f - margin[r]), min(1.0, f + margin[r])]
+            aggs.append(F.percentile_approx(F.when(_interval(v, lo, hi), v), fracs, accuracy).alias(f"q{gi}"))
+        if seeds is not None and all(r in seeds for r in pending):
+            cand, seeds = {r: seeds[r] for r in pending}, None
+        else:
+            approx = values.agg(*aggs).first()
+            cand = {r: (approx[f"q{gi}"][j], approx[f"q{gi}"][j + 1]) for r, (gi, j) in wanted.items()}
         counts = []
         for i, r in enumerate(pending):
             a, b = cand[r]
@@ -84,18 +97,20 @@ def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_row
         cond = F.lit(False)
         for lo, hi in intervals:
             cond = cond | _interval(v, lo, hi)
-        grouped = sorted((row[0], row[1]) for row in
-                         values.where(cond).groupBy("_v").agg(F.count(F.lit(1))).collect())
+        fetched = values.where(cond).groupBy("_v").agg(F.count(F.lit(1)).alias("_c")).collect()
+        vals = np.array([row[0] for row in fetched], dtype=float)
+        cnts = np.array([row[1] for row in fetched], dtype=np.int64)
+        order = np.argsort(vals, kind="stable")
+        vals, cnts = vals[order], cnts[order]
         for r in open_ranks:
             lo, hi, below, _inside = state[r]
-            target, seen = r - below, 0
-            for value, count in grouped:
-                if (lo is not None and value < lo) or (hi is not None and value > hi):
-                    continue
-                if seen + count > target:
-                    out[r] = value
-                    break
-                seen += count
+            keep = np.ones(len(vals), dtype=bool)
+            if lo is not None:
+                keep &= vals >= lo
+            if hi is not None:
+                keep &= vals <= hi
+            v_in, ends = vals[keep], np.cumsum(cnts[keep])
+            out[r] = float(v_in[int(np.searchsorted(ends, r - below, side="right"))])
     return out
 
 
@@ -104,10 +119,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], *, window_rows:
     """Type-7 quantiles of ``col`` (NULLs ignored), exact, as python floats (driver-side scalars).
     ``n`` = number of non-missing values when the caller already has it (saves one pass)."""
     values = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    first_round = None
     if n is None:
-        n = values.count()
-    if n == 0:
-        return [None for _ in probs]
+        # count and a first sketch at p +- margin in ONE pass; the sketch is only used when the
+        # column is too large to pick from directly
+        margin = 2.0 / accuracy
+        fracs = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
+        row = values.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", fracs, accuracy).alias("q")).first()
+        n, first_round = int(row["n"]), row["q"]
     plan = []
     for p in probs:
         h = (n - 1) * p
@@ -115,7 +134,13 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], *, window_rows:
         j = min(i + 1, n - 1)
         plan.append((i, j, h - i))
     ranks = sorted({i for i, _, _ in plan} | {j for _, j, d in plan if d > 0})
-    stats = exact_order_stats(values, ranks, n, window_rows=window_rows, accuracy=accuracy)
+    seeds = None
+    if first_round is not None and n > window_rows:
+        seeds = {}
+        for k, (i, j, d) in enumerate(plan):
+            for r in (i, j):
+                seeds[r] = (first_round[2 * k], first_round[2 * k + 1])
+    stats = exact_order_stats(values, ranks, n, window_rows=window_rows, accuracy=accuracy, seeds=seeds)
     result = []
     for i, j, d in plan:
         lo = stats[i]

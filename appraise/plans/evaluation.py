@@ -15,7 +15,7 @@ from appraise.functions import rsem
 from appraise.functions.numeric import fixed_mean
 from appraise.operators import evaluate as V
 from appraise.operators import sampling as R
-from appraise.operators.joins import maybe_broadcast
+from appraise.operators.joins import broadcast_small
 from appraise.operators.score import alias_months, pivot_months, repeat_columns
 from appraise.plans.registry import register
 from appraise.plans.sqltext import PROPS, SALES, strata_cte, with_
@@ -27,9 +27,9 @@ ALPHAS = [0.0, 0.25, 0.5, 0.75, 1.0]
 def group_mean_predictions(spark, sf):
     """(sale_key, flag, obs, pred): pred = group mean, joined from a small aggregated table."""
     s = S.sales(spark, sf).select("sale_key", "flag", "logerror")
-    # the group-mean table is small but derived: AQE turns the join into a broadcast from its
-    # measured size at run time (no extra pass to check it)
-    means = s.groupBy("flag").agg(F.avg("logerror").alias("pred"))
+    # one row per flag level: computed once, broadcast behind a row bound (a low-cardinality key
+    # holds a third of the rows each, so a shuffled join here would be three hot tasks)
+    means = broadcast_small(s.groupBy("flag").agg(F.avg("logerror").alias("pred")), 100_000)
     return s.join(means, "flag").select("sale_key", "flag", F.col("logerror").alias("obs"), "pred")
 
 
@@ -109,7 +109,7 @@ def fold_errors(spark, sf):
             .select("fold", "flag",
                     ((F.col("sg") - F.col("sfg")) / (F.col("ng") - F.col("nfg"))).alias("m_group"),
                     ((F.col("sa") - F.col("sf")) / (F.col("na") - F.col("nf"))).alias("m_all")))
-    rows = folded.join(maybe_broadcast(excl, 100_000), ["fold", "flag"])
+    rows = folded.join(broadcast_small(excl, 100_000), ["fold", "flag"])
     rows = rows.withColumn("alpha", F.explode(F.array(*[F.lit(a) for a in ALPHAS])))
     pred = F.col("alpha") * F.col("m_group") + (F.lit(1.0) - F.col("alpha")) * F.col("m_all")
     return rows.groupBy("alpha", "fold").agg(F.avg(F.abs(F.col("logerror") - pred)).alias("mae"))
