@@ -80,13 +80,20 @@ def column_quality(df: DataFrame, cols: Sequence[str], exact_distinct: bool = Fa
     })
 
 
-def correlated_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns, one aggregate pass: (a, b, corr)."""
+def column_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """For every pair of columns, in one aggregate pass: Pearson correlation (numeric pairs) and
+    the number of rows where exactly one of the two is missing (0 = same missingness).
+    Returns (a, b, corr, missing_mismatch)."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
-    names = [f"{a}__{b}" for a, b in pairs]
-    long = wide.unpivot([], names, "pair", "corr")
-    return long.select(F.split("pair", "__")[0].alias("a"), F.split("pair", "__")[1].alias("b"), "corr")
+    aggs = []
+    for a, b in pairs:
+        corr = (F.corr(F.col(a).cast("double"), F.col(b).cast("double")) if _numeric(df, a) and _numeric(df, b)
+                else F.lit(None).cast("double"))
+        mismatch = F.count_if(F.col(a).isNull() != F.col(b).isNull())
+        aggs.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), corr.alias("corr"),
+                             mismatch.alias("missing_mismatch")).alias(f"{a}__{b}"))
+    wide = df.agg(*aggs)
+    return wide.unpivot([], [f"{a}__{b}" for a, b in pairs], "pair", "s").select("s.*")
 
 
 def drop_rules(quality: DataFrame, max_share_missing: float = 0.9) -> DataFrame:

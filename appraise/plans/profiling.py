@@ -99,3 +99,25 @@ def drop_rules(spark, sf):
 def topk(spark, sf):
     """The top 20 rows by a measure (ties by key)."""
     return A.topk(S.sales(spark, sf).select("sale_key", "logerror"), "logerror", 20, ["sale_key"])
+
+
+PAIR_COLS = ["region_zip", "tax_total", "zoning", "build_year"]
+
+
+def _pairs_sql() -> str:
+    numeric = {"region_zip", "tax_total", "build_year"}
+    parts = []
+    for i, a in enumerate(PAIR_COLS):
+        for b in PAIR_COLS[i + 1:]:
+            corr = f"round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 8)" if a in numeric and b in numeric \
+                else "CAST(NULL AS DOUBLE)"
+            parts.append(f"SELECT '{a}' AS a, '{b}' AS b, {corr} AS corr, "
+                         f"count(*) FILTER (WHERE ({a} IS NULL) <> ({b} IS NULL)) AS missing_mismatch FROM props")
+    return " UNION ALL ".join(parts)
+
+
+@register("column_pairs", with_(PROPS) + "\n" + _pairs_sql())
+def column_pairs(spark, sf):
+    """Correlated pairs and same-missingness pairs behind the drop lists, one pass."""
+    out = A.column_pairs(S.properties(spark, sf), PAIR_COLS)
+    return out.select("a", "b", F.round("corr", 8).alias("corr"), "missing_mismatch")
