@@ -150,3 +150,27 @@ def test_lookup_fill_only_fills_missing(spark):
     lk = spark.createDataFrame([(10, 20, 99)], "a int, b int, z int")
     out = {r["id"]: r["z"] for r in I.fill_lookup(df, lk, ["a", "b"], "z", "z").collect()}
     assert out == {1: 99, 2: 7, 3: None}
+
+
+def test_skew_join_equals_plain_join_with_a_hot_key(spark):
+    from appraise.operators.joins import hot_keys, skew_join
+    facts = spark.range(3000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))).alias("k"),
+                                     F.col("id").alias("v"))
+    props = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("attr"))
+    assert hot_keys(facts, "k", 0.01) == [7]
+    for how in ("inner", "left"):
+        a = sorted(skew_join(facts, props, "k", how, buckets=8).collect())
+        b = sorted(facts.join(props, "k", how).collect())
+        assert a == b
+
+
+def test_broadcast_small_respects_bound(spark):
+    from appraise.operators.joins import broadcast_small
+    df = spark.range(50)
+    assert broadcast_small(df, 100).count() == 50
+    assert broadcast_small(df, 10) is df
+
+
+def test_hash_rank_bits_follow_rows():
+    from appraise.operators.ranking import bits_for
+    assert bits_for(1000) == 0 and bits_for(10**6) == 6 and bits_for(10**12) == 20
