@@ -32,6 +32,23 @@ def level_codes(df: DataFrame, col: str, out_col: str | None = None, first_code:
     return coded.withColumn(out, F.when(F.col("_level").isNull(), F.lit(None)).otherwise(value)).drop("_level", "_code")
 
 
+def level_codes_many(df: DataFrame, specs: dict) -> DataFrame:
+    """``level_codes`` for several columns with ONE indexer fit (one pass for all level lists).
+    ``specs``: {column: (out_column, first_code or None)}."""
+    cols = list(specs)
+    tmp = df.withColumns({f"_lv_{c}": F.col(c).cast("string") for c in cols})
+    indexer = StringIndexer(inputCols=[f"_lv_{c}" for c in cols], outputCols=[f"_cd_{c}" for c in cols],
+                            stringOrderType="alphabetAsc", handleInvalid="keep")
+    model = indexer.fit(tmp)  # NULLs are not levels
+    coded = model.transform(tmp)
+    out = {}
+    for c, (out_col, first_code) in specs.items():
+        code = F.col(f"_cd_{c}").cast("int")
+        value = code + F.lit(1) if first_code is None else F.when(code == 0, F.lit(first_code)).otherwise(code)
+        out[out_col] = F.when(F.col(f"_lv_{c}").isNull(), F.lit(None)).otherwise(value)
+    return coded.withColumns(out).drop(*[f"_lv_{c}" for c in cols], *[f"_cd_{c}" for c in cols])
+
+
 def one_hot(df: DataFrame, col: str, prefix: str | None = None, as_columns: bool = True) -> DataFrame:
     """R ``model.matrix(~x)[, -1]``: 0/1 indicator per level, the first level (in sorted
     order) dropped. MLlib drops the *last* index, so levels are indexed in descending order."""

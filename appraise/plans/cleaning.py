@@ -40,8 +40,7 @@ def clean_properties(spark, sf) -> DataFrame:
     p = S.properties(spark, sf)
     p = I.fill_sentinel(p, ["zoning"])
     p = I.impute_mean(p, ["tax_total"])
-    p = E.level_codes(p, "zoning", "zoning_code", first_code=-999)
-    p = E.level_codes(p, "status", "status_code")
+    p = E.level_codes_many(p, {"zoning": ("zoning_code", -999), "status": ("status_code", None)})
     return p.select("id_parcel", *PROPERTY_FEATURES)
 
 

@@ -86,3 +86,10 @@ def test_ids_print_as_digits(spark):
     df = spark.createDataFrame([(12000000.0,)], "id double")
     assert df.select(C.id_text("id")).first()[0] == "12000000"
     assert df.select(F.col("id").cast("string")).first()[0] != "12000000"
+
+
+def test_level_codes_many_equals_single(spark):
+    df = spark.createDataFrame([("10", "b"), ("2", None), ("-1", "a"), (None, "b")], "z string, s string")
+    many = E.level_codes_many(df, {"z": ("zc", -999), "s": ("sc", None)}).collect()
+    one = E.level_codes(E.level_codes(df, "z", "zc", first_code=-999), "s", "sc").collect()
+    assert sorted(map(tuple, many), key=str) == sorted(map(tuple, one), key=str)
