@@ -35,12 +35,24 @@ def with_strata(df: DataFrame, y_col: str, groups: int = 4, out_col: str = "stra
     return df.withColumn(out_col, F.when(y.isNull(), F.lit(None)).otherwise(s).cast("int"))
 
 
+def _categorical(df: DataFrame, y_col: str) -> bool:
+    from pyspark.sql import types as T
+    return isinstance(df.schema[y_col].dataType, (T.StringType, T.BooleanType))
+
+
 def split_stratified(df: DataFrame, y_col: str, id_col: str, p: float, *, salt: str = "split",
-                     groups: int = 4, out_col: str = "is_train", keep_helpers: bool = False) -> DataFrame:
+                     groups: int = 4, out_col: str = "is_train", keep_helpers: bool = False,
+                     categorical: bool | None = None) -> DataFrame:
     """caret ``createDataPartition(y, p)``: in each outcome stratum the ``ceil(p * n_s)`` rows with
-    the smallest ``h(salt, id)`` are the training rows."""
+    the smallest ``h(salt, id)`` are the training rows. Strata are quantile bins of a numeric y,
+    or the classes themselves when y is categorical (text / boolean, or ``categorical=True``)."""
     n, m = row_counts(df, y_col)
-    s = with_strata(df, y_col, groups, "_stratum", n_present=m).withColumn("_h", keyed_hash(salt, id_col))
+    categorical = _categorical(df, y_col) if categorical is None else categorical
+    if categorical:
+        s = df.withColumn("_stratum", F.col(y_col).cast("string"))
+    else:
+        s = with_strata(df, y_col, groups, "_stratum", n_present=m)
+    s = s.withColumn("_h", keyed_hash(salt, id_col))
     r = hash_rank(s, "_h", id_col, partition_cols=["_stratum"], count_col="_n", n_rows=n)
     out = r.withColumn(out_col, F.col("_rank") < F.ceil(F.lit(float(p)) * F.col("_n")))
     return out if keep_helpers else out.drop("_stratum", "_h", "_rank", "_n")

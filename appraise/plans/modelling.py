@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -48,9 +48,19 @@ def forest(num_trees: int = 20, max_depth: int = 6, mtry: int | None = None, lab
                                  seed=SEED)
 
 
-def cross_validate(frame: DataFrame, estimator, grid, folds: int = 3, parallelism: int = 4):
+def pipeline(estimator, scale: bool = False) -> Pipeline:
+    """Features → (optional centre-and-scale) → estimator. Inside ``CrossValidator`` the scaler is
+    refit on each training part, so held-out rows never feed the statistics
+    (``train(preProcess=c('center','scale'))``)."""
+    if not scale:
+        return Pipeline(stages=[assembler(), estimator])
+    scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
+    return Pipeline(stages=[assembler().setOutputCol("raw_features"), scaler, estimator])
+
+
+def cross_validate(frame: DataFrame, estimator, grid, folds: int = 3, parallelism: int = 4, scale: bool = False):
     """caret ``train(trControl=cv)``: every grid point on the frame's own fold column."""
-    cv = CrossValidator(estimator=Pipeline(stages=[assembler(), estimator]), estimatorParamMaps=grid,
+    cv = CrossValidator(estimator=pipeline(estimator, scale), estimatorParamMaps=grid,
                         evaluator=mae_evaluator(), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED)
     return cv.fit(frame)
 
@@ -222,7 +232,7 @@ def leaderboard(spark, sf):
     }
     rows = []
     for name, est in families.items():
-        cvm = cross_validate(frame, est, [{}])
+        cvm = cross_validate(frame, est, [{}], scale=(name == "linear"))
         rows.append((name, float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0])))
     rows.sort(key=lambda r: r[1])
     return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)], "rank int, model string, mae_mean double, mae_sd double")

@@ -174,3 +174,21 @@ def test_broadcast_small_respects_bound(spark):
 def test_hash_rank_bits_follow_rows():
     from appraise.operators.ranking import bits_for
     assert bits_for(1000) == 0 and bits_for(10**6) == 6 and bits_for(10**12) == 20
+
+
+def test_class_strata_for_a_categorical_outcome(spark):
+    s = S.sales(spark, SF_SMALL).select("sale_key", "flag")
+    out = R.split_stratified(s, "flag", "sale_key", 0.75, keep_helpers=True)
+    for r in out.groupBy("flag").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_train").cast("int")).alias("t")).collect():
+        assert r["t"] == math.ceil(0.75 * r["n"])
+
+
+def test_scaler_inside_cv_uses_training_rows_only(spark):
+    from pyspark.ml.regression import LinearRegression
+    from appraise.plans.modelling import pipeline
+    df = spark.createDataFrame([(float(i), float(i % 7), 2.0 * i) for i in range(60)],
+                               "month double, tax_total double, logerror double")
+    df = df.withColumns({c: F.lit(1.0) for c in ["zoning_code", "status_code", "build_year", "region_zip"]})
+    model = pipeline(LinearRegression(labelCol="logerror"), scale=True).fit(df.where("month < 30"))
+    mean = model.stages[1].mean.toArray()[0]
+    assert mean == pytest.approx(14.5)
