@@ -18,7 +18,7 @@ from appraise.operators import sampling as R
 from appraise.operators.joins import broadcast_small
 from appraise.operators.score import alias_months, pivot_months, repeat_columns
 from appraise.plans.registry import register
-from appraise.plans.sqltext import PROPS, SALES, strata_cte, with_
+from appraise.plans.sqltext import SALES, strata_cte, with_
 from appraise.sources import standins as S
 
 ALPHAS = [0.0, 0.25, 0.5, 0.75, 1.0]
@@ -94,8 +94,22 @@ def kappa(spark, sf):
 
 # ---- CV table of the shrunken group mean -------------------------------------------------
 
+_FOLD_ERRORS: dict = {}
+
+
 def fold_errors(spark, sf):
-    """(alpha, fold, mae): each fold scored by means of the other two folds."""
+    """(alpha, fold, mae): each fold scored by means of the other two folds. The table has
+    alphas x folds rows; it is computed once per application and input and kept as a local
+    relation (fetched behind that bound), shared by the CV table, the summary and the argmin."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _FOLD_ERRORS:
+        table, folded = _fold_errors(spark, sf)
+        _FOLD_ERRORS[key] = spark.createDataFrame(table.limit(len(ALPHAS) * 3).collect(), table.schema)
+        folded.unpersist()
+    return _FOLD_ERRORS[key]
+
+
+def _fold_errors(spark, sf):
     s = S.sales(spark, sf).select("sale_key", "flag", "logerror")
     # reused by the statistics and by the scoring pass: persisted once (recomputable on loss)
     folded = R.stratified_folds(s, "logerror", "sale_key", 3).persist()
@@ -112,7 +126,8 @@ def fold_errors(spark, sf):
     rows = folded.join(broadcast_small(excl, 100_000), ["fold", "flag"])
     rows = rows.withColumn("alpha", F.explode(F.array(*[F.lit(a) for a in ALPHAS])))
     pred = F.col("alpha") * F.col("m_group") + (F.lit(1.0) - F.col("alpha")) * F.col("m_all")
-    return rows.groupBy("alpha", "fold").agg(F.avg(F.abs(F.col("logerror") - pred)).alias("mae"))
+    out = rows.groupBy("alpha", "fold").agg(F.avg(F.abs(F.col("logerror") - pred)).alias("mae"))
+    return out, folded
 
 
 _ALPHA_VALUES = ", ".join(f"({a})" for a in ALPHAS)

@@ -238,10 +238,17 @@ def leaderboard(spark, sf):
     return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)], "rank int, model string, mae_mean double, mae_sd double")
 
 
+_FINAL: dict = {}
+
+
 def final_forest(spark, sf, num_trees: int = 40, mtry: int = 3):
-    """M4: the forest refit on all training rows with the chosen parameters."""
+    """M4: the forest refit on all training rows with the chosen parameters. Fitted once per
+    application and input; importance and scoring use the same fitted model, as the reference does."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), num_trees, mtry)
     frame = model_frame(spark, sf)
-    return Pipeline(stages=[assembler(), forest(num_trees=num_trees, mtry=mtry)]).fit(frame), frame
+    if key not in _FINAL:
+        _FINAL[key] = Pipeline(stages=[assembler(), forest(num_trees=num_trees, mtry=mtry)]).fit(frame)
+    return _FINAL[key], frame
 
 
 @register("importance_gain")

@@ -66,3 +66,22 @@ def test_score_months_is_wide(spark):
 def test_model_queries_run(spark, key):
     df = E.queries()[key](spark, SF_SMALL)
     assert df.count() > 0
+
+
+def test_depth_one_tree_is_the_best_single_split(spark):
+    from pyspark.ml.regression import DecisionTreeRegressor
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 20, size=400).astype(float)
+    y = np.where(x > 12, 3.0, 0.0) + rng.normal(scale=0.5, size=400)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    feats = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    tree = DecisionTreeRegressor(labelCol="y", maxDepth=1, maxBins=64).fit(feats)
+    got = np.array([r.prediction for r in tree.transform(feats).select("prediction").collect()])
+    best, best_sse = None, np.inf
+    for t in np.unique(x)[:-1]:
+        left, right = y[x <= t], y[x > t]
+        sse = ((left - left.mean()) ** 2).sum() + ((right - right.mean()) ** 2).sum()
+        if sse < best_sse:
+            best, best_sse = t, sse
+    want = np.where(x <= best, y[x <= best].mean(), y[x > best].mean())
+    assert np.allclose(got, want)
