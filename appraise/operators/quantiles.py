@@ -118,15 +118,26 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], *, window_rows:
                     accuracy: int = 10_000, n: int | None = None) -> list[float | None]:
     """Type-7 quantiles of ``col`` (NULLs ignored), exact, as python floats (driver-side scalars).
     ``n`` = number of non-missing values when the caller already has it (saves one pass)."""
+    return quantiles_and_counts(df, col, probs, window_rows=window_rows, accuracy=accuracy, n=n)[0]
+
+
+def quantiles_and_counts(df: DataFrame, col: str, probs: list[float], *, window_rows: int = 100_000,
+                         accuracy: int = 10_000, n: int | None = None) -> tuple[list[float | None], int, int | None]:
+    """``exact_quantiles`` plus (rows present, all rows). Without ``n`` the first pass counts
+    both and takes the first sketch at the same time."""
     values = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    first_round = None
+    first_round, total = None, None
     if n is None:
-        # count and a first sketch at p +- margin in ONE pass; the sketch is only used when the
-        # column is too large to pick from directly
+        # all rows, present rows and a first sketch at p +- margin in ONE pass; the sketch is only
+        # used when the column is too large to pick from directly
         margin = 2.0 / accuracy
         fracs = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
-        row = values.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", fracs, accuracy).alias("q")).first()
-        n, first_round = int(row["n"]), row["q"]
+        x = F.col(col).cast("double")
+        row = df.agg(F.count(F.lit(1)).alias("t"), F.count(x).alias("n"),
+                     F.percentile_approx(x, fracs, accuracy).alias("q")).first()
+        n, total, first_round = int(row["n"]), int(row["t"]), row["q"]
+    if n == 0:
+        return [None for _ in probs], 0, total
     plan = []
     for p in probs:
         h = (n - 1) * p
@@ -145,4 +156,4 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], *, window_rows:
     for i, j, d in plan:
         lo = stats[i]
         result.append(lo if d == 0 else lo + (stats[j] - lo) * d)
-    return result
+    return result, n, total

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from appraise.functions.hashing import keyed_hash
-from appraise.operators.quantiles import exact_quantiles
+from appraise.operators.quantiles import exact_quantiles, quantiles_and_counts
 from appraise.operators.ranking import hash_rank
 
 
@@ -23,11 +23,18 @@ def row_counts(df: DataFrame, col: str) -> tuple[int, int]:
     return int(r["n"]), int(r["m"])
 
 
+def strata_cuts(df: DataFrame, y_col: str, groups: int = 4) -> tuple[list, int]:
+    """Quantile cut points of the outcome and the total row count, from the same passes."""
+    cuts, _present, total = quantiles_and_counts(df, y_col, [k / groups for k in range(1, groups)])
+    return cuts, total
+
+
 def with_strata(df: DataFrame, y_col: str, groups: int = 4, out_col: str = "stratum",
-                n_present: int | None = None) -> DataFrame:
+                cuts: list | None = None) -> DataFrame:
     """Outcome strata (caret's numeric-outcome bins): cut at the (1/g .. (g-1)/g) exact quantiles,
     intervals closed on the right; 0-based stratum; a missing outcome is its own (NULL) stratum."""
-    cuts = exact_quantiles(df, y_col, [k / groups for k in range(1, groups)], n=n_present)
+    if cuts is None:
+        cuts = exact_quantiles(df, y_col, [k / groups for k in range(1, groups)])
     y = F.col(y_col)
     s = F.lit(0)
     for c in cuts:
@@ -46,12 +53,13 @@ def split_stratified(df: DataFrame, y_col: str, id_col: str, p: float, *, salt:
     """caret ``createDataPartition(y, p)``: in each outcome stratum the ``ceil(p * n_s)`` rows with
     the smallest ``h(salt, id)`` are the training rows. Strata are quantile bins of a numeric y,
     or the classes themselves when y is categorical (text / boolean, or ``categorical=True``)."""
-    n, m = row_counts(df, y_col)
     categorical = _categorical(df, y_col) if categorical is None else categorical
     if categorical:
+        n, _m = row_counts(df, y_col)
         s = df.withColumn("_stratum", F.col(y_col).cast("string"))
     else:
-        s = with_strata(df, y_col, groups, "_stratum", n_present=m)
+        cuts, n = strata_cuts(df, y_col, groups)
+        s = with_strata(df, y_col, groups, "_stratum", cuts=cuts)
     s = s.withColumn("_h", keyed_hash(salt, id_col))
     r = hash_rank(s, "_h", id_col, partition_cols=["_stratum"], count_col="_n", n_rows=n)
     out = r.withColumn(out_col, F.col("_rank") < F.ceil(F.lit(float(p)) * F.col("_n")))
@@ -71,8 +79,8 @@ def stratified_folds(df: DataFrame, y_col: str, id_col: str, k: int = 3, *, salt
                      groups: int = 4, out_col: str = "fold") -> DataFrame:
     """caret ``createFolds(y, k)``: balanced 0-based folds inside each outcome stratum
     (rank in hash order mod k). Usable as ``CrossValidator(foldCol=...)``."""
-    n, m = row_counts(df, y_col)
-    s = with_strata(df, y_col, groups, "_stratum", n_present=m).withColumn("_h", keyed_hash(salt, id_col))
+    cuts, n = strata_cuts(df, y_col, groups)
+    s = with_strata(df, y_col, groups, "_stratum", cuts=cuts).withColumn("_h", keyed_hash(salt, id_col))
     r = hash_rank(s, "_h", id_col, partition_cols=["_stratum"], n_rows=n)
     return r.withColumn(out_col, (F.col("_rank") % F.lit(k)).cast("int")).drop("_stratum", "_h", "_rank")
 
