@@ -120,7 +120,7 @@ def missing_keys(df: DataFrame, keys: list[str], target: str) -> DataFrame:
 
 def hot_deck(df: DataFrame, col: str, id_col: str, *, salt: str = "hotdeck", donor_filter: Column | None = None,
              replace: bool = True, out_col: str | None = None, report: dict | None = None,
-             broadcast_donors_max: int = 2_000_000) -> DataFrame:
+             broadcast_donors_max: int = 1_000_000) -> DataFrame:
     """Random hot-deck: each missing ``col`` takes the value of a donor row drawn by hash.
 
     Donors are the rows with a present value (and ``donor_filter`` true). They get a
