@@ -26,6 +26,7 @@ from appraise.operators import evaluate as V
 from appraise.operators import lasso as L
 from appraise.operators.sampling import bootstrap_weights, shuffle_column, split_stratified
 from appraise.operators.score import SUBMISSION_MONTHS, score_months
+from appraise.operators.stages import BoxCox
 from appraise.plans.cleaning import FEATURES, clean_properties, model_frame
 from appraise.plans.registry import register
 
@@ -48,19 +49,22 @@ def forest(num_trees: int = 20, max_depth: int = 6, mtry: int | None = None, lab
                                  seed=SEED)
 
 
-def pipeline(estimator, scale: bool = False) -> Pipeline:
-    """Features → (optional centre-and-scale) → estimator. Inside ``CrossValidator`` the scaler is
-    refit on each training part, so held-out rows never feed the statistics
-    (``train(preProcess=c('center','scale'))``)."""
+def pipeline(estimator, scale: bool = False, boxcox: Sequence[str] = ()) -> Pipeline:
+    """(optional Box-Cox of positive features) → features → (optional centre-and-scale) →
+    estimator. Inside ``CrossValidator`` every stage is refit on each training part, so held-out
+    rows never feed the statistics (``train(preProcess=c('BoxCox','center','scale'))``)."""
+    stages = [BoxCox(inputCol=c, outputCol=f"{c}_bc") for c in boxcox]
+    features = [f"{c}_bc" if c in boxcox else c for c in FEATURES]
     if not scale:
-        return Pipeline(stages=[assembler(), estimator])
+        return Pipeline(stages=[*stages, assembler(features), estimator])
     scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
-    return Pipeline(stages=[assembler().setOutputCol("raw_features"), scaler, estimator])
+    return Pipeline(stages=[*stages, assembler(features).setOutputCol("raw_features"), scaler, estimator])
 
 
-def cross_validate(frame: DataFrame, estimator, grid, folds: int = 3, parallelism: int = 4, scale: bool = False):
+def cross_validate(frame: DataFrame, estimator, grid, folds: int = 3, parallelism: int = 4, scale: bool = False,
+                   boxcox: Sequence[str] = ()):
     """caret ``train(trControl=cv)``: every grid point on the frame's own fold column."""
-    cv = CrossValidator(estimator=pipeline(estimator, scale), estimatorParamMaps=grid,
+    cv = CrossValidator(estimator=pipeline(estimator, scale, boxcox), estimatorParamMaps=grid,
                         evaluator=mae_evaluator(), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED)
     return cv.fit(frame)
 
@@ -249,7 +253,8 @@ def leaderboard(spark, sf):
     }
     rows = []
     for name, est in families.items():
-        cvm = cross_validate(frame, est, [{}], scale=(name == "linear"))
+        linear = name == "linear"
+        cvm = cross_validate(frame, est, [{}], scale=linear, boxcox=["tax_total"] if linear else ())
         rows.append((name, float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0])))
     rows.sort(key=lambda r: r[1])
     return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)], "rank int, model string, mae_mean double, mae_sd double")

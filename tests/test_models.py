@@ -85,3 +85,25 @@ def test_depth_one_tree_is_the_best_single_split(spark):
             best, best_sse = t, sse
     want = np.where(x <= best, y[x <= best].mean(), y[x > best].mean())
     assert np.allclose(got, want)
+
+
+def test_boxcox_stage_fits_on_training_rows_and_persists(spark, tmp_path):
+    from appraise.operators.scale import boxcox_apply, boxcox_lambda
+    from appraise.operators.stages import BoxCox, BoxCoxModel
+    from appraise.sources import standins as S
+    s = S.sales(spark, "/root/testdata/sf0.001").select("sale_key", "price")
+    model = BoxCox(inputCol="price", outputCol="price_bc").fit(s)
+    assert model.getOrDefault(model.lam) == boxcox_lambda(s, "price")
+    got = {r[0]: r[1] for r in model.transform(s).select("sale_key", "price_bc").collect()}
+    want = {r[0]: r[1] for r in boxcox_apply(s, "price", out_col="price_bc").select("sale_key", "price_bc").collect()}
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    train = s.where(F.col("price") < 30000)
+    sub = BoxCox(inputCol="price", outputCol="price_bc").fit(train)
+    assert sub.getOrDefault(sub.mean) != model.getOrDefault(model.mean)
+    path = str(tmp_path / "bc")
+    model.write().overwrite().save(path)
+    again = BoxCoxModel.load(path)
+    assert again.getOrDefault(again.lam) == model.getOrDefault(model.lam)
+    inside = Pipeline(stages=[BoxCox(inputCol="price", outputCol="z"),
+                              VectorAssembler(inputCols=["z"], outputCol="features")]).fit(s)
+    assert inside.transform(s).count() == s.count()
