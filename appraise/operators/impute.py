@@ -159,3 +159,62 @@ def hot_deck(df: DataFrame, col: str, id_col: str, *, salt: str = "hotdeck", don
         gaps = hash_rank(gaps, "_gh", id_col, rank_col="_grank").withColumn("_slot", F.col("_grank") % F.lit(n_donors))
     filled = gaps.join(slots, "_slot", "left").withColumn(out, F.col("_donor").cast(df.schema[col].dataType))
     return rest.unionByName(filled.select(*rest.columns))
+
+
+def hot_deck_many(df: DataFrame, specs: Mapping[str, tuple], id_col: str, *, salt: str = "hotdeck",
+                  broadcast_donors_max: int = 1_000_000) -> DataFrame:
+    """``hot_deck`` for several numeric columns at once, with a fixed number of passes.
+
+    ``specs``: {column: (allowed values or None, replace)}. Column c gives the same values as
+    ``hot_deck(df, c, id_col, salt=f"{salt}:{c}", ...)``. The columns are unpivoted to
+    (id, column, value); donors get slots per column (``hash_rank`` by column), every gap
+    draws its slot, ONE equi-join on (column, slot) fetches all draws, a pivot folds them back
+    to one row per id, and only the rows that have a gap are joined to it. Values travel as
+    DOUBLE and are cast back to each column's type. A column with no donor keeps its gaps.
+    """
+    cols = [c for c in specs if c in df.columns]
+    if not cols:
+        return df
+    key = F.col(id_col)
+    long = df.select(key.alias("_id"), *[F.col(c).cast("double").alias(c) for c in cols]) \
+        .unpivot("_id", cols, "_c", "_v")
+    allowed = F.lit(False)
+    for c in cols:
+        values = specs[c][0]
+        ok = F.lit(True) if values is None else F.col("_v").isin([float(v) for v in values])
+        allowed = allowed | ((F.col("_c") == F.lit(c)) & ok)
+    donors = long.where(F.col("_v").isNotNull() & allowed)
+    counts = {r["_c"]: r["n"] for r in donors.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    live = [c for c in cols if counts.get(c, 0) > 0]
+    if not live:
+        return df
+    n_of = F.lit(None).cast("bigint")
+    for c in live:
+        n_of = F.when(F.col("_c") == F.lit(c), F.lit(counts[c])).otherwise(n_of)
+    donors = donors.where(F.col("_c").isin(live)) \
+        .withColumn("_h", keyed_hash(F.concat(F.lit(f"{salt}:"), F.col("_c"), F.lit(":donor")), "_id"))
+    slots = hash_rank(donors, "_h", "_id", partition_cols=["_c"], rank_col="_slot",
+                      n_rows=sum(counts.values())).select("_c", "_slot", F.col("_v").alias("_donor"))
+    if sum(counts[c] for c in live) <= broadcast_donors_max:
+        slots = F.broadcast(slots)
+    gaps = long.where(F.col("_v").isNull() & F.col("_c").isin(live)) \
+        .withColumn("_gh", keyed_hash(F.concat(F.lit(f"{salt}:"), F.col("_c"), F.lit(":pick")), "_id"))
+    without = [c for c in live if not specs[c][1]]
+    if without:
+        ranked = hash_rank(gaps.where(F.col("_c").isin(without)), "_gh", "_id", partition_cols=["_c"], rank_col="_grank")
+        gaps = gaps.where(~F.col("_c").isin(without)).withColumn("_grank", F.col("_gh")).unionByName(ranked)
+    else:
+        gaps = gaps.withColumn("_grank", F.col("_gh"))
+    gaps = gaps.withColumn("_slot", F.col("_grank") % n_of)
+    draws = gaps.join(slots, ["_c", "_slot"], "inner").select("_id", "_c", "_donor")
+    fills = draws.groupBy("_id").pivot("_c", live).agg(F.first("_donor"))
+    fills = fills.select(F.col("_id").alias(id_col), *[F.col(c).alias(f"_fill_{c}") for c in live])
+    any_gap = F.lit(False)
+    for c in live:
+        any_gap = any_gap | F.col(c).isNull()
+    complete = df.where(~any_gap)
+    patched = df.where(any_gap).join(fills, id_col, "left")
+    patched = patched.select(*[
+        F.coalesce(F.col(c), F.col(f"_fill_{c}").cast(df.schema[c].dataType)).alias(c) if c in live else F.col(c)
+        for c in df.columns])
+    return complete.unionByName(patched)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from appraise.functions import rsem
 from appraise.operators import columns as C
 from appraise.operators import encode as E
 from appraise.operators import impute as I
@@ -20,6 +21,43 @@ FEATURES = ["month", "tax_total", "zoning_code", "status_code", "build_year", "r
 PROPERTY_FEATURES = [c for c in FEATURES if c != "month"]
 
 
+# ---- fixed values: the first cleaning round on the whole property table ----------------------
+ROUND_ONE_CONSTANTS = {"aircon": 5, "heating": 13, "num_room": 0}
+ROUND_ONE_MEANS = ("area_total_calc", "tax_total")
+ROUND_ONE_DONORS = ("area_garage", "area_lot", "build_year", "longitude", "latitude", "region_county", "region_zip")
+ROUND_ONE_ALLOWED_DONORS = {"quality": (1, 4, 7, 10), "num_unit": (1, 2, 3, 4), "num_bedroom": (3, 4, 2, 5),
+                            "zoning_landuse": (261, 246, 266, 269), "num_bathroom": (1.0, 2.0, 3.0, 2.5)}
+ROUND_ONE_PRESENCE = ("num_pool", "pooltypeid7", "num_75_bath")
+ROUND_ONE_STORY_TAIL = (4, 41)
+ROUND_ONE_DROP = ("architectural_style", "area_basement", "framing", "num_bathroom_calc", "deck",
+                  "area_firstfloor_finished", "area_live_finished", "area_liveperi_finished", "area_total_finished",
+                  "area_unknown", "area_base", "fips", "num_fireplace", "num_bath", "num_garage", "flag_tub",
+                  "area_pool", "pooltypeid10", "pooltypeid2", "zoning_landuse_county", "zoning_property",
+                  "rawcensustractandblock", "region_neighbor", "region_zip", "story", "material", "area_patio",
+                  "area_shed", "tax_building", "tax_year", "tax_land", "tax_property", "tax_delinquency",
+                  "tax_delinquency_year", "censustractandblock")
+# ---- end of fixed values --------------------------------------------------------------------
+
+
+def round_one(props: DataFrame, id_col: str = "id_parcel", salt: str = "round1") -> DataFrame:
+    """First cleaning round on a property table with the reference's column names: constant
+    fills, the merged fireplace flag, stories (missing → 0, 4..41 → 'other'), presence flags,
+    mean fills (one aggregate), random donors and donors from allowed value sets without
+    replacement (one multi-column pass, ``hot_deck_many``), then the drop list."""
+    p = I.fill_constant(props, ROUND_ONE_CONSTANTS)
+    if "flag_fireplace" in p.columns and "num_fireplace" in p.columns:
+        p = p.withColumn("flag_fireplace", rsem.merged_flag("num_fireplace", "flag_fireplace"))
+    if "num_story" in p.columns:
+        lo, hi = ROUND_ONE_STORY_TAIL
+        p = p.withColumn("num_story", rsem.collapse_levels(F.coalesce(F.col("num_story"), F.lit(0)), lo, hi))
+    p = I.presence_flags(p, ROUND_ONE_PRESENCE)
+    p = I.impute_mean(p, ROUND_ONE_MEANS)
+    specs = {c: (None, True) for c in ROUND_ONE_DONORS}
+    specs.update({c: (allowed, False) for c, allowed in ROUND_ONE_ALLOWED_DONORS.items()})
+    p = I.hot_deck_many(p, specs, id_col, salt=salt)
+    return C.drop_columns(p, ROUND_ONE_DROP)
+
+
 def sentinel_round(props: DataFrame, minus_one=SCH.SENTINEL_MINUS_ONE, drop=SCH.SENTINEL_DROP) -> DataFrame:
     """Second cleaning round on a property table with the reference's column names:
     NA → -1 for the categorical columns, every other NA → -999, then the drop list."""

@@ -192,3 +192,20 @@ def test_scaler_inside_cv_uses_training_rows_only(spark):
     model = pipeline(LinearRegression(labelCol="logerror"), scale=True).fit(df.where("month < 30"))
     mean = model.stages[1].mean.toArray()[0]
     assert mean == pytest.approx(14.5)
+
+
+def test_hot_deck_many_equals_single_column_draws(spark):
+    rows = []
+    for i in range(400):
+        rows.append((i, None if i % 5 == 0 else float(i % 9), None if i % 7 == 0 else int(i % 13),
+                     None if i % 3 == 0 else float(i % 4)))
+    df = spark.createDataFrame(rows, "id long, a double, b int, c double")
+    specs = {"a": (None, True), "b": ((1, 4, 7, 10), False), "c": ((1, 2), True)}
+    many = {r["id"]: r for r in I.hot_deck_many(df, specs, "id", salt="m").collect()}
+    assert len(many) == 400
+    for col, (allowed, replace) in specs.items():
+        pred = None if allowed is None else F.col(col).isin(*allowed)
+        one = {r["id"]: r[col] for r in I.hot_deck(df, col, "id", salt=f"m:{col}", donor_filter=pred,
+                                                    replace=replace).collect()}
+        assert {k: many[k][col] for k in one} == one
+    assert isinstance(many[0]["b"], int)
