@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from appraise.functions import rsem
 from appraise.operators import impute as I
 from appraise.plans.registry import register
-from appraise.plans.sqltext import LOCATED, PARTS, PROPS, h, with_
+from appraise.plans.sqltext import LOCATED, PARTS, PROPS, SALES, h, with_
 from appraise.sources import standins as S
 
 
@@ -157,3 +157,38 @@ def lookup_fill(spark, sf):
 def missing_keys(spark, sf):
     """Distinct coordinates that still need a lookup."""
     return I.missing_keys(S.located(spark, sf), ["lat", "lon"], "zip")
+
+
+def _sales_with_gaps(spark, sf):
+    s = S.sales(spark, sf)
+    return s.select("sale_key",
+                    F.when(F.col("linenumber") == 3, F.lit(None)).otherwise(F.col("quantity")).alias("quantity"),
+                    F.when(F.col("linenumber") == 5, F.lit(None))
+                    .otherwise(F.col("price") / F.lit(1000.0)).alias("price_k"))
+
+
+def _multi_sql() -> str:
+    def column(c: str, allowed: str | None, replace: bool) -> str:
+        cond = f"{c} IS NOT NULL" + (f" AND {c} IN ({allowed})" if allowed else "")
+        pick = (f"{h(f'multi:{c}:pick', 'sale_key')} % (SELECT n FROM n_{c})" if replace else
+                f"(row_number() OVER (ORDER BY {h(f'multi:{c}:pick', 'sale_key')}, sale_key) - 1) % (SELECT n FROM n_{c})")
+        return f"""d_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY {h(f'multi:{c}:donor', 'sale_key')}, sale_key) - 1 AS slot
+                FROM g WHERE {cond}),
+n_{c} AS (SELECT count(*) AS n FROM d_{c}),
+p_{c} AS (SELECT sale_key, {pick} AS slot FROM g WHERE {c} IS NULL),
+f_{c} AS (SELECT p.sale_key, d.v FROM p_{c} p JOIN d_{c} d USING (slot))"""
+    return with_(SALES) + f""",
+g AS (SELECT sale_key, CASE WHEN linenumber = 3 THEN NULL ELSE quantity END AS quantity,
+             CASE WHEN linenumber = 5 THEN NULL ELSE price / 1000.0 END AS price_k FROM sales),
+{column('quantity', '1, 4, 7, 10', False)},
+{column('price_k', None, True)}
+SELECT g.sale_key, coalesce(g.quantity, fq.v) AS quantity, coalesce(g.price_k, fp.v) AS price_k
+FROM g LEFT JOIN f_quantity fq USING (sale_key) LEFT JOIN f_price_k fp USING (sale_key)"""
+
+
+@register("impute_hotdeck_multi", _multi_sql())
+def impute_hotdeck_multi(spark, sf):
+    """I8 + I9 over several columns in one pass: quantity from the allowed set {1, 4, 7, 10}
+    without replacement, the value from all donors with replacement."""
+    g = _sales_with_gaps(spark, sf)
+    return I.hot_deck_many(g, {"quantity": ((1, 4, 7, 10), False), "price_k": (None, True)}, "sale_key", salt="multi")
