@@ -36,12 +36,19 @@ def hash_rank(df: DataFrame, hash_col: str, id_col: str, *, partition_cols: Sequ
     parts = list(partition_cols)
     if bits is None:
         bits = bits_for(n_rows if n_rows is not None else df.count())
+    # group keys as plain non-null columns (text value + null flag): the rank window and the
+    # offset join then use the SAME keys, so the join reuses the window's partitioning instead of
+    # shuffling the data again (a null-safe join would re-key on coalesce/isnull expressions)
+    keys = []
+    for i, c in enumerate(parts):
+        df = df.withColumns({f"_gk{i}": F.coalesce(F.col(c).cast("string"), F.lit("")), f"_gn{i}": F.col(c).isNull()})
+        keys += [f"_gk{i}", f"_gn{i}"]
     binned = df.withColumn("_bin", F.shiftright(F.col(hash_col), 32 - bits))
-    counts = binned.groupBy(*parts, "_bin").agg(F.count(F.lit(1)).alias("_bin_n"))
-    before = Window.partitionBy(*parts).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    counts = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_bin_n"))
+    before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_bin_start", F.coalesce(F.sum("_bin_n").over(before), F.lit(0)))
     if count_col:
-        offsets = offsets.withColumn(count_col, F.sum("_bin_n").over(Window.partitionBy(*parts)))
+        offsets = offsets.withColumn(count_col, F.sum("_bin_n").over(Window.partitionBy(*keys)))
     offsets = offsets.drop("_bin_n")
     # without group columns the offset table has at most 2^bits <= 2^16 rows: a proven broadcast
     # bound; otherwise the planner / AQE pick the join from the real sizes
@@ -49,10 +56,7 @@ def hash_rank(df: DataFrame, hash_col: str, id_col: str, *, partition_cols: Sequ
         broadcast_offsets = not parts and bits <= 16
     if broadcast_offsets:
         offsets = F.broadcast(offsets)
-    local = Window.partitionBy(*parts, "_bin").orderBy(F.col(hash_col), F.col(id_col))
+    local = Window.partitionBy(*keys, "_bin").orderBy(F.col(hash_col), F.col(id_col))
     ranked = binned.withColumn("_local", F.row_number().over(local) - 1)
-    # null-safe on the group columns: a NULL group is a group of its own, its rows are kept
-    cond = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in parts] + [F.col("_l._bin") == F.col("_r._bin")]
-    keep = ["_bin_start"] + ([count_col] if count_col else [])
-    out = ranked.alias("_l").join(offsets.alias("_r"), cond, "inner").select("_l.*", *[F.col(f"_r.{c}") for c in keep])
+    out = ranked.join(offsets, on=[*keys, "_bin"], how="inner").drop(*keys)
     return out.withColumn(rank_col, F.col("_bin_start") + F.col("_local")).drop("_bin", "_bin_start", "_local")
