@@ -76,13 +76,17 @@ def split_random(df: DataFrame, id_col: str, share: float, *, salt: str = "rando
 
 
 def stratified_folds(df: DataFrame, y_col: str, id_col: str, k: int = 3, *, salt: str = "folds",
-                     groups: int = 4, out_col: str = "fold") -> DataFrame:
+                     groups: int = 4, out_col: str = "fold", rank_col: str | None = None) -> DataFrame:
     """caret ``createFolds(y, k)``: balanced 0-based folds inside each outcome stratum
-    (rank in hash order mod k). Usable as ``CrossValidator(foldCol=...)``."""
+    (rank in hash order mod k). Usable as ``CrossValidator(foldCol=...)``. ``rank_col`` keeps
+    the stratum rank, from which any other fold count is ``rank mod k`` without a new pass."""
     cuts, n = strata_cuts(df, y_col, groups)
     s = with_strata(df, y_col, groups, "_stratum", cuts=cuts).withColumn("_h", keyed_hash(salt, id_col))
     r = hash_rank(s, "_h", id_col, partition_cols=["_stratum"], n_rows=n)
-    return r.withColumn(out_col, (F.col("_rank") % F.lit(k)).cast("int")).drop("_stratum", "_h", "_rank")
+    out = r.withColumn(out_col, (F.col("_rank") % F.lit(k)).cast("int"))
+    if rank_col:
+        out = out.withColumnRenamed("_rank", rank_col)
+    return out.drop("_stratum", "_h", "_rank")
 
 
 def bootstrap_weights(df: DataFrame, id_col: str, resamples: int = 5, *, salt: str = "boot",

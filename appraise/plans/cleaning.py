@@ -88,18 +88,20 @@ _FRAMES: dict = {}
 def model_frame(spark, sf, folds: int = 3, checkpoint: bool = True) -> DataFrame:
     """Trimmed sales with month, joined to repaired properties, with stratified folds.
     Written once to the checkpoint folder: model selection reads it many times, and a lost
-    executor then recomputes from these files, not from the raw scans. Within one application
-    the written table is reused by every model job on the same input and fold count."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"), folds)
-    if checkpoint and key in _FRAMES:
-        return _FRAMES[key]
-    s = trim_quantiles(S.sales(spark, sf).select("sale_key", "id_parcel", "logerror", "transactiondate"), "logerror")
-    s = s.withColumn("month", F.month("transactiondate")).drop("transactiondate")
-    frame = stratified_folds(s.join(clean_properties(spark, sf), "id_parcel"), "logerror", "sale_key", folds)
-    if checkpoint:
-        frame = io.checkpoint_table(frame, "model_frame").cache()
-        _FRAMES[key] = frame
-    return frame
+    executor then recomputes from these files, not from the raw scans. The written table keeps
+    the stratum rank, so every fold count is a projection of the same table (fold = rank mod k),
+    and within one application it is reused by every model job on the same input."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    base = _FRAMES.get(key) if checkpoint else None
+    if base is None:
+        s = trim_quantiles(S.sales(spark, sf).select("sale_key", "id_parcel", "logerror", "transactiondate"), "logerror")
+        s = s.withColumn("month", F.month("transactiondate")).drop("transactiondate")
+        base = stratified_folds(s.join(clean_properties(spark, sf), "id_parcel"), "logerror", "sale_key", folds,
+                                rank_col="fold_rank").drop("fold")
+        if checkpoint:
+            base = io.checkpoint_table(base, "model_frame").cache()
+            _FRAMES[key] = base
+    return base.withColumn("fold", (F.col("fold_rank") % F.lit(folds)).cast("int")).drop("fold_rank")
 
 
 @register("feature_table", with_(PROPS, SALES) + """,
