@@ -46,3 +46,23 @@ def test_model_persistence(spark):
     loaded = io.load_model(path)
     assert isinstance(loaded, PipelineModel)
     assert [r.prediction for r in loaded.transform(df).collect()] == [r.prediction for r in model.transform(df).collect()]
+
+
+def test_lookup_csv_scan_then_fill(spark):
+    from pyspark.sql import functions as F
+    from appraise.operators.impute import fill_lookup
+    from appraise.sources.schema import LOOKUP_ZIP_SCHEMA
+    lk = spark.createDataFrame([(34100000, -118200000, 96001), (34200000, -118300000, 96002)], LOOKUP_ZIP_SCHEMA)
+    path = scratch_path(spark, "zip_lookup")
+    io.write_csv(lk, path)
+    back = io.read_csv(spark, path, LOOKUP_ZIP_SCHEMA)
+    props = spark.createDataFrame([(1, 34100000, -118200000, None), (2, 34200000, -118300000, 5),
+                                   (3, 1, 2, None)], "id long, latitude long, longitude long, zip int")
+    out = {r["id"]: r["zip"] for r in fill_lookup(props, back, ["latitude", "longitude"], "zip", "zip").collect()}
+    assert out == {1: 96001, 2: 5, 3: None}
+
+
+def test_rename_all_by_position(spark):
+    from appraise.operators.columns import rename_all
+    df = spark.createDataFrame([(1, 2.0)], "V1 long, V2 double")
+    assert rename_all(df, ["parcelid", "pred"]).columns == ["parcelid", "pred"]
