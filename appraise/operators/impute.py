@@ -183,8 +183,12 @@ def hot_deck_many(df: DataFrame, specs: Mapping[str, tuple], id_col: str, *, sal
         values = specs[c][0]
         ok = F.lit(True) if values is None else F.col("_v").isin([float(v) for v in values])
         allowed = allowed | ((F.col("_c") == F.lit(c)) & ok)
-    donors = long.where(F.col("_v").isNotNull() & allowed)
-    counts = {r["_c"]: r["n"] for r in donors.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    is_donor = F.col("_v").isNotNull() & allowed
+    donors = long.where(is_donor)
+    # donors and gaps per column in ONE grouped pass (k rows)
+    tallies = long.groupBy("_c").agg(F.count_if(is_donor).alias("n"), F.count_if(F.col("_v").isNull()).alias("g")).collect()
+    counts = {r["_c"]: r["n"] for r in tallies if r["n"] > 0}
+    gap_counts = {r["_c"]: r["g"] for r in tallies}
     live = [c for c in cols if counts.get(c, 0) > 0]
     if not live:
         return df
@@ -201,7 +205,8 @@ def hot_deck_many(df: DataFrame, specs: Mapping[str, tuple], id_col: str, *, sal
         .withColumn("_gh", keyed_hash(F.concat(F.lit(f"{salt}:"), F.col("_c"), F.lit(":pick")), "_id"))
     without = [c for c in live if not specs[c][1]]
     if without:
-        ranked = hash_rank(gaps.where(F.col("_c").isin(without)), "_gh", "_id", partition_cols=["_c"], rank_col="_grank")
+        ranked = hash_rank(gaps.where(F.col("_c").isin(without)), "_gh", "_id", partition_cols=["_c"], rank_col="_grank",
+                           n_rows=sum(gap_counts.get(c, 0) for c in without))
         gaps = gaps.where(~F.col("_c").isin(without)).withColumn("_grank", F.col("_gh")).unionByName(ranked)
     else:
         gaps = gaps.withColumn("_grank", F.col("_gh"))
