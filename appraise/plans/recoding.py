@@ -56,10 +56,10 @@ def collapse_levels(spark, sf):
 
 @register("one_hot", """
 SELECT o_orderkey AS id_parcel,
-       CASE WHEN o_orderpriority = '2-HIGH' THEN 1.0 ELSE 0.0 END AS prio_2_HIGH,
-       CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1.0 ELSE 0.0 END AS prio_3_MEDIUM,
-       CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 1.0 ELSE 0.0 END AS prio_4_NOT_SPECIFIED,
-       CASE WHEN o_orderpriority = '5-LOW' THEN 1.0 ELSE 0.0 END AS prio_5_LOW
+       CASE WHEN o_orderpriority = '2-HIGH' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prio_2_HIGH,
+       CASE WHEN o_orderpriority = '3-MEDIUM' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prio_3_MEDIUM,
+       CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prio_4_NOT_SPECIFIED,
+       CASE WHEN o_orderpriority = '5-LOW' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prio_5_LOW
 FROM orders""")
 def one_hot(spark, sf):
     """E5: one 0/1 column per level, first level dropped, no intercept column."""
