@@ -7,6 +7,8 @@ from tools.check_oracle import canon
 from tests.conftest import SF_SMALL
 
 ORACLES = E.oracle_sql()
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+                 "DATE": "date"}
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
@@ -17,6 +19,8 @@ def test_query_matches_oracle(spark, duck, key):
     rel = con.sql(ORACLES[key])
     ocols, orows = rel.columns, rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert spark_types == {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(ocols, rel.types)}
     assert len(rows) == len(orows)
     assert canon(df.columns, rows) == canon(ocols, orows)
 
