@@ -209,3 +209,16 @@ def test_hot_deck_many_equals_single_column_draws(spark):
                                                     replace=replace).collect()}
         assert {k: many[k][col] for k in one} == one
     assert isinstance(many[0]["b"], int)
+
+
+@pytest.mark.parametrize("key", ["impute_hotdeck", "impute_hotdeck_restricted", "impute_hotdeck_multi", "split_stratified",
+                                 "split_random", "bootstrap_weights", "shuffle_column", "random_category"])
+def test_random_steps_repeat_under_other_partition_counts(spark, key):
+    import __spark_entry__ as E
+    q = E.queries()[key]
+    runs = []
+    for parts in ("3", "17"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        runs.append(sorted(map(tuple, q(spark, SF_SMALL).collect()), key=str))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert runs[0] == runs[1]
