@@ -222,3 +222,13 @@ def test_random_steps_repeat_under_other_partition_counts(spark, key):
         runs.append(sorted(map(tuple, q(spark, SF_SMALL).collect()), key=str))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert runs[0] == runs[1]
+
+
+@pytest.mark.parametrize("window_rows", [2, 1000])
+def test_exact_quantiles_nan_sorts_last_like_spark(spark, window_rows):
+    vals = [1.0, 2.0, float("nan"), 3.0, None, 4.0, float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "y double")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = exact_quantiles(df, "y", probs, window_rows=window_rows, accuracy=10)
+    want = df.agg(F.percentile("y", probs)).first()[0]
+    assert [str(x) for x in got] == [str(x) for x in want]
