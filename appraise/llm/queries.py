@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from appraise.llm import decontaminate
-from appraise.llm.tables import table
+from appraise.llm import decontaminate, langid, neardup, ppm, quality, urlfilter
+from appraise.llm.tables import table, training
 
 QUERIES, ORACLES = {}, {}
 
@@ -21,3 +21,38 @@ def _query(key: str, sql: str | None = None):
 def op1(spark, sf_dir):
     """Every document against every benchmark item, windows of ten words."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op3_near_duplicates", neardup.ORACLE)
+def op3(spark, sf_dir):
+    """Every document: its component of texts with 5-word-shingle similarity of 0.75 or more."""
+    return neardup.groups(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_quality_rules")
+def op6(spark, sf_dir):
+    """Every document by the fixed counts and the line field, fitted on the labelled documents."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model)
+
+
+@_query("op8_language_id")
+def op8(spark, sf_dir):
+    """Every document's language, learned from the training folds."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+@_query("op9_lm_scoring")
+def op9(spark, sf_dir):
+    """Every document by the byte model and the token counts of the training folds."""
+    docs = table(spark, sf_dir, "documents")
+    return ppm.score(docs, docs.where(training("doc_id", ppm.FOLD)))
+
+
+@_query("op10_url_filter", urlfilter.ORACLE)
+def op10(spark, sf_dir):
+    """Every page's URL against the listed rules."""
+    rules = spark.createDataFrame(urlfilter.RULES, "host string, path string, verdict string")
+    return urlfilter.judge(table(spark, sf_dir, "pages"), rules)
