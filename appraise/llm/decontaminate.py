@@ -74,7 +74,7 @@ def item_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
 
 
 def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, text-free results for each document row: n_words, n_hit, n_items, items (sorted ids), rid."""
+    """doc_id, key (the row's), n_words, n_hit, items (sorted ids) for each row of ``docs``."""
     against = tables.written(item_windows(items, window, gram), "item-windows")
     lengths = sorted(r.len for r in against.select("len").distinct().collect())  # at most `window` values
     bits = 1 << 15
@@ -108,10 +108,11 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int
                 pa.array(words, pa.string()).take(pa.array(order))], fields=list(_CAND))
             off = np.zeros(t.n + 1, np.int32)
             np.cumsum(np.bincount(doc, minlength=t.n), out=off[1:])
-            yield pa.RecordBatch.from_arrays([number.take(t.n), batch.column(0), pa.array(count.astype(np.int64)),
-                                              pa.ListArray.from_arrays(pa.array(off), each)], ["rid", "doc_id", "n_words", "cand"])
-    kind = "rid long, doc_id long, n_words long, cand array<struct<start:int,len:int,fp:long,words:string>>"
-    seen = tables.written(tables.documents(docs).mapInArrow(run, kind), "doc-windows")
+            yield pa.RecordBatch.from_arrays([number.take(t.n), batch.column(0), batch.column(2), pa.array(count.astype(np.int64)),
+                                              pa.ListArray.from_arrays(pa.array(off), each)], ["rid", "doc_id", "key", "n_words", "cand"])
+    kind = "rid long, doc_id long, key binary, n_words long, cand array<struct<start:int,len:int,fp:long,words:string>>"
+    seen = tables.written(tables.documents(docs, tables.row_key(docs).alias("key")).mapInArrow(run, kind), "doc-windows")
+    sieve.destroy()
     cand = seen.select("rid", F.explode("cand").alias("c")).select("rid", "c.*")
     hit = cand.join(against, ["len", "fp", "words"])
     till = F.max(F.col("start") + F.col("len")).over(
@@ -120,7 +121,7 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int
     per = (hit.withColumn("till", till).groupBy("rid")
            .agg(F.sum(new).alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")))
     return (seen.drop("cand").join(per, "rid", "left")
-            .select("rid", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            .select("doc_id", "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
 
 

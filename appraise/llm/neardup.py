@@ -94,8 +94,8 @@ def _sketch(batches):
     for batch, t in slices(batches):
         g, sizes = shingle_sets(t)
         one, two = set_keys(g, sizes)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes.astype(np.int64)), pa.array(one), pa.array(two),
-                                          binary(signatures(g, sizes))], ["doc_id", "n", "s1", "s2", "sig"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(sizes.astype(np.int64)), pa.array(one), pa.array(two),
+                                          binary(signatures(g, sizes))], ["doc_id", *batch.schema.names[2:], "n", "s1", "s2", "sig"])
 
 
 def _neighbours(batches):
@@ -217,9 +217,11 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return tables.documents(docs).mapInArrow(run, "s1 long, s2 long, set binary")
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every document row."""
-    sketch = tables.written(tables.documents(docs).mapInArrow(_sketch, "doc_id long, n long, s1 long, s2 long, sig binary"), "sketch")
+def groups(docs: DataFrame, with_key: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept (and key, the row's) for every document row."""
+    own = ["key"] if with_key else []
+    rows = tables.documents(docs, *([tables.row_key(docs).alias("key")] if with_key else []))
+    sketch = tables.written(rows.mapInArrow(_sketch, f"doc_id long{', key binary' if with_key else ''}, n long, s1 long, s2 long, sig binary"), "sketch")
     classes = tables.written(sketch.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig"))
                              .withColumn("cid", F.monotonically_increasing_id()), "classes")
     cluster = components(candidates(classes), "clusters")
@@ -250,9 +252,9 @@ def groups(docs: DataFrame) -> DataFrame:
     rooted = tables.written(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = rooted.join(least, "root").select("s1", "s2", "n", "component_id")
-    full = sketch.where("n > 0").select("doc_id", "n", "s1", "s2").join(of_class, ["s1", "s2", "n"]).select("doc_id", "n", "component_id")
-    every = full.union(sketch.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
-    return every.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    full = sketch.where("n > 0").select("doc_id", *own, "n", "s1", "s2").join(of_class, ["s1", "s2", "n"]).select("doc_id", *own, "n", "component_id")
+    every = full.union(sketch.where("n = 0").select("doc_id", *own, "n", F.col("doc_id").alias("component_id")))
+    return every.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), *own)
 
 
 ORACLE = r"""

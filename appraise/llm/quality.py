@@ -169,23 +169,33 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, max_li
     return fit_crf(x, np.repeat([1 - r.quality for r in got], count), count)
 
 
-def judge(docs: DataFrame, model, *more: str, share: float = CONTENT_SHARE) -> DataFrame:
-    """doc_id, the five counts, content_words, base_failed, kept, and the ``more`` columns, for each row."""
+def _verdicts(t: Texts, model, share: float) -> dict[str, np.ndarray]:
+    c = counts(t)
+    f, words, lines, again = line_features(t)
+    owner = np.repeat(np.arange(t.n), lines)
+    label = viterbi(f.astype(float) @ model[0], lines, model[1]) if model is not None else np.zeros(len(f), np.int8)
+    content = np.bincount(owner, weights=words * (label == 0), minlength=t.n)
+    failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
+    return {**c, "n_dup_lines": np.bincount(owner[again], minlength=t.n).astype(np.int64), "content_words": content.astype(np.int64),
+            "base_failed": failed, "kept": ~failed & (content >= share * c["n_words"])}
+
+
+def judge(docs: DataFrame, model, share: float = CONTENT_SHARE) -> DataFrame:
+    """doc_id, the five counts, content_words, base_failed, kept for each row."""
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "content_words", "base_failed", "kept"]
+
     def run(batches):
         for batch, t in slices(batches):
-            c = counts(t)
-            f, words, lines, again = line_features(t)
-            owner = np.repeat(np.arange(t.n), lines)
-            label = viterbi(f.astype(float) @ model[0], lines, model[1]) if model is not None else np.zeros(len(f), np.int8)
-            content = np.bincount(owner, weights=words * (label == 0), minlength=t.n)
-            failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
-            kept = ~failed & (content >= share * c["n_words"])
-            made = [c["n_words"], c["word_chars"], c["n_symbols"], np.bincount(owner[again], minlength=t.n).astype(np.int64), c["n_repeat_words"],
-                    content.astype(np.int64)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, made), pa.array(failed), pa.array(kept), *batch.columns[2:]],
-                                             ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "content_words",
-                                              "base_failed", "kept", *more])
-    rows = tables.documents(docs, *more)
-    kinds = "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in more)
-    return rows.mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-                                f"content_words long, base_failed boolean, kept boolean{kinds}")
+            v = _verdicts(t, model, share)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(v[n]) for n in names]], ["doc_id", *names])
+    return tables.documents(docs).mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+                                                  "n_repeat_words long, content_words long, base_failed boolean, kept boolean")
+
+
+def keep(docs: DataFrame, model, share: float = CONTENT_SHARE) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    def run(batches):
+        for batch, t in slices(batches, "__text"):
+            yield batch.select(docs_columns).filter(pa.array(_verdicts(t, model, share)["kept"]))
+    docs_columns = docs.columns
+    return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(run, docs.schema)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from appraise.llm import decontaminate, langid, neardup, ppm, quality, urlfilter
+import public_tokenizers
+
+from appraise.llm import bpe, decontaminate, langid, license, linededup, neardup, ppm, quality, tokencount, urlfilter
 from appraise.llm.tables import table, training
 
 QUERIES, ORACLES = {}, {}
+VOCABULARY, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _query(key: str, sql: str | None = None):
@@ -56,3 +59,27 @@ def op10(spark, sf_dir):
     """Every page's URL against the listed rules."""
     rules = spark.createDataFrame(urlfilter.RULES, "host string, path string, verdict string")
     return urlfilter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@_query("op2_token_counts")
+def op2(spark, sf_dir):
+    """Every document's tokens, counted by a scan of the token files written from all documents."""
+    return tokencount.document_counts(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, end=50256)
+
+
+@_query("op4_license_scan")
+def op4(spark, sf_dir):
+    """Every document against the license templates."""
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
+@_query("op5_line_dedup", linededup.ORACLE)
+def op5(spark, sf_dir):
+    """Every document's lines against all other lines."""
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
+@_query("op7_bpe")
+def op7(spark, sf_dir):
+    """Every document encoded and decoded with the lexicon of all documents."""
+    return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)

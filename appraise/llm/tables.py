@@ -36,6 +36,24 @@ def training(doc_id: str, modulus: int):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus != 0
 
 
+def row_key(docs: DataFrame):
+    """A binary column that is equal for rows of equal doc_id and text only."""
+    own = F.concat_ws("\n", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text").cast("string"))
+    return F.unhex(F.md5(own.cast("binary")))
+
+
+#: A set of row keys of at most this many rows (16 bytes each) is broadcast to an anti-join; a larger one is joined by shuffle.
+BROADCAST_KEYS = 200_000
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose row key is not in ``keys`` (one column, key)."""
+    keys = written(keys.select(F.col("key").alias("__key")).distinct(), "keys-out")
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return docs.withColumn("__key", row_key(docs)).join(keys, "__key", "left_anti").select(*docs.columns)
+
+
 class Rows:
     """Numbers the rows of a task: unique over the DataFrame, and the same when the task runs again on the same split."""
 
