@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts handed to numpy at once hold about this many bytes (one text may hold more).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 _P, _MASK = 0x9E3779B97F4A7C17, (1 << 64) - 1  # odd, and 3 mod 4: P - 1 has one factor of two
