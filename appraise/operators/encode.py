@@ -16,7 +16,7 @@ def level_codes(df: DataFrame, col: str, out_col: str | None = None, first_code:
     ``first_code`` renames the first level (R ``levels(f) = c(-999, 1:77)`` gives the first
     level -999 and the rest 1..n-1). Uses ``StringIndexer(alphabetAsc)``: the level list is
     counted by a distributed aggregate and kept in the model (its size is the number of
-    levels, not of rows). Missing values stay missing."""
+    levels, not of rows). Missing values stay missing, and with a passed ``model`` so do values that are none of its levels."""
     out = out_col or col
     src = F.col(col).cast("string")
     tmp = df.withColumn("_level", src)
@@ -29,7 +29,8 @@ def level_codes(df: DataFrame, col: str, out_col: str | None = None, first_code:
         value = code + F.lit(1)
     else:
         value = F.when(code == 0, F.lit(first_code)).otherwise(code)
-    return coded.withColumn(out, F.when(F.col("_level").isNull(), F.lit(None)).otherwise(value)).drop("_level", "_code")
+    known = F.col("_level").isNotNull() & (code < len(model.labels))
+    return coded.withColumn(out, F.when(known, value)).drop("_level", "_code")
 
 
 def level_codes_many(df: DataFrame, specs: dict) -> DataFrame:

@@ -74,8 +74,8 @@ def presence_flags(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.withColumns(exprs) if exprs else df
 
 
-def na_category(df: DataFrame, names: Iterable[str], label: str = "NA") -> DataFrame:
-    """R ``addNA``: missing becomes a level of its own; the column becomes text."""
+def na_category(df: DataFrame, names: Iterable[str], label: str = "__NA__") -> DataFrame:
+    """R ``addNA``: missing becomes a level of its own, apart from a real text 'NA'; the column becomes text."""
     exprs = {c: F.coalesce(F.col(c).cast("string"), F.lit(label)) for c in present(df, names)}
     return df.withColumns(exprs) if exprs else df
 
@@ -88,10 +88,16 @@ def column_means(df: DataFrame, names: Iterable[str]) -> dict[str, float | None]
 
 
 def impute_mean(df: DataFrame, names: Iterable[str], means: Mapping[str, float] | None = None) -> DataFrame:
-    """``Hmisc::impute(x, mean)``: NULL → column mean (mean of the non-missing values)."""
+    """``Hmisc::impute(x, mean)``: NULL → column mean (mean of the non-missing values). An integer
+    column becomes double, since a mean is not an integer; other types stay."""
     names = present(df, names)
     means = dict(means) if means is not None else column_means(df, names)
-    exprs = {c: F.coalesce(F.col(c), F.lit(means[c]).cast(df.schema[c].dataType)) for c in names if means.get(c) is not None}
+    exprs = {}
+    for c in names:
+        t = df.schema[c].dataType
+        t = T.DoubleType() if isinstance(t, T.IntegralType) else t
+        if means.get(c) is not None:
+            exprs[c] = F.coalesce(F.col(c).cast(t), F.lit(means[c]).cast(t))
     return df.withColumns(exprs) if exprs else df
 
 
@@ -163,27 +169,25 @@ def hot_deck(df: DataFrame, col: str, id_col: str, *, salt: str = "hotdeck", don
 
 def hot_deck_many(df: DataFrame, specs: Mapping[str, tuple], id_col: str, *, salt: str = "hotdeck",
                   broadcast_donors_max: int = 1_000_000) -> DataFrame:
-    """``hot_deck`` for several numeric columns at once, with a fixed number of passes.
+    """``hot_deck`` for several columns at once, with a fixed number of passes.
 
     ``specs``: {column: (allowed values or None, replace)}. Column c gives the same values as
     ``hot_deck(df, c, id_col, salt=f"{salt}:{c}", ...)``. The columns are unpivoted to
     (id, column, value); donors get slots per column (``hash_rank`` by column), every gap
     draws its slot, ONE equi-join on (column, slot) fetches all draws, a pivot folds them back
     to one row per id, and only the rows that have a gap are joined to it. Values travel as
-    DOUBLE and are cast back to each column's type. A column with no donor keeps its gaps.
+    text, which is exact for integers, decimals, doubles, dates and texts alike, and are cast back to
+    each column's type. A column with no donor keeps its gaps.
     """
     cols = [c for c in specs if c in df.columns]
     if not cols:
         return df
     key = F.col(id_col)
-    long = df.select(key.alias("_id"), *[F.col(c).cast("double").alias(c) for c in cols]) \
-        .unpivot("_id", cols, "_c", "_v")
-    allowed = F.lit(False)
-    for c in cols:
-        values = specs[c][0]
-        ok = F.lit(True) if values is None else F.col("_v").isin([float(v) for v in values])
-        allowed = allowed | ((F.col("_c") == F.lit(c)) & ok)
-    is_donor = F.col("_v").isNotNull() & allowed
+    cells = [F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v"),
+                      (F.lit(True) if specs[c][0] is None else F.coalesce(F.col(c).isin(list(specs[c][0])), F.lit(False))).alias("_ok"))
+             for c in cols]
+    long = df.select(key.alias("_id"), F.explode(F.array(*cells)).alias("_cell")).select("_id", "_cell.*")
+    is_donor = F.col("_v").isNotNull() & F.col("_ok")
     donors = long.where(is_donor)
     # donors and gaps per column in ONE grouped pass (k rows)
     tallies = long.groupBy("_c").agg(F.count_if(is_donor).alias("n"), F.count_if(F.col("_v").isNull()).alias("g")).collect()

@@ -8,17 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows (stops counting past the bound)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise the planner (and AQE at run
-    time) chooses between broadcast and a shuffled join from real sizes."""
-    return F.broadcast(df) if bounded(df, max_rows) else df
-
-
 def broadcast_small(df: DataFrame, max_rows: int) -> DataFrame:
     """A small *derived* table (an aggregate over few groups) made a broadcast side with a
     proven bound: it is computed once, at most ``max_rows + 1`` rows are fetched, and when the
@@ -34,11 +23,7 @@ def broadcast_small(df: DataFrame, max_rows: int) -> DataFrame:
 def join_facts(facts: DataFrame, props: DataFrame, key: str = "id_parcel", how: str = "inner") -> DataFrame:
     """Facts to properties: ``inner`` (dplyr ``inner_join``) or ``right`` with properties on the
     left (``merge(p, t, all.y=TRUE)``: every fact row kept)."""
-    if how == "inner":
-        return facts.join(props, key, "inner")
-    if how == "right":
-        return props.join(facts, key, "right")
-    return facts.join(props, key, how)
+    return skew_join(facts, props, key, "left" if how == "right" else how)
 
 
 def hot_keys(df: DataFrame, key: str, hot_share: float = 0.01) -> list:
@@ -60,7 +45,9 @@ def skew_join(facts: DataFrame, props: DataFrame, key: str, how: str = "inner",
     hot = hot_keys(facts, key, hot_share)
     if not hot:
         return facts.join(props, key, how)
-    is_hot = F.col(key).isin(hot)
+    is_hot = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(False))
+    if None in hot:  # missing keys match nothing, but a left join keeps their rows: spread them too
+        is_hot = is_hot | F.col(key).isNull()
     row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
     f = facts.withColumn("_salt", F.when(is_hot, F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
@@ -73,7 +60,7 @@ def right_join_prefixed(left: DataFrame, right: DataFrame, key: str, prefix: str
     with ``left`` get ``prefix`` (Spark would keep two equal names)."""
     clash = [c for c in right.columns if c in left.columns and c != key]
     r = right.withColumnsRenamed({c: prefix + c for c in clash})
-    return left.join(r, key, "right").select(key, *[c for c in left.columns if c != key],
+    return skew_join(r, left, key, "left").select(key, *[c for c in left.columns if c != key],
                                              *[c for c in r.columns if c != key])
 
 

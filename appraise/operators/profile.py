@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from appraise.operators.evaluate import correlation
 from appraise.operators.quantiles import exact_quantiles
 
 
@@ -61,33 +62,36 @@ def quantile_table(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame
     return df.sparkSession.createDataFrame([(float(p), q) for p, q in zip(probs, qs)], "p double, q double")
 
 
-def column_quality(df: DataFrame, cols: Sequence[str], exact_distinct: bool = False) -> DataFrame:
+def column_quality(df: DataFrame, cols: Sequence[str], exact_distinct: bool | None = False) -> DataFrame:
     """Per column: rows, missing count and share, distinct count, sample variance, zero-variance
     flag — one aggregate pass. ``exact_distinct=False`` uses HyperLogLog (``approx_count_distinct``),
-    which stays one pass on any size; the exact form costs a shuffle per column."""
+    which stays one pass on any size; the exact form (True) makes a copy of each row per column and
+    shuffles them; None leaves the distinct count out. A column is constant when its least value is its
+    largest, or when it has none."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in cols:
         x = F.col(c)
-        distinct = F.count_distinct(x) if exact_distinct else F.approx_count_distinct(x)
+        distinct = F.lit(None) if exact_distinct is None else F.count_distinct(x) if exact_distinct else F.approx_count_distinct(x)
         var = F.var_samp(x.cast("double")) if _numeric(df, c) else F.lit(None).cast("double")
         aggs.append(F.struct(F.count_if(x.isNull()).alias("n_missing"), distinct.cast("bigint").alias("n_distinct"),
-                             var.alias("variance")).alias(c))
+                             var.alias("variance"), F.min(x).eqNullSafe(F.max(x)).alias("constant")).alias(c))
     wide = df.agg(*aggs)
     long = wide.unpivot(["_rows"], list(cols), "column", "s").select("column", F.col("_rows").alias("n_rows"), "s.*")
     return long.withColumns({
         "share_missing": F.col("n_missing") / F.col("n_rows"),
-        "zero_variance": F.coalesce(F.col("n_distinct") <= 1, F.lit(False)) | F.coalesce(F.col("variance") == 0, F.lit(False)),
-    })
+        "zero_variance": F.col("constant"),
+    }).drop("constant")
 
 
 def column_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """For every pair of columns, in one aggregate pass: Pearson correlation (numeric pairs) and
-    the number of rows where exactly one of the two is missing (0 = same missingness).
+    the number of rows where exactly one of the two is missing (0 = same missingness). A pair with a
+    constant column has a NULL correlation.
     Returns (a, b, corr, missing_mismatch)."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     aggs = []
     for a, b in pairs:
-        corr = (F.corr(F.col(a).cast("double"), F.col(b).cast("double")) if _numeric(df, a) and _numeric(df, b)
+        corr = (correlation(F.col(a), F.col(b)) if _numeric(df, a) and _numeric(df, b)
                 else F.lit(None).cast("double"))
         mismatch = F.count_if(F.col(a).isNull() != F.col(b).isNull())
         aggs.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), corr.alias("corr"),

@@ -7,14 +7,15 @@ are found by narrowing instead:
 
 1. ``count`` the non-missing values; the type-7 quantile at p needs the values at
    0-based ranks ``floor((n-1)p)`` and the next one.
-2. While the rank interval that holds a wanted rank has more than ``window_rows``
-   values, ask ``percentile_approx`` (a mergeable sketch, distributed) for values just
-   below and above it inside the interval, and count exactly how many values fall
-   below / inside the new bounds. The interval shrinks by about ``accuracy / 4`` per
-   round; the exact counts keep the answer exact even when the sketch is off (the
-   step is then retried with a wider margin).
-3. Group the values inside the final intervals (ties collapse, so a value that holds a
-   third of all rows is one row) in one job; that table has at most
+2. While the open interval that holds a wanted rank has more than ``window_rows`` values, ask
+   ``percentile_approx`` (a mergeable sketch, distributed) for values just below and above the rank
+   inside the interval, and count exactly how many values lie below and at each of the two.
+   A rank inside a candidate's ties is found; else the rank lies below, between or above
+   the candidates, and that open interval, which holds neither of them, is the next one. So every
+   round removes at least one distinct value, a heavy value ends the search for every rank
+   in its ties at once, and the interval shrinks by about ``accuracy / 4`` otherwise. Whatever
+   the sketch says, the counts keep the answer exact.
+3. Group the values inside the final intervals in one job; that table has at most
    ``len(ranks) * window_rows`` rows, so it is fetched and its counts are walked.
 
 At n = 10^12 and the defaults this is about five scans; at test scale it is one scan
@@ -32,68 +33,65 @@ from pyspark.sql import functions as F
 
 
 def _interval(v, lo, hi):
+    """``v`` strictly between the bounds (None: unbounded)."""
     cond = F.lit(True)
     if lo is not None:
-        cond = cond & (v >= F.lit(lo))
+        cond = cond & (v > F.lit(lo))
     if hi is not None:
-        cond = cond & (v <= F.lit(hi))
+        cond = cond & (v < F.lit(hi))
     return cond
 
 
 def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_rows: int = 100_000,
                       accuracy: int = 10_000, seeds: dict | None = None) -> dict[int, float]:
     """Values at the given 0-based ranks of the single double column ``_v`` (no NULLs).
-    ``seeds``: candidate (low, high) bounds per rank from an earlier sketch (skips one pass)."""
+    ``seeds``: candidate (low, high) values per rank from an earlier sketch (skips one pass)."""
     v = F.col("_v")
-    # rank -> [lo, hi, below, inside]; the interval [lo, hi] holds ranks below .. below+inside-1
-    state = {r: [None, None, 0, n] for r in sorted(set(ranks))}
-    margin = {r: 2.0 / accuracy for r in state}
-    for _ in range(64):
-        pending = [r for r, (lo, hi, _b, inside) in state.items()
-                   if inside > window_rows and not (lo is not None and lo == hi)]
-        if not pending:
-            break
-        # one sketch per distinct interval (in the first round every rank shares the full range)
-        groups: dict[tuple, list[int]] = {}
-        for r in pending:
-            groups.setdefault((state[r][0], state[r][1]), []).append(r)
-        aggs, wanted = [], {}
-        for gi, ((lo, hi), rs) in enumerate(groups.items()):
-            fracs = []
-            for r in rs:
-                _lo, _hi, below, inside = state[r]
-                f = (r - below) / inside
-                wanted[r] = (gi, len(fracs))
-                fracs += [max(0.0, f - margin[r]), min(1.0, f + margin[r])]
-            aggs.append(F.percentile_approx(F.when(_interval(v, lo, hi), v), fracs, accuracy).alias(f"q{gi}"))
+    out: dict[int, float] = {}
+    # rank -> (lo, hi, below, inside): the open interval holds ranks below .. below+inside-1
+    state = {r: (None, None, 0, n) for r in sorted(set(ranks))}
+    margin = 2.0 / accuracy
+    while pending := [r for r, s in state.items() if r not in out and s[3] > window_rows]:
         if seeds is not None and all(r in seeds for r in pending):
             cand, seeds = {r: seeds[r] for r in pending}, None
         else:
+            # one sketch per distinct interval (in the first round every rank shares the full range)
+            groups: dict[tuple, list[int]] = {}
+            for r in pending:
+                groups.setdefault(state[r][:2], []).append(r)
+            aggs, wanted = [], {}
+            for gi, ((lo, hi), rs) in enumerate(groups.items()):
+                fracs = []
+                for r in rs:
+                    f = (r - state[r][2]) / state[r][3]
+                    wanted[r] = (gi, len(fracs))
+                    fracs += [max(0.0, f - margin), min(1.0, f + margin)]
+                aggs.append(F.percentile_approx(F.when(_interval(v, lo, hi), v), fracs, accuracy).alias(f"q{gi}"))
             approx = values.agg(*aggs).first()
             cand = {r: (approx[f"q{gi}"][j], approx[f"q{gi}"][j + 1]) for r, (gi, j) in wanted.items()}
-        counts = []
-        for i, r in enumerate(pending):
-            a, b = cand[r]
-            counts.append(F.count_if(v < F.lit(a)).alias(f"b{i}"))
-            counts.append(F.count_if((v >= F.lit(a)) & (v <= F.lit(b))).alias(f"n{i}"))
+        points = sorted({x for pair in cand.values() for x in pair})
+        counts = [c for i, x in enumerate(points) for c in (F.count_if(v < F.lit(x)).alias(f"b{i}"), F.count_if(v == F.lit(x)).alias(f"e{i}"))]
         exact = values.agg(*counts).first()
-        for i, r in enumerate(pending):
-            below, inside = exact[f"b{i}"], exact[f"n{i}"]
-            if below <= r < below + inside and inside < state[r][3]:
-                state[r] = [cand[r][0], cand[r][1], below, inside]
-            else:  # sketch missed or did not shrink: widen the margin and retry
-                margin[r] *= 4.0
+        at = {x: (exact[f"b{i}"], exact[f"e{i}"]) for i, x in enumerate(points)}
+        for r in pending:
+            # every point counted this round may narrow the interval, not only the rank's own two
+            lo, hi, below, inside = state[r]
+            top = below + inside
+            for x in points:
+                b, e = at[x]
+                if b <= r < b + e:
+                    out[r] = float(x)
+                    break
+                if b + e <= r and b + e > below:
+                    lo, below = x, b + e
+                elif r < b and b < top:
+                    hi, top = x, b
+            state[r] = (lo, hi, below, top - below)
     # final pick: all open intervals in ONE grouped job; its rows are distinct values inside the
     # intervals, at most sum(inside) <= len(ranks) * window_rows, so fetching them is bounded
-    out: dict[int, float] = {}
-    open_ranks = []
-    for r, (lo, hi, below, _inside) in state.items():
-        if lo is not None and lo == hi:
-            out[r] = float(lo)
-        else:
-            open_ranks.append(r)
+    open_ranks = [r for r in state if r not in out]
     if open_ranks:
-        intervals = sorted({(state[r][0], state[r][1]) for r in open_ranks}, key=str)
+        intervals = sorted({state[r][:2] for r in open_ranks}, key=str)
         cond = F.lit(False)
         for lo, hi in intervals:
             cond = cond | _interval(v, lo, hi)
@@ -106,9 +104,9 @@ def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_row
             lo, hi, below, _inside = state[r]
             keep = np.ones(len(vals), dtype=bool)
             if lo is not None:
-                keep &= vals >= lo
+                keep &= vals > lo
             if hi is not None:
-                keep &= vals <= hi
+                keep &= (vals < hi) | (np.isnan(hi) & ~np.isnan(vals))
             v_in, ends = vals[keep], np.cumsum(cnts[keep])
             out[r] = float(v_in[int(np.searchsorted(ends, r - below, side="right"))])
     return out

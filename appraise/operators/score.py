@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appraise.operators.joins import cross_months
-
 # Submission months of the reference: code = month + 12 * (year - 2016), label = yyyymm
 SUBMISSION_MONTHS = [(10, "201610"), (11, "201611"), (12, "201612"), (22, "201710"), (23, "201711"), (24, "201712")]
 
@@ -21,12 +19,16 @@ def pivot_months(long: DataFrame, id_col: str, label_col: str, value_col: str, l
 
 def score_months(model, rows: DataFrame, id_col: str, months: Sequence[tuple[int, str]] = SUBMISSION_MONTHS,
                  month_col: str = "month", pred_col: str = "prediction", digits: int | None = 4) -> DataFrame:
-    """``makePrediction``: score every row once per month in one pass over the exploded rows,
-    then pivot to one column per month label."""
-    long = model.transform(cross_months(rows, months, month_col, "_label"))
-    pred = F.round(F.col(pred_col), digits) if digits is not None else F.col(pred_col)
-    long = long.select(id_col, "_label", pred.alias("_pred"))
-    return pivot_months(long, id_col, "_label", "_pred", [lbl for _, lbl in months])
+    """``makePrediction``: each month is a literal beside the row's own columns, the model is
+    applied once per month, and its prediction becomes that month's column: one scan, no shuffle.
+    Rounded half to even, as R does; ``digits=None`` leaves predictions as they are."""
+    keep = [c for c in rows.columns if c != month_col]
+    for code, label in months:
+        scored = model.transform(rows.withColumn(month_col, F.lit(code)))
+        pred = F.bround(F.col(pred_col), digits) if digits is not None else F.col(pred_col)
+        keep.append(label)
+        rows = scored.withColumn(label, pred).select(*keep)
+    return rows.select(id_col, *[label for _, label in months])
 
 
 def repeat_columns(df: DataFrame, id_col: str, value_col: str, labels: Sequence[str]) -> DataFrame:

@@ -33,9 +33,9 @@ ROUND_ONE_DROP = ("architectural_style", "area_basement", "framing", "num_bathro
                   "area_firstfloor_finished", "area_live_finished", "area_liveperi_finished", "area_total_finished",
                   "area_unknown", "area_base", "fips", "num_fireplace", "num_bath", "num_garage", "flag_tub",
                   "area_pool", "pooltypeid10", "pooltypeid2", "zoning_landuse_county", "zoning_property",
-                  "rawcensustractandblock", "region_neighbor", "region_zip", "story", "material", "area_patio",
+                  "rawcensustractandblock", "region_neighbor", "story", "material", "area_patio",
                   "area_shed", "tax_building", "tax_year", "tax_land", "tax_property", "tax_delinquency",
-                  "tax_delinquency_year", "censustractandblock")
+                  "tax_delinquency_year", "censustractandblock", "region_city")
 # ---- end of fixed values --------------------------------------------------------------------
 
 
@@ -82,25 +82,25 @@ def clean_properties(spark, sf) -> DataFrame:
     return p.select("id_parcel", *PROPERTY_FEATURES)
 
 
-_FRAMES: dict = {}
-
-
-def model_frame(spark, sf, folds: int = 3, checkpoint: bool = True) -> DataFrame:
+def model_frame(spark, sf, folds: int = 3, path: str | None = None) -> DataFrame:
     """Trimmed sales with month, joined to repaired properties, with stratified folds.
     Written once to the checkpoint folder: model selection reads it many times, and a lost
     executor then recomputes from these files, not from the raw scans. The written table keeps
-    the stratum rank, so every fold count is a projection of the same table (fold = rank mod k),
-    and within one application it is reused by every model job on the same input."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
-    base = _FRAMES.get(key) if checkpoint else None
-    if base is None:
-        s = trim_quantiles(S.sales(spark, sf).select("sale_key", "id_parcel", "logerror", "transactiondate"), "logerror")
-        s = s.withColumn("month", F.month("transactiondate")).drop("transactiondate")
-        base = stratified_folds(s.join(clean_properties(spark, sf), "id_parcel"), "logerror", "sale_key", folds,
-                                rank_col="fold_rank").drop("fold")
-        if checkpoint:
-            base = io.checkpoint_table(base, "model_frame").cache()
-            _FRAMES[key] = base
+    the stratum rank, so every fold count is a projection of the same table (fold = rank mod k): a
+    caller that fits several models gives its own ``path`` and reads it again with ``read_frame``."""
+    s = trim_quantiles(S.sales(spark, sf).select("sale_key", "id_parcel", "logerror", "transactiondate"), "logerror")
+    s = s.withColumn("month", F.month("transactiondate")).drop("transactiondate")
+    base = stratified_folds(s.join(clean_properties(spark, sf), "id_parcel"), "logerror", "sale_key", folds,
+                            rank_col="fold_rank").drop("fold")
+    return _with_folds(io.checkpoint_table(base, "model_frame", path), folds)
+
+
+def read_frame(spark, path: str, folds: int = 3) -> DataFrame:
+    """The frame that an earlier ``model_frame(path=...)`` wrote, with any number of folds."""
+    return _with_folds(spark.read.parquet(path), folds)
+
+
+def _with_folds(base: DataFrame, folds: int) -> DataFrame:
     return base.withColumn("fold", (F.col("fold_rank") % F.lit(folds)).cast("int")).drop("fold_rank")
 
 

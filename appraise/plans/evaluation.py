@@ -16,7 +16,7 @@ from appraise.functions.numeric import fixed_mean
 from appraise.operators import evaluate as V
 from appraise.operators import sampling as R
 from appraise.operators.joins import broadcast_small
-from appraise.operators.score import alias_months, pivot_months, repeat_columns
+from appraise.operators.score import alias_months, repeat_columns
 from appraise.plans.registry import register
 from appraise.plans.sqltext import SALES, strata_cte, with_
 from appraise.sources import standins as S
@@ -94,25 +94,11 @@ def kappa(spark, sf):
 
 # ---- CV table of the shrunken group mean -------------------------------------------------
 
-_FOLD_ERRORS: dict = {}
-
-
 def fold_errors(spark, sf):
-    """(alpha, fold, mae): each fold scored by means of the other two folds. The table has
-    alphas x folds rows; it is computed once per application and input and kept as a local
-    relation (fetched behind that bound), shared by the CV table, the summary and the argmin."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
-    if key not in _FOLD_ERRORS:
-        table, folded = _fold_errors(spark, sf)
-        _FOLD_ERRORS[key] = spark.createDataFrame(table.limit(len(ALPHAS) * 3).collect(), table.schema)
-        folded.unpersist()
-    return _FOLD_ERRORS[key]
-
-
-def _fold_errors(spark, sf):
+    """(alpha, fold, mae): each fold scored by means of the other two folds; alphas x folds rows.
+    One aggregate holds all alphas side by side, so the rows are not copied per alpha."""
     s = S.sales(spark, sf).select("sale_key", "flag", "logerror")
-    # reused by the statistics and by the scoring pass: persisted once (recomputable on loss)
-    folded = R.stratified_folds(s, "logerror", "sale_key", 3).persist()
+    folded = R.stratified_folds(s, "logerror", "sale_key", 3).select("fold", "flag", "logerror")
     st = folded.groupBy("fold", "flag").agg(F.sum("logerror").alias("sfg"), F.count(F.lit(1)).alias("nfg"))
     flag_tot = st.groupBy("flag").agg(F.sum("sfg").alias("sg"), F.sum("nfg").alias("ng"))
     fold_tot = st.groupBy("fold").agg(F.sum("sfg").alias("sf"), F.sum("nfg").alias("nf"))
@@ -124,10 +110,11 @@ def _fold_errors(spark, sf):
                     ((F.col("sg") - F.col("sfg")) / (F.col("ng") - F.col("nfg"))).alias("m_group"),
                     ((F.col("sa") - F.col("sf")) / (F.col("na") - F.col("nf"))).alias("m_all")))
     rows = folded.join(broadcast_small(excl, 100_000), ["fold", "flag"])
-    rows = rows.withColumn("alpha", F.explode(F.array(*[F.lit(a) for a in ALPHAS])))
-    pred = F.col("alpha") * F.col("m_group") + (F.lit(1.0) - F.col("alpha")) * F.col("m_all")
-    out = rows.groupBy("alpha", "fold").agg(F.avg(F.abs(F.col("logerror") - pred)).alias("mae"))
-    return out, folded
+    def error(a):
+        return F.avg(F.abs(F.col("logerror") - (F.lit(a) * F.col("m_group") + F.lit(1.0 - a) * F.col("m_all"))))
+
+    wide = rows.groupBy("fold").agg(*[F.struct(F.lit(a).alias("alpha"), error(a).alias("mae")).alias(f"a{i}") for i, a in enumerate(ALPHAS)])
+    return wide.select("fold", F.explode(F.array(*[f"a{i}" for i in range(len(ALPHAS))])).alias("r")).select("r.alpha", "fold", "r.mae")
 
 
 _ALPHA_VALUES = ", ".join(f"({a})" for a in ALPHAS)
@@ -188,11 +175,9 @@ _SQL_MEAN = "sum(CAST(round(logerror * 1e6) AS BIGINT))"
     + " FROM sales GROUP BY id_parcel")
 def pivot_months_q(spark, sf):
     """C2 (the pivot): long (id, month, value) → one column per month, fixed month list."""
-    s = S.sales(spark, sf)
-    long = (s.groupBy("id_parcel", F.month("transactiondate").alias("month"))
-            .agg(fixed_mean("logerror", 6).alias("value")))
-    wide = pivot_months(long, "id_parcel", "month", "value", list(range(1, 13)))
-    return wide.select("id_parcel", *[F.col(str(m)).alias(n) for m, n in zip(range(1, 13), MONTH_NAMES)])
+    month = F.month("transactiondate")
+    cells = [fixed_mean(F.when(month == m, F.col("logerror")), 6).alias(n) for m, n in zip(range(1, 13), MONTH_NAMES)]
+    return S.sales(spark, sf).groupBy("id_parcel").agg(*cells)
 
 
 LABELS = ["201610", "201611", "201612", "201710", "201711", "201712"]
@@ -214,10 +199,8 @@ w AS (SELECT id_parcel, """ + ", ".join(
 SELECT id_parcel, "201610", "201611", "201612", "201610" AS "201710", "201611" AS "201711", "201612" AS "201712" FROM w""")
 def alias_months_q(spark, sf):
     """C4: the 2017 columns reuse the 2016 ones; final header order."""
-    s = S.sales(spark, sf)
-    long = (s.groupBy("id_parcel", F.month("transactiondate").alias("month"))
-            .agg(fixed_mean("logerror", 6).alias("value"))
-            .withColumn("label", F.concat(F.lit("2016"), F.col("month").cast("string"))))
-    wide = pivot_months(long, "id_parcel", "label", "value", ["201610", "201611", "201612"])
+    month = F.month("transactiondate")
+    cells = [fixed_mean(F.when(month == m, F.col("logerror")), 6).alias(f"2016{m}") for m in (10, 11, 12)]
+    wide = S.sales(spark, sf).groupBy("id_parcel").agg(*cells)
     return alias_months(wide, "id_parcel", {"201610": "201610", "201611": "201611", "201612": "201612",
                                             "201710": "201610", "201711": "201611", "201712": "201612"})

@@ -13,29 +13,22 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from appraise.operators import evaluate as V
-from appraise.operators.sampling import split_stratified
 from appraise.operators.score import SUBMISSION_MONTHS, score_months
 from appraise.plans.cleaning import clean_properties, model_frame
-from appraise.plans.modelling import LABEL, cross_validate, forest, pipeline
+from appraise.plans.modelling import FINAL_TREES, LABEL, MAX_DEPTH, MTRY, final_forest, forest, forest_cv, holdout
 from appraise.session import build_session, scratch_path
 from appraise.sources import io
 
 
-def forest_submission(spark, sf: str, out: str | None = None, mtry_grid=(2, 3, 4), num_trees: int = 20) -> dict:
+def forest_submission(spark, sf: str, out: str | None = None, mtry_grid=MTRY, num_trees: int = FINAL_TREES, max_depth: int = MAX_DEPTH) -> dict:
     frame = model_frame(spark, sf)
-    rf = forest(num_trees=num_trees)
-    grid = ParamGridBuilder().addGrid(rf.featureSubsetStrategy, [str(m) for m in mtry_grid]).build()
-    cvm = cross_validate(frame, rf, grid)
-    best = int(min(zip(cvm.avgMetrics, mtry_grid))[1])
-    split = split_stratified(frame, LABEL, "sale_key", 0.6)
-    held = pipeline(forest(num_trees=num_trees, mtry=best)).fit(split.where("is_train"))
-    m = V.error_metrics(held.transform(split.where(~F.col("is_train")))
-                        .select(F.col(LABEL).alias("obs"), F.col("prediction").alias("pred"))).first()
-    final = pipeline(forest(num_trees=2 * num_trees, mtry=best)).fit(frame)
+    cvm, _grid, best = forest_cv(frame, mtry_grid, num_trees, max_depth)
+    _held, scored = holdout(frame, forest(num_trees, max_depth, best))
+    m = V.error_metrics(scored.select(F.col(LABEL).alias("obs"), F.col("prediction").alias("pred"))).first()
+    final = final_forest(frame, best, num_trees, max_depth)
     wide = score_months(final, clean_properties(spark, sf), "id_parcel", SUBMISSION_MONTHS)
     target = out or scratch_path(spark, "submission")
     io.write_csv(wide.withColumnRenamed("id_parcel", "ParcelId"), target)

@@ -34,7 +34,7 @@ def join_right_outer(spark, sf):
     """Every sale kept; sales of parcels without a (finished/open) property row get NULL sides."""
     p = S.properties(spark, sf).where(F.col("status").isin("F", "O")).select("id_parcel", "tax_total", "status")
     s = S.sales(spark, sf).select("id_parcel", "sale_key", "logerror")
-    return J.join_facts(s, p, "id_parcel", "right")
+    return J.join_facts(s, p, "id_parcel", "right").select("id_parcel", "tax_total", "status", "sale_key", "logerror")
 
 
 @register("join_right_prefix", with_(PROPS, SALES) + """

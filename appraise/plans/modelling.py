@@ -1,9 +1,11 @@
 """MLlib training, selection and scoring jobs (inventory 2.8, V6, V7, C1, C2).
 
-All fits read one checkpointed training frame (``cleaning.model_frame``) whose stratified
+All fits of a job read one checkpointed training frame (``cleaning.model_frame``) whose stratified
 folds feed ``CrossValidator(foldCol=...)``, so every model family is compared on the same
-rows. Grids here are small; the functions take any grid. These keys have no SQL oracle
-(iterative fits); their tests live in tests/test_models.py.
+rows. The job functions take a frame and any grid; their defaults are the reference's values (fixed
+values, below). The registered keys call them with ``QUICK``, since MLlib grows boosted trees one
+after another and the full grids are hundreds of fits of up to 3000 rounds. These keys have no SQL
+oracle (iterative fits); their tests live in tests/test_models.py.
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -23,8 +25,7 @@ from pyspark.sql import functions as F
 
 from appraise.functions import rsem
 from appraise.operators import evaluate as V
-from appraise.operators import lasso as L
-from appraise.operators.sampling import bootstrap_weights, shuffle_column, split_stratified
+from appraise.operators.sampling import bootstrap_weights, shuffle_column, split_random, split_stratified
 from appraise.operators.score import SUBMISSION_MONTHS, score_months
 from appraise.operators.stages import BoxCox
 from appraise.plans.cleaning import FEATURES, clean_properties, model_frame
@@ -34,6 +35,25 @@ LABEL = "logerror"
 SEED = 2016
 PARALLEL_FITS = 4
 
+# ---- fixed values: the grids and settings of the reference ------------------------------------
+MTRY = (2, 3, 4, 5, 6, 7)
+SIGN_MTRY = tuple(range(2, 14))
+TREE_COUNTS = (50, 100, 250, 500, 1000, 1500)
+FINAL_TREES = 800
+BOOST_DEPTHS, BOOST_STEPS, BOOST_TREES, BOOST_MIN_ROWS = (3, 5, 7), (0.3, 0.1, 0.03, 0.01), (100, 200, 500), 20
+ROUNDS, PATIENCE, STEP = 3000, 100, 0.005
+SEARCH = {"maxIter": (2000,), "stepSize": (0.005, 0.01, 0.025, 0.1), "maxDepth": (2, 3, 4, 5, 6, 7, 8), "minInfoGain": (0.0, 0.5, 1.0),
+          "featureSubsetStrategy": ("0.25", "0.5"), "minInstancesPerNode": (1, 5, 10), "subsamplingRate": (0.1, 0.7, 1.0)}
+LAMBDAS = tuple(10.0 ** (-7 + 9 * k / 99) for k in range(100))
+# ---- end of fixed values --------------------------------------------------------------------
+MAX_DEPTH = 12  # MLlib grows level by level; the reference's forests set no depth
+
+#: What the registered keys pass instead.
+QUICK = {"trees": 20, "depth": 6, "mtry": (2, 3, 4), "tree_counts": (10, 20, 40), "boost": ((2, 4), (0.05, 0.1), (10, 20, 40)),
+         "rounds": {"rounds": 60, "patience": 20, "step": 0.1, "block": 30}, "lambdas": LAMBDAS[::11], "folds": 3,
+         "search": {"maxIter": (10,), "stepSize": (0.1,), "maxDepth": (2, 4), "minInfoGain": (0.0, 0.5), "featureSubsetStrategy": ("0.5",),
+                    "minInstancesPerNode": (1, 10), "subsamplingRate": (0.7,)}}
+
 
 def assembler(features: Sequence[str] = FEATURES) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
@@ -43,7 +63,7 @@ def mae_evaluator(label: str = LABEL) -> RegressionEvaluator:
     return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mae")
 
 
-def forest(num_trees: int = 20, max_depth: int = 6, mtry: int | None = None, label: str = LABEL) -> RandomForestRegressor:
+def forest(num_trees: int = FINAL_TREES, max_depth: int = MAX_DEPTH, mtry: int | None = None, label: str = LABEL) -> RandomForestRegressor:
     return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=num_trees, maxDepth=max_depth,
                                  featureSubsetStrategy=str(mtry) if mtry else "onethird", minInstancesPerNode=5,
                                  seed=SEED)
@@ -62,10 +82,10 @@ def pipeline(estimator, scale: bool = False, boxcox: Sequence[str] = ()) -> Pipe
 
 
 def cross_validate(frame: DataFrame, estimator, grid, folds: int = 3, parallelism: int = 4, scale: bool = False,
-                   boxcox: Sequence[str] = ()):
+                   boxcox: Sequence[str] = (), evaluator=None):
     """caret ``train(trControl=cv)``: every grid point on the frame's own fold column."""
     cv = CrossValidator(estimator=pipeline(estimator, scale, boxcox), estimatorParamMaps=grid,
-                        evaluator=mae_evaluator(), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED)
+                        evaluator=evaluator or mae_evaluator(), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED)
     return cv.fit(frame)
 
 
@@ -78,22 +98,26 @@ def _grid_table(spark, cv_model, grid, names: dict, extra: dict | None = None) -
     return spark.createDataFrame(rows)
 
 
+def forest_cv(frame: DataFrame, mtry: Sequence[int] = MTRY, num_trees: int = FINAL_TREES, max_depth: int = MAX_DEPTH):
+    """CV of a regression forest over mtry: (fitted CrossValidatorModel, grid, best mtry)."""
+    rf = forest(num_trees, max_depth)
+    grid = ParamGridBuilder().addGrid(rf.featureSubsetStrategy, [str(m) for m in mtry]).build()
+    cvm = cross_validate(frame, rf, grid)
+    return cvm, grid, int(mtry[int(np.argmin(cvm.avgMetrics))])
+
+
 @register("rf_cv")
 def rf_cv(spark, sf):
-    """M1 + M4: forest regression, 3-fold CV over mtry, then the refit with the best mtry."""
-    frame = model_frame(spark, sf)
-    rf = forest()
-    grid = ParamGridBuilder().addGrid(rf.featureSubsetStrategy, ["2", "3", "4"]).build()
-    cvm = cross_validate(frame, rf, grid)
+    """M1: forest regression, 3-fold CV over mtry."""
+    cvm, grid, _best = forest_cv(model_frame(spark, sf), QUICK["mtry"], QUICK["trees"], QUICK["depth"])
     return _grid_table(spark, cvm, grid, {"featureSubsetStrategy": "mtry"}).select(
         F.col("mtry").cast("int").alias("mtry"), "mae_mean", "mae_sd", "best")
 
 
-def holdout(spark, sf, p: float = 0.6, mtry: int = 3, num_trees: int = 20):
+def holdout(frame: DataFrame, estimator, p: float = 0.6):
     """Fit on a ``p`` outcome-stratified split, score the rest: (model, scored hold-out rows)."""
-    frame = model_frame(spark, sf)
     split = split_stratified(frame, LABEL, "sale_key", p)
-    model = pipeline(forest(num_trees=num_trees, mtry=mtry)).fit(split.where("is_train"))
+    model = pipeline(estimator).fit(split.where("is_train"))
     return model, model.transform(split.where(~F.col("is_train")))
 
 
@@ -101,112 +125,190 @@ def holdout(spark, sf, p: float = 0.6, mtry: int = 3, num_trees: int = 20):
 def rf_holdout(spark, sf):
     """Hold-out check of the tuned forest (60 % stratified split): MAE, correlation of observed
     and predicted, and the hold-out size, as the reference prints them."""
-    _model, scored = holdout(spark, sf)
+    _model, scored = holdout(model_frame(spark, sf), forest(QUICK["trees"], QUICK["depth"], 3))
     m = V.error_metrics(scored.select(F.col(LABEL).alias("obs"), F.col("prediction").alias("pred")))
     return m.select("mae", "corr", F.col("n").alias("n_test"))
 
 
+def tree_sweep(frame: DataFrame, tree_counts: Sequence[int] = TREE_COUNTS, mtry: int = 4, max_depth: int = MAX_DEPTH):
+    """CV error by number of trees at a fixed mtry (same seed): (CrossValidatorModel, grid)."""
+    rf = forest(max_depth=max_depth, mtry=mtry)
+    grid = ParamGridBuilder().addGrid(rf.numTrees, list(tree_counts)).build()
+    return cross_validate(frame, rf, grid), grid
+
+
 @register("rf_tree_sweep")
 def rf_tree_sweep(spark, sf):
-    """M3: CV error by number of trees at a fixed mtry (same seed)."""
-    frame = model_frame(spark, sf)
-    rf = forest(mtry=3)
-    grid = ParamGridBuilder().addGrid(rf.numTrees, [10, 20, 40]).build()
-    cvm = cross_validate(frame, rf, grid)
+    """M3: CV error by number of trees."""
+    cvm, grid = tree_sweep(model_frame(spark, sf), QUICK["tree_counts"], 3, QUICK["depth"])
     return _grid_table(spark, cvm, grid, {"numTrees": "num_trees"}).select("num_trees", "mae_mean", "mae_sd", "best")
 
 
+def signed(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("sign", rsem.sign_label(LABEL).cast("double"))
+
+
+def sign_forest(num_trees: int = 500, max_depth: int = MAX_DEPTH, mtry: int | None = None, weight: str | None = None):
+    clf = RandomForestClassifier(labelCol="sign", featuresCol="features", numTrees=num_trees, maxDepth=max_depth,
+                                 featureSubsetStrategy=str(mtry) if mtry else "sqrt", seed=SEED)
+    return clf.setWeightCol(weight) if weight else clf
+
+
+def sign_cv(frame: DataFrame, classifier, grid, p: float = 0.75):
+    """Accuracy CV of a classifier of the target's sign on the training part of a stratified split, then the
+    winner refitted on that part and its 2 x 2 table on the hold-out: (CrossValidatorModel, scored hold-out)."""
+    split = split_stratified(signed(frame), LABEL, "sale_key", p)
+    accuracy = MulticlassClassificationEvaluator(labelCol="sign", metricName="accuracy")
+    cvm = cross_validate(split.where("is_train"), classifier, grid, evaluator=accuracy)
+    return cvm, cvm.bestModel.transform(split.where(~F.col("is_train")))
+
+
+def _sign_table(spark, cvm, grid, names: dict, held: DataFrame) -> DataFrame:
+    """One row per grid point (CV accuracy), the winner's with its hold-out counts, accuracy and kappa."""
+    s, p = F.col("sign"), F.col("prediction")
+    cells = [F.count_if((s == a) & (p == b)).alias(f"obs{a}_pred{b}") for a in (0, 1) for b in (0, 1)]
+    h, m = held.agg(*cells).first().asDict(), V.accuracy_kappa(held, "sign", "prediction").first()
+    best = int(np.argmax(cvm.avgMetrics))
+    rows, blank = [], {**dict.fromkeys(h), "holdout_accuracy": None, "holdout_kappa": None}
+    for i, (pm, acc) in enumerate(zip(grid, cvm.avgMetrics)):
+        won = {**h, "holdout_accuracy": float(m["accuracy"]), "holdout_kappa": m["kappa"]} if i == best else blank
+        rows.append({**{names[k.name]: float(v) for k, v in pm.items()}, "cv_accuracy": float(acc), "best": i == best, **won})
+    kinds = [*[f"{n} double" for n in names.values()], "cv_accuracy double", "best boolean", *[f"{c} long" for c in h],
+             "holdout_accuracy double", "holdout_kappa double"]
+    return spark.createDataFrame(rows, ", ".join(kinds))
+
+
+@register("rf_sign_cv")
+def rf_sign_cv(spark, sf):
+    """M2: forest classification of the sign, CV over mtry, then the winner's hold-out table."""
+    clf = sign_forest(QUICK["trees"], QUICK["depth"])
+    grid = ParamGridBuilder().addGrid(clf.featureSubsetStrategy, [str(m) for m in QUICK["mtry"]]).build()
+    cvm, held = sign_cv(model_frame(spark, sf), clf, grid)
+    return _sign_table(spark, cvm, grid, {"featureSubsetStrategy": "mtry"}, held)
+
+
+@register("gbt_sign")
+def gbt_sign(spark, sf):
+    """M5: boosted classification of the sign over depth x shrinkage, then the winner's hold-out table."""
+    depths, steps, trees = QUICK["boost"]
+    clf = GBTClassifier(labelCol="sign", featuresCol="features", maxIter=min(trees), minInstancesPerNode=BOOST_MIN_ROWS, seed=SEED)
+    grid = ParamGridBuilder().addGrid(clf.maxDepth, list(depths)).addGrid(clf.stepSize, list(steps)).build()
+    cvm, held = sign_cv(model_frame(spark, sf), clf, grid)
+    return _sign_table(spark, cvm, grid, {"maxDepth": "max_depth", "stepSize": "step_size"}, held)
+
+
 @register("rf_sign")
 def rf_sign(spark, sf):
     """M2: forest classification of the sign of the target, scored on the out-of-bag rows of
     five bootstrap resamples (weight = times drawn): accuracy and kappa per resample."""
-    frame = model_frame(spark, sf).withColumn("sign", rsem.sign_label(LABEL).cast("double"))
+    frame = signed(model_frame(spark, sf))
     weights = bootstrap_weights(frame.select("sale_key"), "sale_key", 5)
-    data = frame.join(weights, "sale_key")
-    prep = assembler().transform(data).cache()
+    wide = weights.groupBy("sale_key").agg(*[F.sum(F.when(F.col("resample") == b, F.col("weight"))).cast("double").alias(f"w{b}") for b in range(5)])
+    prep = assembler().transform(frame.join(wide, "sale_key")).cache()
     rows = []
     for b in range(5):
-        part = prep.where(F.col("resample") == b)
-        clf = RandomForestClassifier(labelCol="sign", featuresCol="features", weightCol="weight", numTrees=20,
-                                     maxDepth=6, featureSubsetStrategy="3", seed=SEED)
-        model = clf.fit(part.where(F.col("weight") > 0).withColumn("weight", F.col("weight").cast("double")))
-        oob = model.transform(part.where(F.col("weight") == 0))
+        clf = sign_forest(QUICK["trees"], QUICK["depth"], 3, f"w{b}")
+        oob = clf.fit(prep.where(F.col(f"w{b}") > 0)).transform(prep.where(F.col(f"w{b}") == 0))
         m = V.accuracy_kappa(oob, "sign", "prediction").first()
         rows.append((b, int(m["n"]), float(m["accuracy"]), float(m["kappa"]) if m["kappa"] is not None else None))
     prep.unpersist()
     return spark.createDataFrame(rows, "resample int, n_oob long, accuracy double, kappa double")
 
 
-@register("gbt_grid")
-def gbt_grid(spark, sf):
-    """M5/M9: boosting grid depth x shrinkage x trees; the tree-count axis comes from ONE fit per
+def boosting_grid(frame: DataFrame, depths=BOOST_DEPTHS, steps=BOOST_STEPS, tree_counts=BOOST_TREES, min_rows: int = BOOST_MIN_ROWS, folds: int = 3):
+    """Rows (depth, step, trees, MAE mean, sd): the tree-count axis comes from ONE fit per
     (depth, shrinkage, fold) at the largest count, scored per iteration on the held-out fold."""
-    frame = assembler().transform(model_frame(spark, sf))
-    depths, steps, tree_counts = [2, 4], [0.05, 0.1], [10, 20, 40]
+    frame = assembler().transform(frame)
 
     def held_out_curve(task):
         depth, step, f = task
         gbt = GBTRegressor(labelCol=LABEL, featuresCol="features", maxIter=max(tree_counts), maxDepth=depth,
-                           stepSize=step, minInstancesPerNode=10, seed=SEED)
+                           stepSize=step, minInstancesPerNode=min_rows, seed=SEED)
         model = gbt.fit(frame.where(F.col("fold") != f))
         return model.evaluateEachIteration(frame.where(F.col("fold") == f), "absolute")
 
-    tasks = [(d, s, f) for d in depths for s in steps for f in range(3)]
+    tasks = [(d, s, f) for d in depths for s in steps for f in range(folds)]
     # independent fits run as concurrent Spark jobs (as CrossValidator(parallelism=...) does)
     with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
         curves = dict(zip(tasks, pool.map(held_out_curve, tasks)))
     rows = []
     for depth in depths:
         for step in steps:
-            errs = np.array([curves[(depth, step, f)] for f in range(3)])
-            for t in tree_counts:
-                col = errs[:, t - 1]
-                rows.append((depth, step, t, float(col.mean()), float(col.std(ddof=1))))
+            errs = np.array([curves[(depth, step, f)] for f in range(folds)])
+            rows += [(depth, step, t, float(errs[:, t - 1].mean()), float(errs[:, t - 1].std(ddof=1))) for t in tree_counts]
+    return rows
+
+
+@register("gbt_grid")
+def gbt_grid(spark, sf):
+    """M5: boosting grid depth x shrinkage x trees."""
+    rows = boosting_grid(model_frame(spark, sf), *QUICK["boost"])
     best = min(range(len(rows)), key=lambda i: rows[i][3])
     return spark.createDataFrame([(*r, i == best) for i, r in enumerate(rows)],
                                  "max_depth int, step_size double, num_trees int, mae_mean double, mae_sd double, best boolean")
 
 
-def boost_curves(spark, sf, rounds: int = 60, patience: int = 20):
-    """Per-round CV of boosting with row (0.7) and column (0.5) subsampling: train and test MAE
-    mean and sd (population, as xgb.cv) per round, and the best round with early stopping after
-    ``patience`` rounds without improvement. Returns (rows, best_round, frame)."""
-    frame = assembler().transform(model_frame(spark, sf))
+def boosting_search(frame: DataFrame, axes: dict = SEARCH):
+    """CV over all seven boosting parameters: (CrossValidatorModel, grid)."""
+    gbt = GBTRegressor(labelCol=LABEL, featuresCol="features", seed=SEED)
+    build = ParamGridBuilder()
+    for name, values in axes.items():
+        build = build.addGrid(getattr(gbt, name), list(values))
+    grid = build.build()
+    return cross_validate(frame, gbt, grid, parallelism=PARALLEL_FITS), grid
 
-    def curves(f):
-        gbt = booster(rounds)
-        model = gbt.fit(frame.where(F.col("fold") != f))
-        return (model.evaluateEachIteration(frame.where(F.col("fold") != f), "absolute"),
-                model.evaluateEachIteration(frame.where(F.col("fold") == f), "absolute"))
 
-    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
-        results = list(pool.map(curves, range(3)))
-    tr, te = np.array([r[0] for r in results]), np.array([r[1] for r in results])
-    mean = te.mean(axis=0)
-    best, since = 0, 0
-    for r in range(1, rounds):
-        if mean[r] < mean[best]:
-            best, since = r, 0
-        else:
-            since += 1
-            if since >= patience:
-                break
-    rows = [(r + 1, float(tr[:, r].mean()), float(tr[:, r].std()), float(te[:, r].mean()), float(te[:, r].std()), r == best)
-            for r in range(rounds)]
-    return rows, best + 1, frame
+@register("gbt_search")
+def gbt_search(spark, sf):
+    """M9: boosting search over rounds, shrinkage, depth, split penalty, column share, least rows and row share."""
+    cvm, grid = boosting_search(model_frame(spark, sf), QUICK["search"])
+    names = {"maxIter": "num_trees", "stepSize": "step_size", "maxDepth": "max_depth", "minInfoGain": "min_gain",
+             "featureSubsetStrategy": "column_share", "minInstancesPerNode": "min_rows", "subsamplingRate": "row_share"}
+    return _grid_table(spark, cvm, grid, names).select(*names.values(), "mae_mean", "mae_sd", "best")
 
 
-def booster(rounds: int) -> GBTRegressor:
+def booster(rounds: int, step: float = STEP) -> GBTRegressor:
     """The reference's boosting setup on MLlib: depth 2, row subsample 0.7, column share 0.5 per
     node, min 10 rows per leaf (min_child_weight's nearest MLlib knob)."""
-    return GBTRegressor(labelCol=LABEL, featuresCol="features", maxIter=rounds, maxDepth=2, stepSize=0.1,
+    return GBTRegressor(labelCol=LABEL, featuresCol="features", maxIter=rounds, maxDepth=2, stepSize=step,
                         minInstancesPerNode=10, subsamplingRate=0.7, featureSubsetStrategy="0.5", seed=SEED)
 
 
+def boost_curves(frame: DataFrame, rounds: int = ROUNDS, patience: int = PATIENCE, step: float = STEP, block: int = 200, folds: int = 3):
+    """Per-round CV of boosting with row (0.7) and column (0.5) subsampling: train and test MAE
+    mean and sd (population, as xgb.cv) per round, and the best round. Rounds beyond an early stop are
+    not fitted: the folds are fitted for ``block`` rounds, and for twice as many as long as the best round has not
+    stood for ``patience`` rounds. Returns (rows up to the stop, best_round)."""
+    frame = assembler().transform(frame).cache()
+    fitted = min(block, rounds)
+    while True:
+        def curves(f, fitted=fitted):
+            model = booster(fitted, step).fit(frame.where(F.col("fold") != f))
+            return (model.evaluateEachIteration(frame.where(F.col("fold") != f), "absolute"),
+                    model.evaluateEachIteration(frame.where(F.col("fold") == f), "absolute"))
+
+        with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
+            results = list(pool.map(curves, range(folds)))
+        tr, te = np.array([r[0] for r in results]), np.array([r[1] for r in results])
+        mean = te.mean(axis=0)
+        best = stop = 0
+        while stop + 1 < fitted and stop - best < patience:
+            stop += 1
+            if mean[stop] < mean[best]:
+                best = stop
+        if stop - best >= patience or fitted >= rounds:
+            break
+        fitted = min(2 * fitted, rounds)
+    frame.unpersist()
+    rows = [(r + 1, float(tr[:, r].mean()), float(tr[:, r].std()), float(te[:, r].mean()), float(te[:, r].std()), r == best)
+            for r in range(stop + 1)]
+    return rows, best + 1
+
+
 @register("boost_cv_rounds")
 def boost_cv_rounds(spark, sf):
-    """M7: the per-round CV table (train / test MAE mean and sd) with the best round flagged."""
-    rows, _best, _frame = boost_curves(spark, sf)
+    """M7: the per-round CV table (train / test MAE mean and sd) up to the early stop, the best round flagged."""
+    rows, _best = boost_curves(model_frame(spark, sf), **QUICK["rounds"])
     return spark.createDataFrame(rows, "round int, train_mae_mean double, train_mae_sd double, "
                                        "test_mae_mean double, test_mae_sd double, best boolean")
 
@@ -215,28 +317,47 @@ def boost_cv_rounds(spark, sf):
 def boost_final(spark, sf):
     """M8 + V6: the final boosting fit on all rows at the best CV round, and its gain
     importance per feature (``xgb.train`` then ``xgb.importance``)."""
-    _rows, best, frame = boost_curves(spark, sf)
-    model = booster(best).fit(frame)
-    imp = model.featureImportances.toArray()
-    out = sorted(zip(FEATURES, map(float, imp)), key=lambda r: -r[1])
+    frame = model_frame(spark, sf)
+    _rows, best = boost_curves(frame, **QUICK["rounds"])
+    model = booster(best, QUICK["rounds"]["step"]).fit(assembler().transform(frame))
+    out = sorted(zip(FEATURES, map(float, model.featureImportances.toArray())), key=lambda r: -r[1])
     return spark.createDataFrame([(f, g, best) for f, g in out], "feature string, gain double, rounds int")
 
 
+def lasso(lam: float = 0.0) -> LinearRegression:
+    """L1 regression without intercept on standardised columns (MLlib scales them by their sd)."""
+    return LinearRegression(labelCol=LABEL, featuresCol="features", regParam=lam, elasticNetParam=1.0, fitIntercept=False, standardization=True)
+
+
+def lasso_path(frame: DataFrame, lambdas: Sequence[float] = LAMBDAS, folds: int = 10, p: float = 0.75):
+    """The 75/25 split, CV of lambda on the training part only, the refit there, and the hold-out scored with it:
+    (CrossValidatorModel, lambda.min, scored hold-out). ``frame`` has a fold column of ``folds`` folds."""
+    split = split_random(frame, "sale_key", p)
+    est = lasso()
+    grid = ParamGridBuilder().addGrid(est.regParam, list(lambdas)).build()
+    mse = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="mse")
+    train = split.where("is_train").cache()
+    cvm = cross_validate(train, est, grid, folds=folds, evaluator=mse)
+    train.unpersist()
+    return cvm, float(lambdas[int(np.argmin(cvm.avgMetrics))]), cvm.bestModel.transform(split.where(~F.col("is_train")))
+
+
 @register("lasso_cv")
 def lasso_cv(spark, sf):
-    """M6: L1 path on 100 lambdas (10^-7 .. 10^2), no intercept, standardised; 10-fold CV
-    picks lambda.min; one aggregate pass over the data (see ``operators.lasso``)."""
-    frame = model_frame(spark, sf, folds=10)
-    rows, best, _coef = L.lasso_cv(frame, FEATURES, LABEL, "fold")
-    return spark.createDataFrame([(*r, r[0] == best) for r in rows],
-                                 "lambda double, cv_mse_mean double, cv_mse_sd double, n_nonzero int, best boolean")
+    """M6: L1 path by CV on the training part; the winner's row has the hold-out MSE, MAE and correlation."""
+    cvm, best, held = lasso_path(model_frame(spark, sf, folds=QUICK["folds"]), QUICK["lambdas"], QUICK["folds"])
+    m = V.error_metrics(held.select(F.col(LABEL).alias("obs"), F.col("prediction").alias("pred"))).first()
+    rows = [(lam, float(a), float(s), lam == best, *((m["mse"], m["mae"], m["corr"]) if lam == best else (None,) * 3))
+            for lam, a, s in zip(QUICK["lambdas"], cvm.avgMetrics, cvm.stdMetrics)]
+    return spark.createDataFrame(rows, "lambda double, cv_mse_mean double, cv_mse_sd double, best boolean, "
+                                       "holdout_mse double, holdout_mae double, holdout_corr double")
 
 
 @register("lasso_coefficients")
 def lasso_coefficients(spark, sf):
     """M6: coefficients of the refit at lambda.min (``coef(fit, s=lambda.min)``)."""
-    frame = model_frame(spark, sf, folds=10)
-    _rows, best, coef = L.lasso_cv(frame, FEATURES, LABEL, "fold")
+    cvm, best, _held = lasso_path(model_frame(spark, sf, folds=QUICK["folds"]), QUICK["lambdas"], QUICK["folds"])
+    coef = cvm.bestModel.stages[-1].coefficients.toArray()
     return spark.createDataFrame([(c, float(b), best) for c, b in zip(FEATURES, coef)],
                                  "feature string, coefficient double, lambda double")
 
@@ -248,7 +369,7 @@ def leaderboard(spark, sf):
     frame = model_frame(spark, sf)
     families = {
         "linear": LinearRegression(labelCol=LABEL, featuresCol="features", regParam=1e-4, elasticNetParam=1.0),
-        "forest": forest(mtry=3),
+        "forest": forest(QUICK["trees"], QUICK["depth"], 3),
         "boosting": GBTRegressor(labelCol=LABEL, featuresCol="features", maxIter=20, maxDepth=3, stepSize=0.1, seed=SEED),
     }
     rows = []
@@ -260,42 +381,37 @@ def leaderboard(spark, sf):
     return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)], "rank int, model string, mae_mean double, mae_sd double")
 
 
-_FINAL: dict = {}
+def final_forest(frame: DataFrame, mtry: int, num_trees: int = FINAL_TREES, max_depth: int = MAX_DEPTH):
+    """M4: the forest refit on all training rows with the CV's winner."""
+    return pipeline(forest(num_trees, max_depth, mtry)).fit(frame)
 
 
-def final_forest(spark, sf, num_trees: int = 40, mtry: int = 3):
-    """M4: the forest refit on all training rows with the chosen parameters. Fitted once per
-    application and input; importance and scoring use the same fitted model, as the reference does."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"), num_trees, mtry)
-    frame = model_frame(spark, sf)
-    if key not in _FINAL:
-        _FINAL[key] = Pipeline(stages=[assembler(), forest(num_trees=num_trees, mtry=mtry)]).fit(frame)
-    return _FINAL[key], frame
+def _winner(frame: DataFrame):
+    _cvm, _grid, best = forest_cv(frame, QUICK["mtry"], QUICK["trees"], QUICK["depth"])
+    return final_forest(frame, best, 2 * QUICK["trees"], QUICK["depth"])
 
 
 @register("importance_gain")
 def importance_gain(spark, sf, k: int = 20):
-    """Impurity importance per feature of the final forest, largest first, top k."""
-    model, _ = final_forest(spark, sf)
-    imp = model.stages[-1].featureImportances.toArray()
+    """Impurity importance per feature of the CV winner's final forest, largest first, top k."""
+    imp = _winner(model_frame(spark, sf)).stages[-1].featureImportances.toArray()
     rows = sorted(zip(FEATURES, map(float, imp)), key=lambda r: -r[1])[:k]
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
 @register("importance_permutation")
 def importance_permutation(spark, sf):
-    """V7: permutation importance. Fit on a 60 % stratified split; on the held-out rows shuffle
-    one feature at a time (repeatable hash permutation) and report the rise of the MAE."""
+    """V7: permutation importance. Fit on a 60 % stratified split; each held-out row meets the features of
+    another row (one repeatable hash permutation, one join), and every feature in turn takes that row's value:
+    the rise of the MAE is its importance."""
     frame = model_frame(spark, sf)
     split = split_stratified(frame, LABEL, "sale_key", 0.6)
-    train, test = split.where("is_train"), split.where(~F.col("is_train")).cache()
-    model = Pipeline(stages=[assembler(), forest(mtry=3)]).fit(train)
+    model = pipeline(forest(QUICK["trees"], QUICK["depth"], 3)).fit(split.where("is_train"))
+    test = split.where(~F.col("is_train")).withColumn("own", F.struct(*FEATURES))
+    test = shuffle_column(test, "own", "sale_key", salt="perm", out_col="other").cache()
     ev = mae_evaluator()
     base = ev.evaluate(model.transform(test))
-    rows = []
-    for c in FEATURES:
-        shuffled = shuffle_column(test, c, "sale_key", salt=f"perm-{c}")
-        rows.append((c, float(ev.evaluate(model.transform(shuffled)) - base), float(base)))
+    rows = [(c, float(ev.evaluate(model.transform(test.withColumn(c, F.col("other")[c]))) - base), float(base)) for c in FEATURES]
     test.unpersist()
     rows.sort(key=lambda r: -r[1])
     return spark.createDataFrame(rows, "feature string, mae_increase double, base_mae double")
@@ -303,8 +419,6 @@ def importance_permutation(spark, sf):
 
 @register("predict_pivot")
 def predict_pivot(spark, sf):
-    """Score every property for the six submission months in one pass over the
-    exploded rows; wide result (parcel, 201610 .. 201712), 4 decimals."""
-    model, _ = final_forest(spark, sf)
-    props = clean_properties(spark, sf)
-    return score_months(model, props, "id_parcel", SUBMISSION_MONTHS, "month", "prediction", 4)
+    """The CV winner's final forest scores every property for the six submission months side by side;
+    wide result (parcel, 201610 .. 201712), 4 decimals."""
+    return score_months(_winner(model_frame(spark, sf)), clean_properties(spark, sf), "id_parcel", SUBMISSION_MONTHS, "month", "prediction", 4)

@@ -92,7 +92,8 @@ SELECT "column", CASE WHEN share_missing > 0.05 THEN 'missing' WHEN zero_varianc
 FROM q""")
 def drop_rules(spark, sf):
     """The drop list from the quality profile (mostly-missing or constant columns)."""
-    return A.drop_rules(quality_table(spark, sf), max_share_missing=0.05).select("column", "reason", "drop")
+    quality = A.column_quality(S.properties(spark, sf), QUALITY_COLS, exact_distinct=None)
+    return A.drop_rules(quality, max_share_missing=0.05).select("column", "reason", "drop")
 
 
 @register("topk", with_(SALES) + "SELECT sale_key, logerror FROM sales ORDER BY logerror DESC, sale_key LIMIT 20")

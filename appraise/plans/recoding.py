@@ -79,13 +79,13 @@ def zscore(spark, sf):
 
 
 @register("zscore_train_only", with_(PROPS) + f""",
-t AS (SELECT *, {h('train', 'id_parcel')} < 3221225472 AS is_train FROM props),
+t AS (SELECT *, {h('train', 'id_parcel')} < {3 << 58} AS is_train FROM props),
 m AS (SELECT avg(tax_total) AS mu, stddev_samp(tax_total) AS sd FROM t WHERE is_train)
 SELECT id_parcel, is_train, round((tax_total - mu) / sd, 8) AS tax_total FROM t, m""")
 def zscore_train_only(spark, sf):
     """Centre and scale with statistics of the training rows only, applied to every row."""
     p = S.properties(spark, sf).select("id_parcel", "tax_total")
-    p = p.withColumn("is_train", keyed_hash("train", "id_parcel") < F.lit(3 << 30))
+    p = p.withColumn("is_train", keyed_hash("train", "id_parcel") < F.lit(3 << 58))
     z = Z.zscore(p, ["tax_total"], where=F.col("is_train"))
     return z.select("id_parcel", "is_train", F.round("tax_total", 8).alias("tax_total"))
 

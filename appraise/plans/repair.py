@@ -116,7 +116,7 @@ def impute_hotdeck_restricted(spark, sf):
     return out.select("p_partkey", "size_filled")
 
 
-@register("na_category", with_(PROPS) + "SELECT id_parcel, coalesce(zoning, 'NA') AS zoning, status FROM props")
+@register("na_category", with_(PROPS) + "SELECT id_parcel, coalesce(zoning, '__NA__') AS zoning, status FROM props")
 def na_category(spark, sf):
     """Missing as a level of its own."""
     return I.na_category(S.properties(spark, sf).select("id_parcel", "zoning", "status"), ["zoning", "status", "deck"])

@@ -5,12 +5,12 @@ from __future__ import annotations
 
 def h(salt: str, expr: str) -> str:
     """DuckDB form of ``appraise.functions.hashing.keyed_hash`` for a literal salt."""
-    return f"CAST(('0x' || substr(md5('{salt}:' || CAST({expr} AS VARCHAR)), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5('{salt}:' || CAST({expr} AS VARCHAR)), 1, 15)) AS BIGINT)"
 
 
 def h_dyn(salt_expr: str, expr: str) -> str:
     """Keyed hash with a salt given as a SQL text expression."""
-    return f"CAST(('0x' || substr(md5({salt_expr} || ':' || CAST({expr} AS VARCHAR)), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5({salt_expr} || ':' || CAST({expr} AS VARCHAR)), 1, 15)) AS BIGINT)"
 
 
 PROPS = """props AS (

@@ -38,10 +38,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system); it is only
-    filled in here when the session has none at all, which is the local test case.
+    On a cluster this must be set by the deployment (a shared file system): without it, executors
+    would write to their own disks, so that is an error. Only a local session, whose tasks all run in
+    this process, gets a temporary folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="appraise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

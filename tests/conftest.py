@@ -11,10 +11,11 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
     s = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
          .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -8,8 +8,10 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from appraise.operators import lasso as L
+from appraise.operators.sampling import split_random
 from appraise.operators.score import SUBMISSION_MONTHS, score_months
+from appraise.plans import modelling as M
+from appraise.plans.cleaning import FEATURES
 from tests.conftest import SF_SMALL
 
 
@@ -21,24 +23,46 @@ def planted(spark, n=3000, seed=3):
     return spark.createDataFrame(rows, "id long, fold int, a double, b double, c double, y double"), x, y
 
 
-def test_lasso_small_lambda_is_least_squares(spark):
-    df, x, y = planted(spark)
-    stats = L.gram_by_group(df, ["a", "b", "c"], "y")[None]
-    coef = L.lasso_path(*stats[:3], [1e-12])[0]
-    ols = np.linalg.lstsq(x, y, rcond=None)[0]
-    assert np.allclose(coef, ols, atol=1e-6)
-    mllib = LinearRegression(featuresCol="f", labelCol="y", regParam=0.0, fitIntercept=False).fit(
-        VectorAssembler(inputCols=["a", "b", "c"], outputCol="f").transform(df))
-    assert np.allclose(coef, mllib.coefficients.toArray(), atol=1e-6)
+def sales_like(spark, n=2000, seed=3):
+    """Rows with the training frame's columns: uncentred inputs, a target that depends on two of them."""
+    rng = np.random.default_rng(seed)
+    x = np.stack([rng.integers(1, 13, n), rng.normal(200, 30, n), rng.integers(1, 6, n), rng.integers(1, 4, n), rng.normal(1995, 3, n),
+                  rng.integers(90000, 90100, n)], axis=1).astype(float)
+    y = 0.02 * (x[:, 1] - 200) + 0.3 * (x[:, 3] - 2) + rng.normal(0, 0.2, n)
+    rows = [(f"k{i}", i % 3, *map(float, x[i]), float(y[i])) for i in range(n)]
+    return spark.createDataFrame(rows, "sale_key string, fold int, " + ", ".join(f"{c} double" for c in FEATURES) + ", logerror double")
+
+
+def test_lasso_is_mllib_on_uncentred_columns_and_scores_the_holdout(spark):
+    frame = sales_like(spark)
+    cvm, best, held = M.lasso_path(frame, (1e-4, 0.1, 100.0), folds=3)
+    assert best < 100 and held.count() == 500
+    train = split_random(frame, "sale_key", 0.75).where("is_train")
+    own = M.pipeline(M.lasso(best)).fit(train).stages[-1].coefficients.toArray()
+    assert np.allclose(cvm.bestModel.stages[-1].coefficients.toArray(), own)
+
+
+def test_sign_models_report_the_holdout_table(spark):
+    from pyspark.ml.tuning import ParamGridBuilder
+    clf = M.sign_forest(10, 4)
+    grid = ParamGridBuilder().addGrid(clf.featureSubsetStrategy, ["2", "4"]).build()
+    cvm, held = M.sign_cv(sales_like(spark), clf, grid)
+    rows = M._sign_table(spark, cvm, grid, {"featureSubsetStrategy": "mtry"}, held).collect()
+    won = [r for r in rows if r.best]
+    assert len(rows) == 2 and len(won) == 1 and won[0].holdout_accuracy > 0.8
+    assert won[0].obs0_pred0 + won[0].obs0_pred1 + won[0].obs1_pred0 + won[0].obs1_pred1 == held.count()
+
+
+def test_boosting_stops_early_and_finds_more_rounds_when_needed(spark):
+    frame = sales_like(spark, 600)
+    rows, best = M.boost_curves(frame, rounds=64, patience=3, step=0.5, block=4)
+    assert best == min(rows, key=lambda r: r[3])[0] and (len(rows) == best + 3 or len(rows) == 64) and len(rows) > 4
 
 
-def test_lasso_large_lambda_is_zero_and_cv_picks_small(spark):
-    df, _, _ = planted(spark)
-    stats = L.gram_by_group(df, ["a", "b", "c"], "y")[None]
-    assert np.allclose(L.lasso_path(*stats[:3], [100.0])[0], 0.0)
-    rows, best, coef = L.lasso_cv(df, ["a", "b", "c"], "y", "fold")
-    assert len(rows) == 100 and best < 0.05
-    assert abs(coef[0] - 2.0) < 0.05 and abs(coef[2]) < 0.05
+def test_search_covers_all_seven_axes(spark):
+    axes = {k: v[:1] for k, v in M.SEARCH.items()} | {"maxIter": (3,), "maxDepth": (2, 3)}
+    cvm, grid = M.boosting_search(sales_like(spark, 300), axes)
+    assert len(axes) == 7 and len(cvm.avgMetrics) == len(grid) == 2
 
 
 def test_forest_beats_median_and_finds_planted_feature(spark):
@@ -62,7 +86,7 @@ def test_score_months_is_wide(spark):
     assert wide.count() == 50
 
 
-@pytest.mark.parametrize("key", ["rf_cv", "lasso_cv", "importance_gain", "predict_pivot"])
+@pytest.mark.parametrize("key", ["rf_cv", "lasso_cv", "importance_gain", "predict_pivot", "gbt_sign", "rf_sign_cv", "gbt_search"])
 def test_model_queries_run(spark, key):
     df = E.queries()[key](spark, SF_SMALL)
     assert df.count() > 0
