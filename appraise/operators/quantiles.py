@@ -104,7 +104,7 @@ def exact_order_stats(values: DataFrame, ranks: list[int], n: int, *, window_row
             lo, hi, below, _inside = state[r]
             keep = np.ones(len(vals), dtype=bool)
             if lo is not None:
-                keep &= vals > lo
+                keep &= (vals > lo) | np.isnan(vals)  # NaN sorts last, as in Spark
             if hi is not None:
                 keep &= (vals < hi) | (np.isnan(hi) & ~np.isnan(vals))
             v_in, ends = vals[keep], np.cumsum(cnts[keep])

@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from appraise.functions.hashing import HASH_BITS
 
 ROWS_PER_BIN = 1 << 14
-MAX_BITS = 30
+MAX_BITS = 20
 
 
 def bits_for(n_rows: int) -> int:
-    """Hash bits so that a bin holds about ``ROWS_PER_BIN`` rows (at most 2^30 bins)."""
+    """Hash bits so that a bin holds about ``ROWS_PER_BIN`` rows (at most 2^20 bins)."""
     return min(MAX_BITS, max(0, math.ceil(math.log2(max(n_rows, 1) / ROWS_PER_BIN))))
 
 
@@ -34,7 +34,8 @@ def hash_rank(df: DataFrame, hash_col: str, id_col: str, *, partition_cols: Sequ
     ``count_col`` = size of the group. ``hash_col`` must lie in [0, 2^60) and ``id_col`` be unique.
 
     The bin count follows the row count (``n_rows`` when the caller knows it, else one count):
-    about 16k rows per window partition up to 1.7e13 rows, and an offset table with one row for each bin."""
+    about 16k rows per window partition up to 1.7e10 rows, beyond that a 2^20th of the rows, and an offset
+    table of at most 2^20 rows per group."""
     parts = list(partition_cols)
     if bits is None:
         bits = bits_for(n_rows if n_rows is not None else df.count())
