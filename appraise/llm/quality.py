@@ -37,7 +37,7 @@ _HEAD[0x80:0xC0] = False
 _SYMBOL = _class("#*$%&|<>")
 _UPPER, _LOWER, _DIGIT = (_class("".join(map(chr, range(*r)))) for r in ((65, 91), (97, 123), (48, 58)))
 _LOUD, _STOP, _OTHER = _class("!?"), _class(".,;:"), _class("=_/\\{}[]()@^~+\"")
-FEATURES = 12
+FEATURES = 11
 
 
 def line_features(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -60,10 +60,9 @@ def line_features(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     per = np.maximum(chars, 1)
     w = np.maximum(words, 1).astype(np.float32)
     letters = np.maximum(sums(_UPPER) + sums(_LOWER), 1)
-    last = np.where(e > s, t.data[np.maximum(e - 1, 0)] if len(t.data) else 0, 32)
     f = np.stack([np.ones(len(s), np.float32), np.minimum(sums(_SYMBOL) / w, 3), np.minimum(sums(_LOUD) / w, 3), sums(_UPPER) / letters,
                   10 * sums(_DIGIT) / per, np.minimum(sums(_STOP) / w, 2), np.minimum(sums(_OTHER) / w, 3), np.log1p(words).astype(np.float32) / 3,
-                  np.minimum(chars / w, 30) / 10, (last == 46).astype(np.float32), again.astype(np.float32), (words == 0).astype(np.float32)], axis=1)
+                  np.minimum(chars / w, 30) / 10, again.astype(np.float32), (words == 0).astype(np.float32)], axis=1)
     return f, words, count, again
 
 
