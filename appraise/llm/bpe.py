@@ -60,6 +60,12 @@ class Merges:
         self.bytes_of = {v: k for k, v in self.id.items()} | {v: k.encode() for k, v in self.added.items()}
         for content in self.added:
             self.id.pop(content.encode(), None)
+        # the library merges by least id of the merged pair: the same if each merge's id grows with its rank
+        ids = [self.id.get(a + b, -1) for a, b in self.rank]
+        self._fast = None
+        if all(x < y for x, y in zip(ids, ids[1:], strict=False)) and all(bytes([b]) in self.id for b in range(256)):
+            import tiktoken
+            self._fast = tiktoken.Encoding("merges", pat_str=r"\S+", mergeable_ranks=self.id, special_tokens={})._core_bpe.encode_single_piece
         cut = "|".join(regex.escape(c) for c in sorted(self.added, key=len, reverse=True))
         self._cut = regex.compile(f"({cut})") if cut else None
 
@@ -72,6 +78,10 @@ class Merges:
             out += [(part,)] if i % 2 else PATTERN.findall(part)
         return out
 
+    def merged(self, word: bytes) -> list[int]:
+        """``encode`` by the compiled merge loop of a public library, where the vocabulary's order is its merges' order."""
+        return self._fast(word) if self._fast else self.encode(word)
+
     def encode(self, word: bytes) -> list[int]:
         """Merges the word's bytes, always the pair of least rank, leftmost first."""
         if len(word) > 48:
@@ -204,15 +214,21 @@ class Encoder:
         self.known, self.first, self.ids = {}, array("q", [0]), array("i")
 
     def _learn(self, fresh: list) -> None:
-        words = [p.encode("utf-8", "surrogatepass") for p in fresh if isinstance(p, str)]
-        number = iter(self.lexicon.numbers(words).tolist())
-        spelled = iter(words)
-        for p in fresh:
-            if isinstance(p, str):
-                n, w = next(number), next(spelled)
-                ids = self.lexicon.ids[self.lexicon.first[n]:self.lexicon.first[n + 1]].tolist() if n >= 0 else self.rules.encode(w)
-            else:
-                ids = [self.rules.added[p[0]]]
+        words = [p for p in fresh if isinstance(p, str)]
+        spelled = [w.encode("utf-8", "surrogatepass") for w in words]
+        number, book = self.lexicon.numbers(spelled), self.lexicon
+        listed = np.flatnonzero(number >= 0)
+        if len(listed):  # their ids are copied all at once
+            first, last = np.array(book.first[number[listed]]), np.array(book.first[number[listed] + 1])
+            size = last - first
+            end = np.cumsum(size)
+            ids = book.ids[np.repeat(first - (end - size), size) + np.arange(end[-1])]
+            self.known.update(zip([words[i] for i in listed.tolist()], range(len(self.first) - 1, len(self.first) - 1 + len(listed)), strict=True))
+            self.first.frombytes((self.first[-1] + end).astype(np.int64).tobytes())
+            self.ids.frombytes(ids.astype(np.int32).tobytes())
+        rest = [(words[i], self.rules.merged(spelled[i])) for i in np.flatnonzero(number < 0).tolist()]
+        rest += [(p, [self.rules.added[p[0]]]) for p in fresh if not isinstance(p, str)]
+        for p, ids in rest:
             self.known[p] = len(self.first) - 1
             self.ids.extend(ids)
             self.first.append(len(self.ids))
@@ -244,7 +260,9 @@ def frequent(docs: DataFrame, path: str, most: int = LEXICON) -> list[str]:
             return pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["word", "n"])
         for _, t in slices(batches):
             for i in range(t.n):
-                count.update(p for p in rules.pieces(t.text(i)) if isinstance(p, str))
+                count.update(rules.pieces(t.text(i)))
+            for content in rules.added:
+                count.pop((content,), None)
             if len(count) > _HELD:
                 yield out()
                 count.clear()
@@ -257,7 +275,7 @@ def frequent(docs: DataFrame, path: str, most: int = LEXICON) -> list[str]:
 def lexicon(docs: DataFrame, path: str, most: int = LEXICON) -> bytes:
     words = [w.encode() for w in frequent(docs, path, most)]
     rules = merges(path)
-    return compile_lexicon(words, [rules.encode(w) for w in words])
+    return compile_lexicon(words, [rules.merged(w) for w in words])
 
 
 def encode(docs: DataFrame, path: str, compiled: bytes, ids: str = "ids") -> DataFrame:

@@ -51,7 +51,7 @@ def test_long_words_merge_as_short_ones():
     for n in (1, 2, 10, 47):
         for _ in range(60):
             w = bytes(rng.choice(b"abehinorst") for _ in range(n))
-            assert rules.encode(w) == rules._encode_long(w)
+            assert rules.encode(w) == rules._encode_long(w) == rules.merged(w)
 
 
 def test_decode_of_odd_ids_and_empty_tables(spark):
