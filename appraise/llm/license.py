@@ -97,7 +97,8 @@ def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> Da
     spelled = F.concat_ws(" ", *_shingle(F.col("at")))
     exact = of_template.select("template", "m", spelled.alias("s"), F.xxhash64(*_shingle(F.col("at"))).alias("x")).distinct()
     total = exact.groupBy("template").agg(F.count("*").cast("int").alias("size"))
-    placed = rows.select("key", "w", hashes.alias("h")).select("key", "w", F.posexplode("h").alias("at", "x")).join(F.broadcast(exact), "x") \
+    # outer: for a plain explode the optimizer tests the array's size below it, and would make the words anew for each shingle there
+    placed = rows.select("key", "w", hashes.alias("h")).select("key", "w", F.posexplode_outer("h").alias("at", "x")).join(F.broadcast(exact), "x") \
         .where(spelled == F.col("s")).select("key", "template", F.floor(F.col("at") / bin_size).alias("bin"), "at", "x")
     met = regions.join(placed, ["key", "template", "bin"]).where("at between low and high")
     score = met.groupBy("key", "template", "k").agg(F.size(F.collect_set("x")).alias("contained"), F.min("at").alias("first"))
