@@ -1,6 +1,6 @@
 """License scan with DataFrame functions only: MinHash bands retrieve templates, shingle containment verifies them.
 
-Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased; shingles are five words. A
+Words are runs of letters, digits and non-ASCII characters of the lower-cased text; shingles are five words. A
 window is ``SPAN`` shingles, and the next begins ``STEP`` shingles later. A band is one MinHash of a window: the least
 of its shingles' hashes, hashed anew with the band's number. A template's windows begin at every shingle. A text window that holds
 the only shingle of the shortest possible template agrees with it in one of the 48 bands with probability
@@ -25,7 +25,6 @@ from appraise.llm.tables import row_key
 
 SHINGLE, SPAN, STEP, BANDS, SHARE = 5, 6, 5, 48, (75, 100)
 _SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Short notices by which texts state their license, and the opening terms of some licenses (public texts).
 TEMPLATES = [
@@ -47,14 +46,13 @@ TEMPLATES = [
 
 
 def template_words(text: str) -> list[str]:
-    lowered = text.translate(str.maketrans(_UPPER, _LOWER))
-    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered)
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.lower())
 
 
 def _worded(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` with a key (equal for equal id and text only) and the words of the text."""
     text = F.col("text").cast("string")
-    words = F.filter(F.split(F.translate(text, _UPPER, _LOWER), _SEPARATORS), lambda w: w != "")
+    words = F.filter(F.split(F.lower(text), _SEPARATORS), lambda w: w != "")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("key"), F.coalesce(words, F.array().cast("array<string>")).alias("w"))
 
 
@@ -82,8 +80,8 @@ def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> Da
     def hashed(at, size):
         return F.when(at < size, F.xxhash64(*_shingle(at)))
     listed = banded(of_template, lambda o: hashed(F.col("at") + o, F.col("m")), ["template", "m"]).distinct()
-    rows = _worded(docs).where(F.size("w") >= SHINGLE)
-    hashes = F.transform(F.sequence(F.lit(0), F.size("w") - SHINGLE), lambda i: F.xxhash64(*_shingle(i)))
+    rows = _worded(docs)  # not filtered by size: the filter would make the words a second time
+    hashes = F.when(F.size("w") >= SHINGLE, F.transform(F.sequence(F.lit(0), F.size("w") - SHINGLE), lambda i: F.xxhash64(*_shingle(i))))
     windows = rows.select("key", hashes.alias("h")).select(
         "key", "h", F.explode(F.sequence(F.lit(0), F.floor((F.size("h") - 1) / STEP).cast("int"))).alias("k"))
     # the templates are a list in code: their bands, windows and shingles are a few thousand rows
