@@ -9,7 +9,8 @@
 3. Candidates whose signatures agree enough join up to clusters. A cluster's full shingle sets come together and all
    its pairs are compared (skipping pairs already joined), so a link between two members needs no order of
    its own. A cluster of more than ``BLOCK`` classes is cut to blocks, with some classes in all of them; if
-   it then still falls into parts, each class outside of the largest part meets every block.
+   it then still falls into parts, the largest part and the classes outside of it are cut to blocks each, and every pair
+   of blocks but those inside the largest part meets in a group of its own.
 4. The confirmed links' connected components give every document its component.
 
 Defined results: a document of fewer than five words has its whole word sequence as one shingle; null and
@@ -136,8 +137,9 @@ def candidates(classes: DataFrame) -> DataFrame:
 
 
 def _links(rows) -> tuple[list, list]:
-    """Confirmed links between different parts among one block's rows (cid, part, home, sig, set): a spanning forest."""
-    cid, part, home = [r[0] for r in rows], [r[1] for r in rows], np.array([r[2] for r in rows])
+    """Confirmed links between different parts among one block's rows (cid, part, side, sig, set): a spanning forest.
+    Rows are compared whose sides, as bits, make 3 together."""
+    cid, part, side = [r[0] for r in rows], [r[1] for r in rows], np.array([r[2] for r in rows])
     sets, n = [np.frombuffer(r[4], np.uint64) for r in rows], len(rows)
     size = np.array([len(s) for s in sets])
     root = {}
@@ -153,7 +155,7 @@ def _links(rows) -> tuple[list, list]:
         found = []
         for i in range(n - 1):
             agree = (sig[i + 1:] == sig[i]).sum(axis=1)
-            j = np.flatnonzero((agree >= PAIR_AGREE) & (home[i] | home[i + 1:]))
+            j = np.flatnonzero((agree >= PAIR_AGREE) & ((side[i] | side[i + 1:]) == 3))
             found.append((agree[j], np.full(len(j), i), j + i + 1))
         agree, left, right = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.argsort(-agree, kind="stable")
@@ -163,7 +165,7 @@ def _links(rows) -> tuple[list, list]:
     fits = SHARE[1] * np.minimum(size[left], size[right]) >= SHARE[0] * np.maximum(size[left], size[right])
     a, b = [], []
     for i, j in zip(left[fits].tolist(), right[fits].tolist(), strict=True):
-        if (home[i] or home[j]) and (x := find(part[i])) != (y := find(part[j])):
+        if (side[i] | side[j]) == 3 and (x := find(part[i])) != (y := find(part[j])):
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
             if SHARE[1] * both >= SHARE[0] * (len(sets[i]) + len(sets[j]) - both):
                 root[x] = y
@@ -173,7 +175,7 @@ def _links(rows) -> tuple[list, list]:
 
 
 def _confirm(batches):
-    """Of rows (cluster, block, cid, part, home, sig, set) sorted by cluster and block: each block's links."""
+    """Of rows (cluster, block, cid, part, side, sig, set) sorted by cluster and block: each block's links."""
     at, rows = None, []
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns]
@@ -189,10 +191,33 @@ def _confirm(batches):
 
 
 def _confirmed(rows: DataFrame) -> DataFrame:
-    return (rows.select("cluster", "block", "cid", "part", "home", "sig", "set").repartition("cluster", "block")
+    return (rows.select("cluster", "block", "cid", "part", "side", "sig", "set").repartition("cluster", "block")
             .sortWithinPartitions("cluster", "block").mapInArrow(_confirm, "a long, b long"))
 
 
+def cells(classes: DataFrame) -> DataFrame:
+    """cid, part, cells (block, side) of the classes (cluster, cid, n, part) whose cluster has several parts. The largest
+    part fills the blocks 0 .. inner - 1, all others the blocks up to total - 1; a cell (i, j) is the number i x total + j. All
+    pairs of a cell (i, i) are compared, and in others those of a class of i (side 1) and one of j (side 2)."""
+    count = classes.groupBy("cluster", "part").agg(F.count("*").alias("k"), F.sum("n").alias("shingles"))
+    order = F.struct("k", "part")
+    main = count.groupBy("cluster").agg(F.max_by("part", order).alias("main"), F.max_by("k", order).alias("most"), F.max_by("shingles", order).alias("large"),
+                                        F.sum("k").alias("k"), F.sum("shingles").alias("shingles"), F.count("*").alias("parts")).where("parts > 1")
+
+    def blocks(members, shingles):
+        return F.greatest(F.ceil(members / BLOCK), F.ceil(shingles / BLOCK_SHINGLES))
+    main = main.select("cluster", "main", blocks(F.col("most"), F.col("large")).alias("inner"),
+                       blocks(F.col("k") - F.col("most"), F.col("shingles") - F.col("large")).alias("outer"))
+    spot = F.xxhash64("cid", F.lit(2))
+    dealt = classes.join(main, "cluster").select("cid", "part", "inner", (F.col("inner") + F.col("outer")).alias("total"), F.when(
+        F.col("part") == F.col("main"), F.pmod(spot, F.col("inner"))).otherwise(F.col("inner") + F.pmod(spot, F.col("outer"))).alias("own"))
+    later = F.transform(F.sequence(F.greatest("own", "inner"), F.col("total") - 1), lambda j: F.struct(
+        (F.col("own") * F.col("total") + j).alias("block"), F.when(j == F.col("own"), 3).otherwise(1).alias("side")))
+    earlier = F.transform(F.sequence(F.lit(0).cast("long"), F.col("own") - 1), lambda i: F.struct(
+        (i * F.col("total") + F.col("own")).alias("block"), F.lit(2).alias("side")))
+    return dealt.select("cid", "part", F.when(F.col("own") >= F.col("inner"), F.concat(later, earlier)).otherwise(later).alias("cells"))
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """s1, s2, set: the shingle hashes of the wanted classes, from a second scan."""
     n, bits = wanted.count(), 1 << 15
@@ -230,22 +255,20 @@ def groups(docs: DataFrame, with_key: bool = False) -> DataFrame:
     sizes = sized.groupBy("cluster").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     placed = sized.join(sizes.select("cluster", "members", blocks.alias("blocks")), "cluster").select(
-        "cluster", "members", "blocks", "cid", "s1", "s2", "sig", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int").alias("own"),
+        "cluster", "members", "blocks", "cid", "n", "s1", "s2", "sig", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int").alias("own"),
         (F.pmod(F.xxhash64("cid", F.lit(1)), F.col("members")) < ANCHORS).alias("anchor"))
     placed = tables.written(placed, "placed")
     held = tables.written(placed.join(_sets(docs, placed).groupBy("s1", "s2").agg(F.first("set").alias("set")), ["s1", "s2"]), "sets")
     whole = F.sequence(F.lit(0), F.col("blocks") - 1)
     first = held.select("*", F.col("cid").alias("part"), F.explode(F.when(F.col("anchor"), whole).otherwise(F.array("own"))).alias("block"))
-    links = tables.written(_confirmed(first.withColumn("home", F.col("block") == F.col("own"))), "links")
+    links = tables.written(_confirmed(first.withColumn("side", F.when(F.col("block") == F.col("own"), 3).otherwise(0))), "links")
     part = components(links, "parts")
-    many = placed.where("blocks > 1").select("cluster", "cid", "blocks").join(part.toDF("cid", "part"), "cid", "left") \
+    many = placed.where("blocks > 1").select("cluster", "cid", "n").join(part.toDF("cid", "part"), "cid", "left") \
         .withColumn("part", F.coalesce("part", "cid"))
-    count = many.groupBy("cluster", "part").agg(F.count("*").alias("k"))
-    main = count.groupBy("cluster").agg(F.max_by("part", F.struct("k", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    split = tables.written(many.join(main, "cluster").select("cid", "part", (F.col("part") == F.col("main")).alias("of_main")), "split")
+    split = tables.written(cells(many), "split")
     if not split.isEmpty():
-        second = held.join(split, "cid").select("*", F.explode(F.when(F.col("of_main"), F.array("own")).otherwise(whole)).alias("block"))
-        more = tables.written(_confirmed(second.withColumn("home", F.col("block") == F.col("own"))), "more-links")
+        second = held.join(split, "cid").select("cluster", "cid", "part", "sig", "set", F.explode("cells").alias("cell"))
+        more = tables.written(_confirmed(second.select("*", F.col("cell.block").alias("block"), F.col("cell.side").alias("side"))), "more-links")
         part = components(links.union(more), "parts-of-all")
     part = part.toDF("cid", "root")
     rooted = classes.select("cid", "s1", "s2", "n", "least").join(part, "cid", "left").withColumn("root", F.coalesce("root", "cid"))

@@ -50,6 +50,30 @@ def test_dense_group_in_blocks(spark, monkeypatch):
     check(spark, docs)
 
 
+def test_groups_of_a_cluster_without_links_are_bounded(spark, monkeypatch):
+    """Pages of one template, 0.6 alike, form one cluster of single classes: no task may get all of them as one group."""
+    monkeypatch.setattr(neardup, "BLOCK", 10)
+    monkeypatch.setattr(neardup, "ANCHORS", 2)
+    template, sizes, confirmed = text_of(300, 6, 10 ** 6), [], neardup._confirmed
+
+    def counted(rows):
+        sizes.append(rows.groupBy("cluster", "block").count().agg({"count": "max"}).first()[0])
+        return confirmed(rows)
+    monkeypatch.setattr(neardup, "_confirmed", counted)
+    docs = [(i, template + " " + text_of(80 if i % 50 else 30, 700 + i, 10 ** 6)) for i in range(250)]
+    check(spark, docs)
+    assert len(sizes) == 2 and max(sizes) <= 60
+
+
+def test_cells_cover_all_pairs_of_different_parts(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    rows = [(1, i, 10, -1 if i % 3 else i) for i in range(40)] + [(2, 50 + i, 10, 50) for i in range(5)]
+    got = neardup.cells(spark.createDataFrame(rows, "cluster long, cid long, n long, part long")).collect()
+    at = [(r.cid, c.block, c.side) for r in got for c in r.cells]
+    met = sorted((a, b) for a, x, s in at for b, y, t in at if a < b and x == y and s | t == 3)
+    assert met == sorted((a, b) for b in range(40) for a in range(b) if a % 3 == 0 or b % 3 == 0)
+
+
 def test_empty(spark):
     assert neardup.groups(frame(spark, [])).count() == 0
     assert [tuple(r) for r in neardup.groups(frame(spark, [(4, None)])).collect()] == [(4, 0, 4, True)]
