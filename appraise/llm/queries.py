@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from appraise.llm import bpe, decontaminate, langid, license, linededup, neardup, ppm, quality, tokencount, urlfilter
+from appraise.llm import bpe, centroids, decontaminate, langid, license, linededup, neardup, ppm, prefixtrie, quality, tokencount, urlfilter
 from appraise.llm.tables import table, training
 
 QUERIES, ORACLES = {}, {}
@@ -83,3 +83,15 @@ def op5(spark, sf_dir):
 def op7(spark, sf_dir):
     """Every document encoded and decoded with the lexicon of all documents."""
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@_query("op11_centroids", centroids.ORACLE)
+def op11(spark, sf_dir):
+    """Every embedding of 64 finite components: its cluster after ten rounds."""
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op12_prefix_trie", prefixtrie.ORACLE)
+def op12(spark, sf_dir):
+    """Every node of the rebuilt conversations' prefix trie with its subtree's totals."""
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
