@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from appraise.llm import bpe, centroids, decontaminate, langid, license, linededup, neardup, ppm, prefixtrie, quality, tokencount, urlfilter
+from appraise.llm import bpe, centroids, decontaminate, langid, license, linededup, neardup, ppm, prefixtrie, quality, repeats, tokencount, urlfilter
 from appraise.llm.tables import table, training
 
 QUERIES, ORACLES = {}, {}
@@ -95,3 +95,9 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     """Every node of the rebuilt conversations' prefix trie with its subtree's totals."""
     return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
+@_query("op13_repeats")
+def op13(spark, sf_dir):
+    """Every document without the strings of 100 bytes that start earlier in the corpus."""
+    return repeats.report(table(spark, sf_dir, "documents"))
