@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from appraise.operators.evaluate import correlation
+from appraise.operators.orderstats import grouped_quantiles
 from appraise.operators.quantiles import exact_quantiles
 
 
@@ -38,7 +39,7 @@ def column_range(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 def column_summary(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """R ``summary`` plus ``sd``: min, q1, median, mean, q3, max, sd, missing per column.
-    Means/sd/min/max in one pass; quartiles exact (``exact_quantiles``)."""
+    Means/sd/min/max in one pass; exact quartiles of all columns together (``grouped_quantiles``)."""
     cols = list(cols)
     aggs = []
     for c in cols:
@@ -47,13 +48,18 @@ def column_summary(df: DataFrame, cols: Iterable[str]) -> DataFrame:
                              F.stddev_samp(x).alias("sd"), F.count_if(x.isNull()).alias("n_missing")).alias(c))
     wide = df.agg(*aggs)
     long = wide.unpivot([], cols, "column", "s").select("column", "s.*")
-    spark = df.sparkSession
-    qrows = []
-    for c in cols:
-        q1, q2, q3 = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        qrows.append((c, q1, q2, q3))
-    q = spark.createDataFrame(qrows, "column string, q1 double, median double, q3 double")
-    return long.join(F.broadcast(q), "column").select("column", "min", "q1", "median", "mean", "q3", "max", "sd", "n_missing")
+    q = grouped_quantiles(df, cols, [0.25, 0.5, 0.75]).select(
+        "column", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))  # a row for each column
+    return long.join(F.broadcast(q), "column", "left").select("column", "min", "q1", "median", "mean", "q3", "max", "sd", "n_missing")
+
+
+def group_summary(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """R ``summary`` of every column by group: by, column, n, min, q1, median, mean, q3, max; exact quartiles of all columns together."""
+    q = grouped_quantiles(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0], by)
+    means = df.groupBy(*by).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).unpivot(list(by), list(cols), "column", "mean")
+    met = q.alias("q").join(means.alias("m"), [F.col(f"q.{c}").eqNullSafe(F.col(f"m.{c}")) for c in by] + [F.col("q.column") == F.col("m.column")])
+    return met.select(*[f"q.{c}" for c in by], "q.column", "n", F.col("q0").alias("min"), F.col("q.q1").alias("q1"), F.col("q2").alias("median"), "mean",
+                      F.col("q3").alias("q3"), F.col("q4").alias("max"))
 
 
 def quantile_table(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:

@@ -8,13 +8,15 @@ Ranks are exact and come from ``hash_rank`` (bounded windows, no global sort).
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from appraise.functions.hashing import keyed_hash
+from appraise.functions.hashing import HASH_BITS, keyed_hash
 from appraise.operators.quantiles import exact_quantiles, quantiles_and_counts
-from appraise.operators.ranking import hash_rank
+from appraise.operators.ranking import bits_for, hash_rank
 
 
 def row_counts(df: DataFrame, col: str) -> tuple[int, int]:
@@ -47,12 +49,59 @@ def _categorical(df: DataFrame, y_col: str) -> bool:
     return isinstance(df.schema[y_col].dataType, (T.StringType, T.BooleanType))
 
 
+#: Strata whose thresholds go into the filter as literals; with more, rows are ranked instead.
+MAX_STRATA = 1000
+
+
+def hash_thresholds(df: DataFrame, hash_col: str, id_col: str, strata: Sequence[str], wanted, n_rows: int) -> list | None:
+    """For each stratum the (hash, id) of its k-th row in (hash, id) order, by radix selection: counts of the hash's top bits
+    by stratum, the bin that holds the k-th row, and that bin's rows up to it. ``wanted`` gives k from the stratum's size. No row is
+    shuffled but those of one bin a stratum (about 16k rows). Rows (stratum values, k, hash, id), hash None where k is 0;
+    None where there are more than ``MAX_STRATA`` strata."""
+    bits = bits_for(n_rows)
+    binned = df.withColumn("_bin", F.shiftright(F.col(hash_col), HASH_BITS - bits))
+    counts = binned.groupBy(*strata, "_bin").agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(*strata).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumns({"_end": F.sum("_c").over(upto), "_n": F.sum("_c").over(Window.partitionBy(*strata))})
+    # the bin of the k-th row, or the first bin where k is 0
+    counts = counts.withColumn("_k", wanted(F.col("_n")).cast("long"))
+    holds = counts.where((F.greatest("_k", F.lit(1)) <= F.col("_end")) & (F.greatest("_k", F.lit(1)) > F.col("_end") - F.col("_c")))
+    bins = holds.select(*strata, "_bin", "_k", (F.col("_k") - F.col("_end") + F.col("_c")).alias("_left")).limit(MAX_STRATA + 1).collect()
+    if len(bins) > MAX_STRATA:
+        return None
+    if not bins:
+        return []
+    kinds = T.StructType([*(df.schema[c] for c in strata), *(T.StructField(c, T.LongType()) for c in ("_bin", "_k", "_left"))])
+    near = df.sparkSession.createDataFrame(bins, kinds)
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in strata] + [F.col("a._bin") == F.col("b._bin")]
+    rows = binned.alias("a").join(F.broadcast(near.alias("b")), same).select(*[F.col(f"a.{c}") for c in strata], F.col(f"a.{hash_col}"), F.col(f"a.{id_col}"), "b._left")
+    order = Window.partitionBy(*strata).orderBy(hash_col, id_col)
+    kth = rows.withColumn("_r", F.row_number().over(order)).where("_r = _left")
+    at = {tuple(r[c] for c in strata): (r[hash_col], r[id_col]) for r in kth.collect()}  # a row for each stratum
+    return [(*key, r["_k"], *at.get(key, (None, None))) for r in bins for key in [tuple(r[c] for c in strata)]]
+
+
+def _up_to(thresholds: list, strata: Sequence[str], hash_col: str, id_col: str):
+    """Whether a row is among the first k of its stratum, as a plain expression."""
+    out = F.lit(False)
+    for *key, k, h, last in thresholds:
+        if k:
+            inside = F.lit(True)
+            for c, v in zip(strata, key):
+                inside = inside & F.col(c).eqNullSafe(F.lit(v))
+            first = (F.col(hash_col) < h) | ((F.col(hash_col) == h) & (F.col(id_col) <= F.lit(last)))
+            out = F.when(inside, first).otherwise(out)
+    return out
+
+
 def split_stratified(df: DataFrame, y_col: str, id_col: str, p: float, *, salt: str = "split",
                      groups: int = 4, out_col: str = "is_train", keep_helpers: bool = False,
                      categorical: bool | None = None) -> DataFrame:
     """caret ``createDataPartition(y, p)``: in each outcome stratum the ``ceil(p * n_s)`` rows with
     the smallest ``h(salt, id)`` are the training rows. Strata are quantile bins of a numeric y,
-    or the classes themselves when y is categorical (text / boolean, or ``categorical=True``)."""
+    or the classes themselves when y is categorical (text / boolean, or ``categorical=True``). The split is a filter
+    on thresholds found by radix selection; rows are ranked (and shuffled) only where the helper
+    columns are kept or the outcome has more than ``MAX_STRATA`` classes."""
     categorical = _categorical(df, y_col) if categorical is None else categorical
     if categorical:
         n, _m = row_counts(df, y_col)
@@ -61,18 +110,27 @@ def split_stratified(df: DataFrame, y_col: str, id_col: str, p: float, *, salt:
         cuts, n = strata_cuts(df, y_col, groups)
         s = with_strata(df, y_col, groups, "_stratum", cuts=cuts)
     s = s.withColumn("_h", keyed_hash(salt, id_col))
+
+    def wanted(size):
+        return F.ceil(F.lit(float(p)) * size)
+
+    thresholds = None if keep_helpers else hash_thresholds(s.select("_stratum", "_h", id_col), "_h", id_col, ["_stratum"], wanted, n)
+    if thresholds is not None:
+        return s.withColumn(out_col, _up_to(thresholds, ["_stratum"], "_h", id_col)).drop("_stratum", "_h")
     r = hash_rank(s, "_h", id_col, partition_cols=["_stratum"], count_col="_n", n_rows=n)
-    out = r.withColumn(out_col, F.col("_rank") < F.ceil(F.lit(float(p)) * F.col("_n")))
+    out = r.withColumn(out_col, F.col("_rank") < wanted(F.col("_n")))
     return out if keep_helpers else out.drop("_stratum", "_h", "_rank", "_n")
 
 
 def split_random(df: DataFrame, id_col: str, share: float, *, salt: str = "random-split",
                  out_col: str = "is_train") -> DataFrame:
-    """R ``sample(1:n, share*n)``: exactly ``floor(share * n)`` training rows, smallest hashes."""
+    """R ``sample(1:n, share*n)``: exactly ``floor(share * n)`` training rows, smallest hashes: a filter on the threshold that
+    radix selection finds, so no row is shuffled."""
     n = df.count()
     k = int(math.floor(share * n))
-    r = hash_rank(df.withColumn("_h", keyed_hash(salt, id_col)), "_h", id_col, n_rows=n)
-    return r.withColumn(out_col, F.col("_rank") < F.lit(k)).drop("_h", "_rank")
+    s = df.withColumn("_h", keyed_hash(salt, id_col))
+    thresholds = hash_thresholds(s.select("_h", id_col), "_h", id_col, [], lambda _size: F.lit(k), n)
+    return s.withColumn(out_col, _up_to(thresholds, [], "_h", id_col)).drop("_h")
 
 
 def stratified_folds(df: DataFrame, y_col: str, id_col: str, k: int = 3, *, salt: str = "folds",

@@ -72,25 +72,28 @@ def read_raw_properties(spark, path: str) -> DataFrame:
     return C.scale_by(C.rename_columns(raw, SCH.RENAME_MAP), ["latitude", "longitude"], 1e6)
 
 
-def clean_properties(spark, sf) -> DataFrame:
+def clean_properties(spark, sf, fill: bool = True) -> DataFrame:
     """Stand-in properties repaired for modelling: zoning sentinel then level codes, mean-filled
-    value, status codes. No NULL is left in a feature column."""
+    value, status codes. Without ``fill`` the value's gaps stay for the model to fill from its own training rows;
+    with it no NULL is left in a feature column."""
     p = S.properties(spark, sf)
     p = I.fill_sentinel(p, ["zoning"])
-    p = I.impute_mean(p, ["tax_total"])
+    if fill:
+        p = I.impute_mean(p, ["tax_total"])
     p = E.level_codes_many(p, {"zoning": ("zoning_code", -999), "status": ("status_code", None)})
     return p.select("id_parcel", *PROPERTY_FEATURES)
 
 
 def model_frame(spark, sf, folds: int = 3, path: str | None = None) -> DataFrame:
-    """Trimmed sales with month, joined to repaired properties, with stratified folds.
+    """Trimmed sales with month, joined to repaired properties, with stratified folds. No column holds a statistic of all
+    rows: gaps stay, and a model fills them from the rows it is fitted on.
     Written once to the checkpoint folder: model selection reads it many times, and a lost
     executor then recomputes from these files, not from the raw scans. The written table keeps
     the stratum rank, so every fold count is a projection of the same table (fold = rank mod k): a
     caller that fits several models gives its own ``path`` and reads it again with ``read_frame``."""
     s = trim_quantiles(S.sales(spark, sf).select("sale_key", "id_parcel", "logerror", "transactiondate"), "logerror")
     s = s.withColumn("month", F.month("transactiondate")).drop("transactiondate")
-    base = stratified_folds(s.join(clean_properties(spark, sf), "id_parcel"), "logerror", "sale_key", folds,
+    base = stratified_folds(s.join(clean_properties(spark, sf, fill=False), "id_parcel"), "logerror", "sale_key", folds,
                             rank_col="fold_rank").drop("fold")
     return _with_folds(io.checkpoint_table(base, "model_frame", path), folds)
 

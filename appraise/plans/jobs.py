@@ -29,7 +29,7 @@ def forest_submission(spark, sf: str, out: str | None = None, mtry_grid=MTRY, nu
     _held, scored = holdout(frame, forest(num_trees, max_depth, best))
     m = V.error_metrics(scored.select(F.col(LABEL).alias("obs"), F.col("prediction").alias("pred"))).first()
     final = final_forest(frame, best, num_trees, max_depth)
-    wide = score_months(final, clean_properties(spark, sf), "id_parcel", SUBMISSION_MONTHS)
+    wide = score_months(final, clean_properties(spark, sf, fill=False), "id_parcel", SUBMISSION_MONTHS)
     target = out or scratch_path(spark, "submission")
     io.write_csv(wide.withColumnRenamed("id_parcel", "ParcelId"), target)
     return {"cv_mae": dict(zip(map(int, mtry_grid), map(float, cvm.avgMetrics))), "best_mtry": best,

@@ -17,19 +17,23 @@ import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from appraise.functions import rsem
+from appraise.operators import ensembles as N
 from appraise.operators import evaluate as V
-from appraise.operators.sampling import bootstrap_weights, shuffle_column, split_random, split_stratified
+from appraise.operators.sampling import bootstrap_weights, split_random, split_stratified
 from appraise.operators.score import SUBMISSION_MONTHS, score_months
 from appraise.operators.stages import BoxCox
 from appraise.plans.cleaning import FEATURES, clean_properties, model_frame
 from appraise.plans.registry import register
+from appraise.plans.sqltext import SALES, with_
+from appraise.sources import standins as S
 
 LABEL = "logerror"
 SEED = 2016
@@ -41,20 +45,31 @@ SIGN_MTRY = tuple(range(2, 14))
 TREE_COUNTS = (50, 100, 250, 500, 1000, 1500)
 FINAL_TREES = 800
 BOOST_DEPTHS, BOOST_STEPS, BOOST_TREES, BOOST_MIN_ROWS = (3, 5, 7), (0.3, 0.1, 0.03, 0.01), (100, 200, 500), 20
-ROUNDS, PATIENCE, STEP = 3000, 100, 0.005
+ROUNDS, PATIENCE, STEP, BOOST_BASE = 3000, 100, 0.005, 0.5
 SEARCH = {"maxIter": (2000,), "stepSize": (0.005, 0.01, 0.025, 0.1), "maxDepth": (2, 3, 4, 5, 6, 7, 8), "minInfoGain": (0.0, 0.5, 1.0),
           "featureSubsetStrategy": ("0.25", "0.5"), "minInstancesPerNode": (1, 5, 10), "subsamplingRate": (0.1, 0.7, 1.0)}
+LASSO_FOLDS = 10
 LAMBDAS = tuple(10.0 ** (-7 + 9 * k / 99) for k in range(100))
 # ---- end of fixed values --------------------------------------------------------------------
 MAX_DEPTH = 12  # MLlib grows level by level; the reference's forests set no depth
 
 #: What the registered keys pass instead.
 QUICK = {"trees": 20, "depth": 6, "mtry": (2, 3, 4), "tree_counts": (10, 20, 40), "boost": ((2, 4), (0.05, 0.1), (10, 20, 40)),
-         "rounds": {"rounds": 60, "patience": 20, "step": 0.1, "block": 30}, "lambdas": LAMBDAS[::11], "folds": 3,
+         "rounds": {"rounds": 60, "patience": 20, "step": 0.1, "block": 20}, "bags": 20,
          "search": {"maxIter": (10,), "stepSize": (0.1,), "maxDepth": (2, 4), "minInfoGain": (0.0, 0.5), "featureSubsetStrategy": ("0.5",),
                     "minInstancesPerNode": (1, 10), "subsamplingRate": (0.7,)}}
 
 
+#: Columns with missing cells in the model frame. A pipeline fills them by the mean of the rows it is fitted on; jobs that
+#: share one frame between folds use the second cleaning round's sentinel, which needs no statistic.
+GAPS = ("tax_total",)
+SENTINEL = -999.0
+
+
+def with_sentinel(frame: DataFrame) -> DataFrame:
+    return frame.fillna(SENTINEL, list(GAPS))
+
+
 def assembler(features: Sequence[str] = FEATURES) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
@@ -69,12 +84,15 @@ def forest(num_trees: int = FINAL_TREES, max_depth: int = MAX_DEPTH, mtry: int |
                                  seed=SEED)
 
 
-def pipeline(estimator, scale: bool = False, boxcox: Sequence[str] = ()) -> Pipeline:
-    """(optional Box-Cox of positive features) → features → (optional centre-and-scale) →
+def pipeline(estimator, scale: bool = False, boxcox: Sequence[str] = (), columns: Sequence[str] = FEATURES) -> Pipeline:
+    """Mean fill of the gaps → (optional Box-Cox of positive features) → features → (optional centre-and-scale) →
     estimator. Inside ``CrossValidator`` every stage is refit on each training part, so held-out
     rows never feed the statistics (``train(preProcess=c('BoxCox','center','scale'))``)."""
-    stages = [BoxCox(inputCol=c, outputCol=f"{c}_bc") for c in boxcox]
-    features = [f"{c}_bc" if c in boxcox else c for c in FEATURES]
+    gaps = [c for c in GAPS if c in columns]
+    stages = [Imputer(inputCols=gaps, outputCols=[f"{c}_filled" for c in gaps])] if gaps else []
+    names = {c: f"{c}_filled" if c in gaps else c for c in columns}
+    stages += [BoxCox(inputCol=names[c], outputCol=f"{c}_bc") for c in boxcox]
+    features = [f"{c}_bc" if c in boxcox else names[c] for c in columns]
     if not scale:
         return Pipeline(stages=[*stages, assembler(features), estimator])
     scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
@@ -82,9 +100,9 @@ def pipeline(estimator, scale: bool = False, boxcox: Sequence[str] = ()) -> Pipe
 
 
 def cross_validate(frame: DataFrame, estimator, grid, folds: int = 3, parallelism: int = 4, scale: bool = False,
-                   boxcox: Sequence[str] = (), evaluator=None):
+                   boxcox: Sequence[str] = (), evaluator=None, columns: Sequence[str] = FEATURES):
     """caret ``train(trControl=cv)``: every grid point on the frame's own fold column."""
-    cv = CrossValidator(estimator=pipeline(estimator, scale, boxcox), estimatorParamMaps=grid,
+    cv = CrossValidator(estimator=pipeline(estimator, scale, boxcox, columns), estimatorParamMaps=grid,
                         evaluator=evaluator or mae_evaluator(), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED)
     return cv.fit(frame)
 
@@ -130,18 +148,27 @@ def rf_holdout(spark, sf):
     return m.select("mae", "corr", F.col("n").alias("n_test"))
 
 
-def tree_sweep(frame: DataFrame, tree_counts: Sequence[int] = TREE_COUNTS, mtry: int = 4, max_depth: int = MAX_DEPTH):
-    """CV error by number of trees at a fixed mtry (same seed): (CrossValidatorModel, grid)."""
-    rf = forest(max_depth=max_depth, mtry=mtry)
-    grid = ParamGridBuilder().addGrid(rf.numTrees, list(tree_counts)).build()
-    return cross_validate(frame, rf, grid), grid
+def tree_sweep(frame: DataFrame, tree_counts: Sequence[int] = TREE_COUNTS, mtry: int = 4, max_depth: int = MAX_DEPTH, folds: int = 3) -> list[tuple]:
+    """CV error by number of trees at a fixed mtry: ONE forest of the largest count a fold, whose held-out rows are
+    scored at every count in one scan. Rows (trees, MAE mean, sd)."""
+    frame = with_sentinel(frame)
+    vectors = assembler().transform(frame).cache()
+    curves = []
+    for f in range(folds):
+        model = forest(max(tree_counts), max_depth, mtry).fit(vectors.where(F.col("fold") != f))
+        staged = N.staged_errors(model, frame.where(F.col("fold") == f), FEATURES, LABEL, tree_counts).collect()
+        curves.append({r.num_trees: r.mae for r in staged})
+    vectors.unpersist()
+    errors = {t: np.array([c[t] for c in curves]) for t in tree_counts}
+    return [(t, float(errors[t].mean()), float(errors[t].std(ddof=1))) for t in tree_counts]
 
 
 @register("rf_tree_sweep")
 def rf_tree_sweep(spark, sf):
     """M3: CV error by number of trees."""
-    cvm, grid = tree_sweep(model_frame(spark, sf), QUICK["tree_counts"], 3, QUICK["depth"])
-    return _grid_table(spark, cvm, grid, {"numTrees": "num_trees"}).select("num_trees", "mae_mean", "mae_sd", "best")
+    rows = tree_sweep(model_frame(spark, sf), QUICK["tree_counts"], 3, QUICK["depth"])
+    best = min(rows, key=lambda r: r[1])[0]
+    return spark.createDataFrame([(*r, r[0] == best) for r in rows], "num_trees int, mae_mean double, mae_sd double, best boolean")
 
 
 def signed(frame: DataFrame) -> DataFrame:
@@ -204,13 +231,16 @@ def rf_sign(spark, sf):
     frame = signed(model_frame(spark, sf))
     weights = bootstrap_weights(frame.select("sale_key"), "sale_key", 5)
     wide = weights.groupBy("sale_key").agg(*[F.sum(F.when(F.col("resample") == b, F.col("weight"))).cast("double").alias(f"w{b}") for b in range(5)])
-    prep = assembler().transform(frame.join(wide, "sale_key")).cache()
-    rows = []
-    for b in range(5):
+    prep = assembler().transform(with_sentinel(frame).join(wide, "sale_key")).cache()
+
+    def resample(b):
         clf = sign_forest(QUICK["trees"], QUICK["depth"], 3, f"w{b}")
         oob = clf.fit(prep.where(F.col(f"w{b}") > 0)).transform(prep.where(F.col(f"w{b}") == 0))
         m = V.accuracy_kappa(oob, "sign", "prediction").first()
-        rows.append((b, int(m["n"]), float(m["accuracy"]), float(m["kappa"]) if m["kappa"] is not None else None))
+        return b, int(m["n"]), float(m["accuracy"]), float(m["kappa"]) if m["kappa"] is not None else None
+
+    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
+        rows = list(pool.map(resample, range(5)))
     prep.unpersist()
     return spark.createDataFrame(rows, "resample int, n_oob long, accuracy double, kappa double")
 
@@ -218,7 +248,7 @@ def rf_sign(spark, sf):
 def boosting_grid(frame: DataFrame, depths=BOOST_DEPTHS, steps=BOOST_STEPS, tree_counts=BOOST_TREES, min_rows: int = BOOST_MIN_ROWS, folds: int = 3):
     """Rows (depth, step, trees, MAE mean, sd): the tree-count axis comes from ONE fit per
     (depth, shrinkage, fold) at the largest count, scored per iteration on the held-out fold."""
-    frame = assembler().transform(frame)
+    frame = assembler().transform(with_sentinel(frame)).select(LABEL, "fold", "features").cache()
 
     def held_out_curve(task):
         depth, step, f = task
@@ -231,6 +261,7 @@ def boosting_grid(frame: DataFrame, depths=BOOST_DEPTHS, steps=BOOST_STEPS, tree
     # independent fits run as concurrent Spark jobs (as CrossValidator(parallelism=...) does)
     with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
         curves = dict(zip(tasks, pool.map(held_out_curve, tasks)))
+    frame.unpersist()
     rows = []
     for depth in depths:
         for step in steps:
@@ -267,41 +298,21 @@ def gbt_search(spark, sf):
     return _grid_table(spark, cvm, grid, names).select(*names.values(), "mae_mean", "mae_sd", "best")
 
 
-def booster(rounds: int, step: float = STEP) -> GBTRegressor:
-    """The reference's boosting setup on MLlib: depth 2, row subsample 0.7, column share 0.5 per
-    node, min 10 rows per leaf (min_child_weight's nearest MLlib knob)."""
-    return GBTRegressor(labelCol=LABEL, featuresCol="features", maxIter=rounds, maxDepth=2, stepSize=step,
-                        minInstancesPerNode=10, subsamplingRate=0.7, featureSubsetStrategy="0.5", seed=SEED)
-
-
 def boost_curves(frame: DataFrame, rounds: int = ROUNDS, patience: int = PATIENCE, step: float = STEP, block: int = 200, folds: int = 3):
-    """Per-round CV of boosting with row (0.7) and column (0.5) subsampling: train and test MAE
-    mean and sd (population, as xgb.cv) per round, and the best round. Rounds beyond an early stop are
-    not fitted: the folds are fitted for ``block`` rounds, and for twice as many as long as the best round has not
-    stood for ``patience`` rounds. Returns (rows up to the stop, best_round)."""
-    frame = assembler().transform(frame).cache()
-    fitted = min(block, rounds)
-    while True:
-        def curves(f, fitted=fitted):
-            model = booster(fitted, step).fit(frame.where(F.col("fold") != f))
-            return (model.evaluateEachIteration(frame.where(F.col("fold") != f), "absolute"),
-                    model.evaluateEachIteration(frame.where(F.col("fold") == f), "absolute"))
-
-        with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
-            results = list(pool.map(curves, range(folds)))
-        tr, te = np.array([r[0] for r in results]), np.array([r[1] for r in results])
-        mean = te.mean(axis=0)
-        best = stop = 0
-        while stop + 1 < fitted and stop - best < patience:
-            stop += 1
-            if mean[stop] < mean[best]:
-                best = stop
-        if stop - best >= patience or fitted >= rounds:
-            break
-        fitted = min(2 * fitted, rounds)
-    frame.unpersist()
-    rows = [(r + 1, float(tr[:, r].mean()), float(tr[:, r].std()), float(te[:, r].mean()), float(te[:, r].std()), r == best)
-            for r in range(stop + 1)]
+    """Per-round CV of boosting: depth 2, row share 0.7, column share 0.5 a tree, at least 10 rows a leaf, from the
+    reference's base value. Train and test MAE mean and sd (population, as xgb.cv) per round, and the best round. The folds'
+    models go on from their written margins until the best round has stood for ``patience`` rounds, and no round
+    is fitted twice. Returns (rows up to the stop, best_round)."""
+    made = N.boost(with_sentinel(frame), FEATURES, LABEL, "sale_key", rounds=rounds, patience=patience, step=step, folds=folds, block=block,
+                   row_share=0.7, column_share=0.5, base=BOOST_BASE, seed=SEED)
+    tr, te = np.array([c[0] for c in made.curve]), np.array([c[1] for c in made.curve])
+    mean = te.mean(axis=1)
+    best = stop = 0
+    while stop + 1 < len(mean) and stop - best < patience:
+        stop += 1
+        if mean[stop] < mean[best]:
+            best = stop
+    rows = [(r + 1, float(tr[r].mean()), float(tr[r].std()), float(te[r].mean()), float(te[r].std()), r == best) for r in range(stop + 1)]
     return rows, best + 1
 
 
@@ -318,37 +329,61 @@ def boost_final(spark, sf):
     """M8 + V6: the final boosting fit on all rows at the best CV round, and its gain
     importance per feature (``xgb.train`` then ``xgb.importance``)."""
     frame = model_frame(spark, sf)
-    _rows, best = boost_curves(frame, **QUICK["rounds"])
-    model = booster(best, QUICK["rounds"]["step"]).fit(assembler().transform(frame))
-    out = sorted(zip(FEATURES, map(float, model.featureImportances.toArray())), key=lambda r: -r[1])
+    kind = QUICK["rounds"]
+    _rows, best = boost_curves(frame, **kind)
+    made = N.boost(with_sentinel(frame), FEATURES, LABEL, "sale_key", rounds=best, step=kind["step"], block=kind["block"], row_share=0.7,
+                   column_share=0.5, base=BOOST_BASE, seed=SEED)
+    gains = made.gains[0] / max(made.gains[0].sum(), 1e-300)
+    out = sorted(zip(FEATURES, map(float, gains)), key=lambda r: -r[1])
     return spark.createDataFrame([(f, g, best) for f, g in out], "feature string, gain double, rounds int")
 
 
+#: The L1 path uses the numeric columns; level codes are no quantities.
+NUMERIC = tuple(c for c in FEATURES if not c.endswith("_code"))
+
+
 def lasso(lam: float = 0.0) -> LinearRegression:
     """L1 regression without intercept on standardised columns (MLlib scales them by their sd)."""
-    return LinearRegression(labelCol=LABEL, featuresCol="features", regParam=lam, elasticNetParam=1.0, fitIntercept=False, standardization=True)
+    return LinearRegression(labelCol=LABEL, featuresCol="features", regParam=lam, elasticNetParam=1.0, fitIntercept=False, standardization=True,
+                            solver="normal")  # one pass a fit: few columns
 
 
 def lasso_path(frame: DataFrame, lambdas: Sequence[float] = LAMBDAS, folds: int = 10, p: float = 0.75):
     """The 75/25 split, CV of lambda on the training part only, the refit there, and the hold-out scored with it:
-    (CrossValidatorModel, lambda.min, scored hold-out). ``frame`` has a fold column of ``folds`` folds."""
+    (rows (lambda, MSE mean, sd), lambda.min, the refit, scored hold-out). ``frame`` has a fold column of ``folds`` folds. What
+    a fold's models share (the fill by its training mean, the assembled vectors) is made once a fold."""
     split = split_random(frame, "sale_key", p)
-    est = lasso()
-    grid = ParamGridBuilder().addGrid(est.regParam, list(lambdas)).build()
-    mse = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="mse")
     train = split.where("is_train").cache()
-    cvm = cross_validate(train, est, grid, folds=folds, evaluator=mse)
+
+    def prepared(rows):
+        return Pipeline(stages=pipeline(lasso(), columns=NUMERIC).getStages()[:-1]).fit(rows)
+
+    errors = np.zeros((folds, len(lambdas)))
+    for f in range(folds):
+        part, held = train.where(F.col("fold") != f), train.where(F.col("fold") == f)
+        prep = prepared(part)
+        part, held = (prep.transform(d).select(LABEL, "features").cache() for d in (part, held))
+
+        with ThreadPoolExecutor(max_workers=2 * PARALLEL_FITS) as pool:
+            weights = list(pool.map(lambda lam, part=part: lasso(lam).fit(part).coefficients.toArray(), lambdas))
+        cells = vector_to_array("features")
+        misses = [F.col(LABEL) - sum((cells[i] * float(b) for i, b in enumerate(w)), F.lit(0.0)) for w in weights]
+        errors[f] = list(held.agg(*[F.avg(m * m).alias(f"e{i}") for i, m in enumerate(misses)]).first())  # one scan for all lambdas
+        part.unpersist()
+        held.unpersist()
+    best = float(lambdas[int(np.argmin(errors.mean(axis=0)))])
+    model = pipeline(lasso(best), columns=NUMERIC).fit(train)
     train.unpersist()
-    return cvm, float(lambdas[int(np.argmin(cvm.avgMetrics))]), cvm.bestModel.transform(split.where(~F.col("is_train")))
+    rows = [(float(lam), float(e.mean()), float(e.std(ddof=1))) for lam, e in zip(lambdas, errors.T)]
+    return rows, best, model, model.transform(split.where(~F.col("is_train")))
 
 
 @register("lasso_cv")
 def lasso_cv(spark, sf):
     """M6: L1 path by CV on the training part; the winner's row has the hold-out MSE, MAE and correlation."""
-    cvm, best, held = lasso_path(model_frame(spark, sf, folds=QUICK["folds"]), QUICK["lambdas"], QUICK["folds"])
+    path, best, _model, held = lasso_path(model_frame(spark, sf, folds=LASSO_FOLDS))
     m = V.error_metrics(held.select(F.col(LABEL).alias("obs"), F.col("prediction").alias("pred"))).first()
-    rows = [(lam, float(a), float(s), lam == best, *((m["mse"], m["mae"], m["corr"]) if lam == best else (None,) * 3))
-            for lam, a, s in zip(QUICK["lambdas"], cvm.avgMetrics, cvm.stdMetrics)]
+    rows = [(*r, r[0] == best, *((m["mse"], m["mae"], m["corr"]) if r[0] == best else (None,) * 3)) for r in path]
     return spark.createDataFrame(rows, "lambda double, cv_mse_mean double, cv_mse_sd double, best boolean, "
                                        "holdout_mse double, holdout_mae double, holdout_corr double")
 
@@ -356,9 +391,9 @@ def lasso_cv(spark, sf):
 @register("lasso_coefficients")
 def lasso_coefficients(spark, sf):
     """M6: coefficients of the refit at lambda.min (``coef(fit, s=lambda.min)``)."""
-    cvm, best, _held = lasso_path(model_frame(spark, sf, folds=QUICK["folds"]), QUICK["lambdas"], QUICK["folds"])
-    coef = cvm.bestModel.stages[-1].coefficients.toArray()
-    return spark.createDataFrame([(c, float(b), best) for c, b in zip(FEATURES, coef)],
+    _rows, best, model, _held = lasso_path(model_frame(spark, sf, folds=LASSO_FOLDS))
+    coef = model.stages[-1].coefficients.toArray()
+    return spark.createDataFrame([(c, float(b), best) for c, b in zip(NUMERIC, coef)],
                                  "feature string, coefficient double, lambda double")
 
 
@@ -399,26 +434,39 @@ def importance_gain(spark, sf, k: int = 20):
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+def _bagged(spark, sf):
+    frame = with_sentinel(model_frame(spark, sf))
+    return frame, N.bagged_forest(frame, FEATURES, LABEL, "sale_key", trees=QUICK["bags"], mtry=3, depth=QUICK["depth"], seed=SEED)
+
+
 @register("importance_permutation")
 def importance_permutation(spark, sf):
-    """V7: permutation importance. Fit on a 60 % stratified split; each held-out row meets the features of
-    another row (one repeatable hash permutation, one join), and every feature in turn takes that row's value:
-    the rise of the MAE is its importance."""
-    frame = model_frame(spark, sf)
-    split = split_stratified(frame, LABEL, "sale_key", 0.6)
-    model = pipeline(forest(QUICK["trees"], QUICK["depth"], 3)).fit(split.where("is_train"))
-    test = split.where(~F.col("is_train")).withColumn("own", F.struct(*FEATURES))
-    test = shuffle_column(test, "own", "sale_key", salt="perm", out_col="other").cache()
-    ev = mae_evaluator()
-    base = ev.evaluate(model.transform(test))
-    rows = [(c, float(ev.evaluate(model.transform(test.withColumn(c, F.col("other")[c]))) - base), float(base)) for c in FEATURES]
-    test.unpersist()
-    rows.sort(key=lambda r: -r[1])
-    return spark.createDataFrame(rows, "feature string, mae_increase double, base_mae double")
+    """V7: out-of-bag permutation importance, as a forest prints it: for each feature the mean over trees of the rise of the
+    tree's out-of-bag MSE, and that mean over its standard error. One join and one scan for all features and trees."""
+    frame, trees = _bagged(spark, sf)
+    _errors, importance = N.out_of_bag(frame, trees, FEATURES, LABEL, "sale_key")
+    return spark.createDataFrame(importance, "feature string, mse_increase double, scaled double")
+
+
+@register("rf_oob")
+def rf_oob(spark, sf):
+    """M1: the forest's out-of-bag error (each row by the trees that left it out), without a hold-out."""
+    frame, trees = _bagged(spark, sf)
+    errors, _none = N.out_of_bag(frame, trees, FEATURES, LABEL, "sale_key", permute=False)
+    return spark.createDataFrame([(len(trees), errors["n_oob"], errors["mae"], errors["mse"])], "num_trees int, n_oob long, mae double, mse double")
+
+
+BAGS = 8
+
+
+@register("forest_bags", with_(SALES) + "SELECT sale_key, " + ", ".join(f"{N.bag_weight_sql(str(t), 'sale_key')} AS w{t}" for t in range(BAGS)) + " FROM sales")
+def forest_bags(spark, sf):
+    """M1 (the bags): how often each sale is in the bootstrap sample of each of eight trees."""
+    return S.sales(spark, sf).select("sale_key", *[N.bag_weight(t, "sale_key").alias(f"w{t}") for t in range(BAGS)])
 
 
 @register("predict_pivot")
 def predict_pivot(spark, sf):
     """The CV winner's final forest scores every property for the six submission months side by side;
     wide result (parcel, 201610 .. 201712), 4 decimals."""
-    return score_months(_winner(model_frame(spark, sf)), clean_properties(spark, sf), "id_parcel", SUBMISSION_MONTHS, "month", "prediction", 4)
+    return score_months(_winner(model_frame(spark, sf)), clean_properties(spark, sf, fill=False), "id_parcel", SUBMISSION_MONTHS, "month", "prediction", 4)

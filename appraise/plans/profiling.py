@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from appraise.operators import comoments as M
 from appraise.operators import profile as A
 from appraise.plans.registry import register
 from appraise.plans.sqltext import PROPS, SALES, with_
@@ -122,3 +123,51 @@ def column_pairs(spark, sf):
     """Correlated pairs and same-missingness pairs behind the drop lists, one pass."""
     out = A.column_pairs(S.properties(spark, sf), PAIR_COLS)
     return out.select("a", "b", F.round("corr", 8).alias("corr"), "missing_mismatch")
+
+
+GROUP_COLS = ["quantity", "price", "logerror"]
+
+
+@register("group_summary", with_(SALES) + "\n" + " UNION ALL ".join(
+    f"SELECT flag, '{c}' AS \"column\", count({c}) AS n, " + ", ".join(f"round(quantile_cont({c}, {p}), 6) AS {n}" for p, n in ((0, "min"), (0.25, "q1"), (0.5, "median"), (0.75, "q3"), (1, "max")))
+    + f", round(avg({c}), 6) AS mean FROM sales GROUP BY flag" for c in GROUP_COLS))
+def group_summary(spark, sf):
+    """A5, A10: six-number summary of several columns by group, one of which holds half of all rows; all columns and groups are
+    narrowed together."""
+    out = A.group_summary(S.sales(spark, sf), ["flag"], GROUP_COLS)
+    return out.select("flag", "column", "n", *[F.round(c, 6).alias(c) for c in ("min", "q1", "median", "q3", "max", "mean")])
+
+
+WIDE_COLS = ["region_zip", "tax_total", "build_year", "id_parcel"]
+
+
+@register("comoment_matrix", with_(PROPS) + "\n" + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS n, round(corr({a}::DOUBLE, {b}::DOUBLE), 8) AS corr FROM props"
+    for i, a in enumerate(WIDE_COLS) for b in WIDE_COLS[i + 1:]))
+def comoment_matrix(spark, sf):
+    """The correlation of every pair of columns from one scan that merges co-moment matrices."""
+    return M.correlations(S.properties(spark, sf), WIDE_COLS).withColumn("corr", F.round("corr", 8))
+
+
+PATTERN_COLS = ["id_parcel", "tax_total", "zoning", "tax_copy", "status", "zoning_copy"]
+_COPIES = "SELECT *, tax_total AS tax_copy, zoning AS zoning_copy FROM props"
+
+
+def _gapped(spark, sf):
+    return S.properties(spark, sf).withColumns({"tax_copy": F.col("tax_total"), "zoning_copy": F.col("zoning")})
+
+
+@register("missing_patterns", with_(PROPS) + "SELECT " + " || ".join(f"({c} IS NULL)::INTEGER::VARCHAR" for c in PATTERN_COLS) + f" AS pattern, count(*) AS n FROM ({_COPIES}) GROUP BY 1")
+def missing_patterns(spark, sf):
+    """Rows by the pattern of their missing cells."""
+    return M.missing_patterns(_gapped(spark, sf), PATTERN_COLS)
+
+
+@register("missingness_classes", with_(PROPS) + f", c AS ({_COPIES})\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_missing, round(count(*) FILTER (WHERE {c} IS NULL) / count(*), 8) AS share_missing, CASE "
+    + " ".join(f"WHEN count(*) FILTER (WHERE ({c} IS NULL) <> ({e} IS NULL)) = 0 THEN '{e}'" for e in PATTERN_COLS[:i + 1]) + " END AS same_as FROM c"
+    for i, c in enumerate(PATTERN_COLS)))
+def missingness_classes(spark, sf):
+    """Share missing and classes of columns that are missing in the same rows, from the pattern table alone."""
+    out = M.missingness(M.missing_patterns(_gapped(spark, sf), PATTERN_COLS), PATTERN_COLS)
+    return out.withColumn("share_missing", F.round("share_missing", 8))

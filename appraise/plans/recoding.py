@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from appraise.functions import rsem
 from appraise.functions.hashing import keyed_hash
 from appraise.operators import encode as E
+from appraise.operators import foldstats as L
 from appraise.operators import impute as I
 from appraise.operators import scale as Z
+from appraise.operators.sampling import stratified_folds
 from appraise.plans.registry import register
-from appraise.plans.sqltext import PARTS, PROPS, SALES, h, with_
+from appraise.plans.sqltext import PARTS, PROPS, SALES, h, strata_cte, with_
 from appraise.sources import standins as S
 
 PRIORITY_LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -117,3 +119,51 @@ def boxcox_apply(spark, sf):
     s = S.sales(spark, sf).select("sale_key", "price")
     out = Z.boxcox_apply(s, "price", out_col="price_bc")
     return out.select("sale_key", F.round("price_bc", 6).alias("price_bc"))
+
+
+_FOLDED = with_(SALES, strata_cte("sales", "logerror", "sale_key", "folds")) + """,
+folded AS (SELECT sale_key, CAST(rnk % 3 AS INTEGER) AS fold, price, quantity, flag FROM ranked),
+fo AS (SELECT CAST(f AS INTEGER) AS fold FROM range(3) r(f)),
+part AS (SELECT fo.fold, price, quantity, flag FROM fo JOIN folded ON folded.fold <> fo.fold),
+"""
+
+
+def _folded(spark, sf):
+    s = S.sales(spark, sf).select("sale_key", "logerror", "price", "quantity", "flag")
+    return stratified_folds(s, "logerror", "sale_key", 3)
+
+
+@register("fold_statistics", _FOLDED + """
+g AS (SELECT CAST(round(-2 + 0.1 * i, 1) AS DOUBLE) AS l FROM range(41) r(i)),
+sums AS (SELECT fold, count(*) AS n, sum(ln(price)) AS sl FROM part GROUP BY fold),
+prof AS (SELECT g.l, part.fold, -0.5 * sums.n * ln(var_pop(CASE WHEN g.l = 0 THEN ln(price) ELSE pow(price, g.l) / g.l END)) + (g.l - 1) * sums.sl AS loglik
+         FROM part JOIN sums USING (fold), g GROUP BY g.l, part.fold, sums.n, sums.sl),
+best AS (SELECT fold, arg_max(l, loglik) AS b FROM prof GROUP BY fold),
+lev AS (SELECT fold, count(DISTINCT flag) AS n_levels FROM part GROUP BY fold)
+SELECT fold, count(*) AS n, round(avg(price), 6) AS price_mean, round(stddev_samp(price), 6) AS price_sd, round(avg(quantity), 6) AS quantity_mean,
+       round(stddev_samp(quantity), 6) AS quantity_sd, any_value(b) AS "lambda", any_value(n_levels) AS n_levels
+FROM part JOIN best USING (fold) JOIN lev USING (fold) GROUP BY fold""")
+def fold_statistics(spark, sf):
+    """E8, E9, E1 inside CV: mean, sd, Box-Cox power and number of levels that each fold's model may know, in one pass by fold."""
+    folded = _folded(spark, sf).cache()
+    moments = {(f, c): (n, m, sd) for f, c, n, m, sd in L.excluded_moments(folded, ["price", "quantity"])}
+    best = {}
+    for f, lam, v in L.excluded_boxcox(folded, "price"):
+        if v is not None and (f not in best or v > best[f][0]):
+            best[f] = (v, lam)
+    levels = {r.fold: r.n for r in L.excluded_levels(folded, "flag").groupBy("fold").agg(F.count("*").alias("n")).collect()}
+    folded.unpersist()
+    rows = [(f, n, m, sd, *moments[f, "quantity"][1:], best[f][1], levels.get(f, 0)) for (f, c), (n, m, sd) in moments.items() if c == "price"]
+    out = spark.createDataFrame(rows, "fold int, n long, price_mean double, price_sd double, quantity_mean double, quantity_sd double, `lambda` double, n_levels long")
+    return out.withColumns({c: F.round(c, 6) for c in ("price_mean", "price_sd", "quantity_mean", "quantity_sd")})
+
+
+@register("fold_mean_fill", with_(PROPS, strata_cte("(SELECT id_parcel, build_year * 1.0 AS y, tax_total FROM props)", "y", "id_parcel", "folds")) + """,
+f AS (SELECT id_parcel, CAST(rnk % 3 AS INTEGER) AS fold, tax_total FROM ranked),
+m AS (SELECT o.fold, avg(f.tax_total) AS mean FROM (SELECT DISTINCT fold FROM f) o JOIN f ON f.fold <> o.fold GROUP BY o.fold)
+SELECT id_parcel, fold, round(coalesce(tax_total, mean), 6) AS tax_total FROM f JOIN m USING (fold)""")
+def fold_mean_fill(spark, sf):
+    """I7 inside CV: a gap is filled by the mean of the rows outside of its own fold."""
+    p = S.properties(spark, sf).select("id_parcel", F.col("build_year").cast("double").alias("y"), "tax_total")
+    filled = L.excluded_fill(stratified_folds(p, "y", "id_parcel", 3), ["tax_total"])
+    return filled.select("id_parcel", "fold", F.round("tax_total", 6).alias("tax_total"))

@@ -35,11 +35,15 @@ def sales_like(spark, n=2000, seed=3):
 
 def test_lasso_is_mllib_on_uncentred_columns_and_scores_the_holdout(spark):
     frame = sales_like(spark)
-    cvm, best, held = M.lasso_path(frame, (1e-4, 0.1, 100.0), folds=3)
-    assert best < 100 and held.count() == 500
+    path, best, model, held = M.lasso_path(frame, (1e-4, 0.1, 100.0), folds=3)
+    assert [r[0] for r in path] == [1e-4, 0.1, 100.0] and best == min(path, key=lambda r: r[1])[0] < 100 and held.count() == 500
     train = split_random(frame, "sale_key", 0.75).where("is_train")
-    own = M.pipeline(M.lasso(best)).fit(train).stages[-1].coefficients.toArray()
-    assert np.allclose(cvm.bestModel.stages[-1].coefficients.toArray(), own)
+    own = M.pipeline(M.lasso(best), columns=M.NUMERIC).fit(train).stages[-1].coefficients.toArray()
+    assert np.allclose(model.stages[-1].coefficients.toArray(), own)
+    x = np.array([[r[c] for c in M.NUMERIC] for r in train.where("fold <> 1").collect()])
+    y = np.array([r.logerror for r in train.where("fold <> 1").collect()])
+    free = np.linalg.lstsq(x, y, rcond=None)[0]  # no penalty: plain least squares without an intercept
+    assert np.allclose(M.pipeline(M.lasso(0.0), columns=M.NUMERIC).fit(train.where("fold <> 1")).stages[-1].coefficients.toArray(), free, atol=1e-6)
 
 
 def test_sign_models_report_the_holdout_table(spark):
@@ -86,7 +90,7 @@ def test_score_months_is_wide(spark):
     assert wide.count() == 50
 
 
-@pytest.mark.parametrize("key", ["rf_cv", "lasso_cv", "importance_gain", "predict_pivot", "gbt_sign", "rf_sign_cv", "gbt_search"])
+@pytest.mark.parametrize("key", ["rf_cv", "rf_tree_sweep", "rf_oob", "importance_permutation", "importance_gain", "predict_pivot", "gbt_sign", "rf_sign_cv", "gbt_search"])
 def test_model_queries_run(spark, key):
     df = E.queries()[key](spark, SF_SMALL)
     assert df.count() > 0

@@ -190,7 +190,7 @@ def test_scaler_inside_cv_uses_training_rows_only(spark):
                                "month double, tax_total double, logerror double")
     df = df.withColumns({c: F.lit(1.0) for c in ["zoning_code", "status_code", "build_year", "region_zip"]})
     model = pipeline(LinearRegression(labelCol="logerror"), scale=True).fit(df.where("month < 30"))
-    mean = model.stages[1].mean.toArray()[0]
+    mean = model.stages[-2].mean.toArray()[0]
     assert mean == pytest.approx(14.5)
 
 
