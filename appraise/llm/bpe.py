@@ -25,12 +25,15 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from appraise.llm import tables
 from appraise.llm.textcols import lists, slices
 
 LEXICON = 1 << 17
+#: Longest piece of the lexicon, in bytes: with LEXICON a bound on its size.
+LONGEST = 64
 #: How the byte-level tokenizer splits a text before its merges (fixed by its file's pre-tokenizer).
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _HELD = 200_000  # distinct pieces that a task remembers
@@ -251,8 +254,10 @@ class Encoder:
         return out, np.diff(np.concatenate([[0], end])[pieces])
 
 
-def frequent(docs: DataFrame, path: str, most: int = LEXICON) -> list[str]:
-    """The most frequent pieces of all texts, at most ``most``, in order of their bytes."""
+def frequent(docs: DataFrame, path: str, most: int = LEXICON) -> DataFrame:
+    """word: the most frequent pieces of all texts, at most ``most`` in all. Pieces of equal count are in or out together, so the least
+    count comes from a table of counts of counts, and only pieces that pass it leave their tasks. Pieces of more than ``LONGEST``
+    bytes are left to be merged."""
     def run(batches):
         rules, count = merges(path), Counter()
 
@@ -268,26 +273,35 @@ def frequent(docs: DataFrame, path: str, most: int = LEXICON) -> list[str]:
                 count.clear()
         yield out()
     each = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word string, n long")
-    top = each.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return sorted((r.word for r in top.select("word").collect()), key=str.encode)
+    each = each.where(F.octet_length("word") <= LONGEST)
+    counted = tables.written(each.groupBy("word").agg(F.sum("n").alias("n")), "bpe-pieces")
+    above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = counted.groupBy("n").agg(F.count("*").alias("m"))  # one row for each different count
+    least = sizes.select("n", F.sum("m").over(above).alias("upto")).where(F.col("upto") <= most).agg(F.min("n")).first()[0]
+    return counted.where(F.col("n") >= least if least is not None else F.lit(False)).select("word")
 
 
 def lexicon(docs: DataFrame, path: str, most: int = LEXICON) -> bytes:
-    words = [w.encode() for w in frequent(docs, path, most)]
-    rules = merges(path)
-    return compile_lexicon(words, [rules.merged(w) for w in words])
+    """The compiled automaton of ``frequent``: one task of at most ``most`` short words builds it, the driver gets the bytes."""
+    def run(batches):
+        words = sorted(w.encode() for batch in batches for w in batch.column(0).to_pylist())
+        rules = merges(path)
+        yield pa.RecordBatch.from_arrays([pa.array([compile_lexicon(words, [rules.merged(w) for w in words])], pa.binary())], ["compiled"])
+    made = frequent(docs, path, most).repartition(1).mapInArrow(run, "compiled binary").first()
+    return bytes(made.compiled) if made else compile_lexicon([], [])
 
 
 def encode(docs: DataFrame, path: str, compiled: bytes, ids: str = "ids") -> DataFrame:
     """``docs`` with its text's ids as the array column ``ids``."""
     sent = docs.sparkSession.sparkContext.broadcast(compiled)
-    made = docs.withColumn("__text", F.col("text").cast("string"))
+    own = tables.fresh(docs, "__text")
+    made = docs.withColumn(own, F.col("text").cast("string"))
 
     def run(batches):
         encoder = Encoder(sent.value, path)
-        for batch, t in slices(batches, "__text"):
+        for batch, t in slices(batches, own):
             values, count = encoder.encode([t.text(i) for i in range(t.n)])
-            rest = [c for c in batch.schema.names if c not in ("__text", ids)]
+            rest = [c for c in batch.schema.names if c not in (own, ids)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], lists(values, count, pa.int32())], [*rest, ids])
     kind = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != ids], f"`{ids}` array<int>"])
     return made.mapInArrow(run, kind)

@@ -194,7 +194,7 @@ def judge(docs: DataFrame, model, share: float = CONTENT_SHARE) -> DataFrame:
 def keep(docs: DataFrame, model, share: float = CONTENT_SHARE) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     def run(batches):
-        for batch, t in slices(batches, "__text"):
+        for batch, t in slices(batches, own):
             yield batch.select(docs_columns).filter(pa.array(_verdicts(t, model, share)["kept"]))
-    docs_columns = docs.columns
-    return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(run, docs.schema)
+    docs_columns, own = docs.columns, tables.fresh(docs, "__text")
+    return docs.withColumn(own, F.col("text").cast("string")).mapInArrow(run, docs.schema)

@@ -36,6 +36,14 @@ def training(doc_id: str, modulus: int):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus != 0
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(docs: DataFrame):
     """A binary column that is equal for rows of equal doc_id and text only."""
     own = F.concat_ws("\n", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text").cast("string"))
@@ -48,10 +56,11 @@ BROADCAST_KEYS = 200_000
 
 def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose row key is not in ``keys`` (one column, key)."""
-    keys = written(keys.select(F.col("key").alias("__key")).distinct(), "keys-out")
+    own = fresh(docs, "__key")
+    keys = written(keys.select(F.col("key").alias(own)).distinct(), "keys-out")
     if keys.count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
-    return docs.withColumn("__key", row_key(docs)).join(keys, "__key", "left_anti").select(*docs.columns)
+    return docs.withColumn(own, row_key(docs)).join(keys, own, "left_anti").select(*docs.columns)
 
 
 class Rows:

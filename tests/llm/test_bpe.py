@@ -59,3 +59,17 @@ def test_decode_of_odd_ids_and_empty_tables(spark):
     got = {r.doc_id: r.decoded for r in bpe.decode(rows, PATH).collect()}
     assert got == {1: bpe.merges(PATH).bytes_of[72].decode(), 2: "", 3: "", 4: "<|endoftext|>"}
     assert bpe.digests(frame(spark, []), PATH).count() == 0
+
+
+def test_the_lexicon_holds_at_most_the_wanted_number_and_whole_counts(spark):
+    docs = frame(spark, [(i, " ".join(f"w{k}" for k in range(9) for _ in range(k + 1 if k < 7 else 7)) + " " + "y" * 100) for i in range(5)])
+    for most in (0, 1, 2, 3, 4, 6, 100):
+        words = {r.word for r in bpe.frequent(docs, PATH, most).collect()}
+        assert len(words) <= most and not any(len(w) > bpe.LONGEST for w in words)
+    assert " w" in {r.word for r in bpe.frequent(docs, PATH, 1).collect()} and len({r.word for r in bpe.frequent(docs, PATH, 100).collect()}) >= 10
+
+
+def test_clashing_names_are_kept(spark):
+    row = spark.createDataFrame([(1, "some text", "mine", "own", 5)], "doc_id long, text string, __text string, `__TEXT_` string, n long")
+    got = bpe.encode(row, PATH, bpe.lexicon(row, PATH)).first()
+    assert (got["__text"], got["__TEXT_"], got.n) == ("mine", "own", 5) and len(got.ids) == 2

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from appraise.llm import quality, tables
 from tests.llm import helpers
@@ -66,3 +68,14 @@ def test_run_and_empty_documents(spark, tmp_path):
     assert out.count() == 0 and {"doc_id", "text", "ids", "n_tokens"} <= set(out.columns)
     assert quality.train(tables.table(spark, str(tmp_path), "documents"), tables.table(spark, str(tmp_path), "labels")) is None
     assert helpers.components(3, [(0, 2)]) == [0, 1, 0]
+
+
+def test_stages_keep_columns_with_inner_names(spark, tmp_path):
+    corpus(spark, tmp_path)
+    names = ["__text", "__key", "__drops", "key", "ids_", "kept"]
+    docs = tables.table(spark, str(tmp_path), "documents").select("*", *[F.concat(F.lit(f"{n}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES:
+        docs = tables.written(stage(spark, docs.withColumns({"ids": F.lit("x"), "n_tokens": F.lit("y")}) if name == "bpe" else docs, str(tmp_path)), f"names-{name}")
+        rows = docs.select("doc_id", *names).collect()
+        assert rows and all(r[n] == f"{n}-{'none' if r.doc_id is None else r.doc_id}" for r in rows for n in names)
+    assert dict(docs.dtypes)["ids"] == "array<int>" and dict(docs.dtypes)["n_tokens"] == "bigint"
