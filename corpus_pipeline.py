@@ -38,10 +38,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their ids and number of tokens; text is what the ids decode to."""
+    """The documents with their ids and number of tokens (columns of these two names are replaced); text is what the ids decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe.encode(docs, path, bpe.lexicon(docs, path))
-    return bpe.decode(coded, path, text="text").withColumn("n_tokens", F.size("ids").cast("long")).select(*docs.columns, "ids", "n_tokens")
+    return bpe.decode(coded, path, text="text").withColumn("n_tokens", F.size("ids").cast("long")).select(
+        *[c for c in docs.columns if c not in ("ids", "n_tokens")], "ids", "n_tokens")
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
