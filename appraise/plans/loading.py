@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from appraise.functions import rsem
 from appraise.operators import columns as C
 from appraise.operators.filters import drop_incomplete, trim_quantiles
+from appraise.operators.inference import infer
 from appraise.plans.registry import register
 from appraise.plans.sqltext import LOCATED, PARTS, PROPS, SALES, h, with_
 from appraise.session import scratch_path
@@ -185,3 +186,37 @@ SELECT * FROM props WHERE tax_total IS NOT NULL AND zoning IS NOT NULL""")
 def drop_incomplete_q(spark, sf):
     """drop rows with a missing value in the listed columns."""
     return drop_incomplete(S.properties(spark, sf), ["tax_total", "zoning"])
+
+
+TEXT_COLS = ["id_text", "big_text", "price_text", "day_text", "status", "gap_text", "late_text"]
+_TEXTS = """texts AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id_text, CAST(o_orderkey * 1000000000 AS VARCHAR) AS big_text, CAST(o_totalprice AS VARCHAR) AS price_text,
+         strftime(o_orderdate, '%Y-%m-%d') AS day_text, o_orderstatus AS status, CASE WHEN o_orderkey % 7 = 0 THEN 'NA' ELSE CAST(o_custkey AS VARCHAR) END AS gap_text,
+         CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'unknown' ELSE CAST(o_orderkey AS VARCHAR) END AS late_text
+  FROM orders)"""
+
+
+def _type_sql(c: str) -> str:
+    gone = f"({c} IS NULL OR {c} IN ('', 'NA'))"
+    whole = f"(NOT {gone} AND regexp_full_match({c}, '[+-]?[0-9]+'))"
+    held = {"int": f"{whole} AND TRY_CAST({c} AS INTEGER) IS NOT NULL", "bigint": f"{whole} AND TRY_CAST({c} AS BIGINT) IS NOT NULL",
+            "double": f"NOT {gone} AND regexp_full_match({c}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')",
+            "date": f"NOT {gone} AND regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST({c} AS DATE) IS NOT NULL"}
+    counts = ", ".join(f"count(*) FILTER (WHERE {x}) AS n_{k}" for k, x in held.items())
+    return f"SELECT '{c}' AS \"column\", count(*) AS n, count(*) FILTER (WHERE {gone}) AS n_missing, {counts} FROM texts"
+
+
+@register("infer_types", with_(_TEXTS) + """, c AS (""" + " UNION ALL ".join(_type_sql(c) for c in TEXT_COLS) + """)
+SELECT "column", CASE WHEN n = n_missing THEN 'missing' WHEN n_int = n - n_missing THEN 'int' WHEN n_bigint = n - n_missing THEN 'bigint'
+  WHEN n_double = n - n_missing THEN 'double' WHEN n_date = n - n_missing THEN 'date' ELSE 'text' END AS type, n, n_missing, n_int, n_bigint, n_double, n_date FROM c""")
+def infer_types(spark, sf):
+    """The type of every column of a text table from all its cells, among them one bad cell in the last row."""
+    o = S.table(spark, sf, "orders")
+    last = o.agg(F.max("o_orderkey")).first()[0]
+    key = F.col("o_orderkey")
+    texts = o.select(
+        key.cast("string").alias("id_text"), (key * 1000000000).cast("string").alias("big_text"), F.col("o_totalprice").cast("string").alias("price_text"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day_text"), F.col("o_orderstatus").alias("status"),
+        F.when(key % 7 == 0, "NA").otherwise(F.col("o_custkey").cast("string")).alias("gap_text"),
+        F.when(key == last, "unknown").otherwise(key.cast("string")).alias("late_text"))
+    return infer(texts, TEXT_COLS, ["NA"])

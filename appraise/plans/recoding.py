@@ -10,6 +10,7 @@ from appraise.operators import encode as E
 from appraise.operators import foldstats as L
 from appraise.operators import impute as I
 from appraise.operators import scale as Z
+from appraise.operators.dictionary import level_dictionary
 from appraise.operators.sampling import stratified_folds
 from appraise.plans.registry import register
 from appraise.plans.sqltext import PARTS, PROPS, SALES, h, strata_cte, with_
@@ -167,3 +168,10 @@ def fold_mean_fill(spark, sf):
     p = S.properties(spark, sf).select("id_parcel", F.col("build_year").cast("double").alias("y"), "tax_total")
     filled = L.excluded_fill(stratified_folds(p, "y", "id_parcel", 3), ["tax_total"])
     return filled.select("id_parcel", "fold", F.round("tax_total", 6).alias("tax_total"))
+
+
+@register("level_dictionary", with_(SALES) + """, l AS (SELECT DISTINCT sale_key AS level FROM sales)
+SELECT level, row_number() OVER (ORDER BY level) AS code FROM l""")
+def level_dictionary_q(spark, sf):
+    """Codes of a column with as many levels as rows, ranked over range partitions."""
+    return level_dictionary(S.sales(spark, sf).select("sale_key"), "sale_key")
