@@ -33,6 +33,7 @@ from appraise.operators.stages import BoxCox
 from appraise.plans.cleaning import FEATURES, clean_properties, model_frame
 from appraise.plans.registry import register
 from appraise.plans.sqltext import SALES, with_
+from appraise.sources import io
 from appraise.sources import standins as S
 
 LABEL = "logerror"
@@ -397,25 +398,96 @@ def lasso_coefficients(spark, sf):
                                  "feature string, coefficient double, lambda double")
 
 
+def families() -> dict:
+    """The searched model families: (estimator, pipeline settings)."""
+    return {"linear": (LinearRegression(labelCol=LABEL, featuresCol="features", regParam=1e-4, elasticNetParam=1.0), {"scale": True, "boxcox": ["tax_total"]}),
+            "forest": (forest(QUICK["trees"], QUICK["depth"], 3), {}),
+            "boosting": (GBTRegressor(labelCol=LABEL, featuresCol="features", maxIter=20, maxDepth=3, stepSize=0.1, seed=SEED), {})}
+
+
+class Weighted:
+    """Fitted models whose weighted sum is the prediction."""
+
+    def __init__(self, models: dict, weights: dict):
+        self.models, self.weights = models, weights
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        names, total = list(df.columns), F.lit(0.0)
+        for name, model in self.models.items():
+            df = model.transform(df).select(*names, F.col("prediction").alias(f"_{name}"))
+            names.append(f"_{name}")
+            total = total + F.lit(float(self.weights[name])) * F.col(f"_{name}")
+        return df.withColumn("prediction", total).drop(*[f"_{name}" for name in self.models])
+
+
+def out_of_fold(frame: DataFrame, models: dict, folds: int = 3) -> DataFrame:
+    """sale_key, the label, fold and a prediction of every model for every row once, by the models that have not seen its fold; written."""
+    parts, names = [], list(models)
+    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
+        tasks = [(f, name) for f in range(folds) for name in names]
+        fitted = dict(zip(tasks, pool.map(lambda t: pipeline(models[t[1]][0].copy(), **models[t[1]][1]).fit(frame.where(F.col("fold") != t[0])), tasks)))
+    for f in range(folds):
+        held = frame.where(F.col("fold") == f)
+        keep = list(held.columns)
+        for name in names:
+            held = fitted[f, name].transform(held).select(*keep, F.col("prediction").alias(name))
+            keep.append(name)
+        parts.append(held.select("sale_key", LABEL, "fold", *names))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return io.checkpoint_table(out, "out-of-fold")
+
+
+def stack_weights(oof: DataFrame, names: Sequence[str]) -> dict:
+    """Non-negative least squares of the label on the models' out-of-fold predictions: one aggregate of the few products, then
+    the best of the supports (at most 2^models, each a small linear system)."""
+    pairs = [(a, b) for i, a in enumerate(names) for b in [*names[i:], LABEL]]
+    r = oof.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}*{b}") for a, b in pairs]).first()
+    gram = np.array([[r[f"{min((a, b), key=names.index)}*{max((a, b), key=names.index)}"] for b in names] for a in names])
+    cross = np.array([r[f"{a}*{LABEL}"] for a in names])
+    best, weights = 0.0, np.zeros(len(names))  # with no model: the sum of squares itself, as the zero of the comparison
+    for support in range(1, 1 << len(names)):
+        at = [i for i in range(len(names)) if support >> i & 1]
+        w = np.linalg.lstsq(gram[np.ix_(at, at)], cross[at], rcond=None)[0]
+        gain = -(2 * w @ cross[at] - w @ gram[np.ix_(at, at)] @ w)
+        if (w >= 0).all() and gain < best:
+            best, weights = gain, np.zeros(len(names))
+            weights[at] = w
+    return dict(zip(names, map(float, weights)))
+
+
+def search(frame: DataFrame, models: dict | None = None, folds: int = 3):
+    """Rows (model, MAE mean, sd over folds) of the families and of their stack, best first, and the stack's weights, all from one
+    table of out-of-fold predictions. (The stack's weights are fitted on the rows that rank it.)"""
+    models = models or families()
+    names = list(models)
+    oof = out_of_fold(frame, models, folds)
+    weights = stack_weights(oof, names)
+    oof = oof.withColumn("stack", sum((F.lit(w) * F.col(c) for c, w in weights.items()), F.lit(0.0)))
+    errors = oof.groupBy("fold").agg(*[F.avg(F.abs(F.col(LABEL) - F.col(c))).alias(c) for c in [*names, "stack"]]).collect()
+    rows = [(c, float(np.mean([e[c] for e in errors])), float(np.std([e[c] for e in errors], ddof=1))) for c in [*names, "stack"]]
+    return sorted(rows, key=lambda r: r[1]), weights
+
+
 @register("leaderboard")
 def leaderboard(spark, sf):
-    """Linear, forest and boosting pipelines on the same folds, ranked by CV MAE;
+    """Linear, forest and boosting pipelines and their stack on the same folds, ranked by CV MAE of the out-of-fold predictions;
     the leader is the first row."""
-    frame = model_frame(spark, sf)
-    families = {
-        "linear": LinearRegression(labelCol=LABEL, featuresCol="features", regParam=1e-4, elasticNetParam=1.0),
-        "forest": forest(QUICK["trees"], QUICK["depth"], 3),
-        "boosting": GBTRegressor(labelCol=LABEL, featuresCol="features", maxIter=20, maxDepth=3, stepSize=0.1, seed=SEED),
-    }
-    rows = []
-    for name, est in families.items():
-        linear = name == "linear"
-        cvm = cross_validate(frame, est, [{}], scale=linear, boxcox=["tax_total"] if linear else ())
-        rows.append((name, float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0])))
-    rows.sort(key=lambda r: r[1])
+    rows, _weights = search(model_frame(spark, sf))
     return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)], "rank int, model string, mae_mean double, mae_sd double")
 
 
+@register("leader_scores")
+def leader_scores(spark, sf):
+    """The leader of the search, refitted on all rows, scores every property for the submission months."""
+    frame, models = model_frame(spark, sf), families()
+    rows, weights = search(frame, models)
+    used = {n: w for n, w in weights.items() if w > 0} if rows[0][0] == "stack" else {rows[0][0]: 1.0}
+    leader = Weighted({n: pipeline(models[n][0], **models[n][1]).fit(frame) for n in used}, used)
+    return score_months(leader, clean_properties(spark, sf, fill=False), "id_parcel", SUBMISSION_MONTHS, "month", "prediction", 4)
+
+
 def final_forest(frame: DataFrame, mtry: int, num_trees: int = FINAL_TREES, max_depth: int = MAX_DEPTH):
     """M4: the forest refit on all training rows with the CV's winner."""
     return pipeline(forest(num_trees, max_depth, mtry)).fit(frame)

@@ -135,3 +135,26 @@ def test_boxcox_stage_fits_on_training_rows_and_persists(spark, tmp_path):
     inside = Pipeline(stages=[BoxCox(inputCol="price", outputCol="z"),
                               VectorAssembler(inputCols=["z"], outputCol="features")]).fit(s)
     assert inside.transform(s).count() == s.count()
+
+
+def test_out_of_fold_rows_stack_and_leader(spark):
+    frame = sales_like(spark, 600)
+    models = {"linear": M.families()["linear"], "forest": (M.forest(8, 5, 3), {})}
+    oof = M.out_of_fold(frame, models)
+    assert oof.count() == 600 == oof.select("sale_key").distinct().count()
+    own = M.pipeline(M.forest(8, 5, 3)).fit(frame.where("fold <> 1")).transform(frame.where("fold = 1"))
+    pairs = own.select("sale_key", "prediction").join(oof.select("sale_key", "forest"), "sale_key").collect()
+    assert len(pairs) == 200 and all(r.prediction == r.forest for r in pairs)
+    weights = M.stack_weights(oof, ["linear", "forest"])
+    rows = oof.collect()
+    x, y = np.array([[r.linear, r.forest] for r in rows]), np.array([r.logerror for r in rows])
+    best = ((y - x @ np.array(list(weights.values()))) ** 2).sum()
+    grid = np.linspace(0, 1.5, 31)
+    assert all(w >= 0 for w in weights.values()) and best <= min(((y - a * x[:, 0] - b * x[:, 1]) ** 2).sum() for a in grid for b in grid) + 1e-9
+    ranked, _ = M.search(frame, models)
+    assert [r[0] for r in ranked][0] in ("stack", "forest", "linear") and ranked == sorted(ranked, key=lambda r: r[1]) and len(ranked) == 3
+    both = M.Weighted({n: M.pipeline(e, **k).fit(frame) for n, (e, k) in models.items()}, {"linear": 0.5, "forest": 2.0})
+    got = both.transform(frame.where("fold = 0"))
+    one = M.pipeline(models["forest"][0]).fit(frame).transform(frame.where("fold = 0")).orderBy("sale_key").first().prediction
+    two = M.pipeline(models["linear"][0], **models["linear"][1]).fit(frame).transform(frame.where("fold = 0")).orderBy("sale_key").first().prediction
+    assert got.columns == [*frame.columns, "prediction"] and np.isclose(got.orderBy("sale_key").first().prediction, 0.5 * two + 2 * one)
