@@ -8,7 +8,8 @@ landmarks. Solving (K_nm' K_nm + ridge K_mm) a = K_nm' Y gives a coefficient for
 texts is scored by matrix products of its n-gram presence with the landmarks' and of that with a.
 
 Defined results: a null or letterless text is ``und`` with score 0, as is everything if nothing can be learned;
-equal rows are each judged; a null id is held out; rows with null text or language are not learned from.
+equal rows are each judged and learned from once; further columns are ignored; a very long text is one row of
+one task, its n-grams at some 30 bytes for each of its own; a null id is held out; rows with null text or language are not learned from.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ class Model:
 
     def __init__(self, languages: list[str], sets: list[np.ndarray], owner: np.ndarray, landmark: np.ndarray):
         self.languages = languages
-        self.codes = np.unique(np.concatenate([s for s, l in zip(sets, landmark, strict=True) if l]))[:65534]
+        self.codes = np.unique(np.concatenate([s for s, l in zip(sets, landmark, strict=True) if l]))
         x = np.zeros((len(sets), len(self.codes)), np.float32)
         for row, s in zip(x, sets, strict=True):
             at = np.searchsorted(self.codes, s)
@@ -72,7 +73,7 @@ class Model:
         """Column of each code (0: none) for the three gram lengths."""
         out = []
         for lo, hi in ((1 << 24, (1 << 24) + 256), (1 << 25, (1 << 25) + 65536), (0, 1 << 24)):
-            column = np.zeros(hi - lo, np.uint16)
+            column = np.zeros(hi - lo, np.uint32)
             here = np.flatnonzero((self.codes >= lo) & (self.codes < hi))
             column[self.codes[here] - lo] = here + 1
             out.append(column)
@@ -104,15 +105,17 @@ def train(docs: DataFrame, each: int = TRAIN_EACH, landmarks: int = LANDMARKS) -
     languages = sorted(many)
     share = F.coalesce(F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, 4 * each / many[k]))])[F.col("lang")], F.lit(0.0))
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    near = rows.select("doc_id", "lang").where(u < share).distinct()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = near.select("doc_id", "lang", rank.alias("rank")).where(F.col("rank") <= each)
+    # one of the equal rows: however many rows repeat an id, a language gives at most ``each``
+    near = rows.withColumn("key", F.xxhash64("text")).select("doc_id", "lang", "key").where(u < share).distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "key"))
+    ids = near.select("doc_id", "lang", "key", rank.alias("rank")).where(F.col("rank") <= each)
 
     def run(batches):
         for batch, t in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3),
                                               pa.array([s.tobytes() for s in _distinct(t)], pa.binary())], ["doc_id", "lang", "rank", "codes"])
-    picked = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "text", "lang", "rank")
+    found = rows.withColumn("key", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "lang", "key"])
+    picked = found.groupBy("rank", "lang").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")).select("doc_id", "text", "lang", "rank")
     got = sorted(picked.mapInArrow(run, "doc_id long, lang string, rank int, codes binary").collect(), key=lambda r: (r.rank, r.lang, r.codes))
     sets = [np.frombuffer(r.codes, np.int32) for r in got]
     owner = np.array([languages.index(r.lang) for r in got])
