@@ -12,7 +12,7 @@ from appraise.operators import impute as I
 from appraise.operators.filters import trim_quantiles
 from appraise.operators.sampling import stratified_folds
 from appraise.plans.registry import register
-from appraise.plans.sqltext import PROPS, SALES, with_
+from appraise.plans.sqltext import OFF_LIST, PROPS, SALES, with_
 from appraise.sources import io
 from appraise.sources import schema as SCH
 from appraise.sources import standins as S
@@ -107,12 +107,12 @@ def _with_folds(base: DataFrame, folds: int) -> DataFrame:
     return base.withColumn("fold", (F.col("fold_rank") % F.lit(folds)).cast("int")).drop("fold_rank")
 
 
-@register("feature_table", with_(PROPS, SALES) + """,
-b AS (SELECT quantile_cont(logerror, 0.005) AS lo, quantile_cont(logerror, 0.995) AS hi FROM sales),
+@register("feature_table", with_(PROPS, SALES, OFF_LIST) + """,
+b AS (SELECT quantile_cont(logerror, 0.005) AS lo, quantile_cont(logerror, 0.995) AS hi FROM off_list),
 t AS (SELECT s.id_parcel, s.sale_key, s.logerror, CAST(month(s.transactiondate) AS INTEGER) AS month
-      FROM sales s, b WHERE s.logerror BETWEEN b.lo AND b.hi),
+      FROM off_list s, b WHERE s.logerror BETWEEN b.lo AND b.hi),
 p AS (SELECT id_parcel, region_zip, coalesce(tax_total, -999) AS tax_total, coalesce(zoning, '-1') AS zoning, build_year
-      FROM props WHERE status IN ('F', 'O')),
+      FROM props),
 lv AS (SELECT zoning, dense_rank() OVER (ORDER BY zoning) AS dr FROM (SELECT DISTINCT zoning FROM p)),
 pc AS (SELECT p.id_parcel, p.region_zip, p.tax_total, p.build_year,
               CAST(CASE WHEN lv.dr = 1 THEN -999 ELSE lv.dr - 1 END AS INTEGER) AS zoning_code
@@ -122,11 +122,10 @@ FROM pc RIGHT JOIN t ON pc.id_parcel = t.id_parcel""")
 def feature_table(spark, sf):
     """The feature-table job end to end: trim and date parts on the sales; sentinel -1 on the
     category, -999 on every other gap, status dropped, level codes; right outer merge that
-    keeps every sale (parcels without a finished/open property row get NULL sides)."""
-    s = trim_quantiles(S.sales(spark, sf).select("id_parcel", "sale_key", "logerror", "transactiondate"), "logerror")
+    keeps every sale (those of parcels that the property table does not list get NULL sides)."""
+    s = trim_quantiles(S.sales_off_list(spark, sf).select("id_parcel", "sale_key", "logerror", "transactiondate"), "logerror")
     s = C.with_date_parts(s, "transactiondate").drop("year")
-    p = S.properties(spark, sf).where(F.col("status").isin("F", "O"))
-    p = sentinel_round(p, minus_one=["zoning"], drop=["status"])
+    p = sentinel_round(S.properties(spark, sf), minus_one=["zoning"], drop=["status"])
     p = E.level_codes(p, "zoning", "zoning_code", first_code=-999).drop("zoning")
     out = p.join(s, "id_parcel", "right")
     return out.select("id_parcel", "sale_key", "logerror", "month", "region_zip", "tax_total", "build_year", "zoning_code")

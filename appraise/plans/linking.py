@@ -13,7 +13,7 @@ from appraise.operators.filters import trim_quantiles
 from appraise.operators.profile import group_count_desc
 from appraise.operators.score import SUBMISSION_MONTHS
 from appraise.plans.registry import register
-from appraise.plans.sqltext import PROPS, SALES, with_
+from appraise.plans.sqltext import OFF_LIST, PROPS, SALES, with_
 from appraise.sources import standins as S
 
 
@@ -27,13 +27,13 @@ def join_inner(spark, sf):
     return J.skew_join(s, p, "id_parcel", "inner", hot_share=0.01)
 
 
-@register("join_right_outer", with_(PROPS, SALES) + """
+@register("join_right_outer", with_(PROPS, SALES, OFF_LIST) + """
 SELECT s.id_parcel, p.tax_total, p.status, s.sale_key, s.logerror
-FROM (SELECT * FROM props WHERE status IN ('F', 'O')) p RIGHT JOIN sales s ON p.id_parcel = s.id_parcel""")
+FROM props p RIGHT JOIN off_list s ON p.id_parcel = s.id_parcel""")
 def join_right_outer(spark, sf):
-    """Every sale kept; sales of parcels without a (finished/open) property row get NULL sides."""
-    p = S.properties(spark, sf).where(F.col("status").isin("F", "O")).select("id_parcel", "tax_total", "status")
-    s = S.sales(spark, sf).select("id_parcel", "sale_key", "logerror")
+    """Every sale kept; sales of parcels that the property table does not list get NULL sides."""
+    p = S.properties(spark, sf).select("id_parcel", "tax_total", "status")
+    s = S.sales_off_list(spark, sf).select("id_parcel", "sale_key", "logerror")
     return J.join_facts(s, p, "id_parcel", "right").select("id_parcel", "tax_total", "status", "sale_key", "logerror")
 
 

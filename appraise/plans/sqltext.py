@@ -28,6 +28,9 @@ SALES = """sales AS (
          l_returnflag AS flag, l_linestatus AS linestatus, l_linenumber AS linenumber
   FROM lineitem)"""
 
+OFF_LIST = """off_list AS (
+  SELECT * REPLACE (CASE WHEN linenumber = 7 THEN -id_parcel ELSE id_parcel END AS id_parcel) FROM sales)"""
+
 PARTS = """parts AS (
   SELECT p_partkey, p_size, p_brand, p_retailprice,
          CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE p_size END AS size_gap,

@@ -62,6 +62,12 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sales_off_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sales``, those of line number 7 under a parcel id (the negative one) that the property table does not list."""
+    own = F.when(F.col("linenumber") == 7, -F.col("id_parcel")).otherwise(F.col("id_parcel"))
+    return sales(spark, sf_dir).withColumn("id_parcel", own)
+
+
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """p_partkey, p_size, size_gap (gaps), size_text ('other' where unparsable), p_brand."""
     p = table(spark, sf_dir, "part")
