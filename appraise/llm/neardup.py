@@ -3,10 +3,11 @@
 1. One scan gives each document its set of 5-word shingles as 64-bit hashes, their number, a 128-bit key of
    the set, and a signature of 128 MinHashes. Documents with equal sets form one class.
 2. The forest holds each class in 32 sorted orders; order t reads the signature as a ring from MinHash 4t. Neighbours
-   in an order that share at least the first 4 MinHashes are candidates; more of the order than that is
-   read where a region is dense, since there the longer common prefixes stand next to each other. A
-   pair of similarity 0.75 shares those 4 in some order with probability 1 - 5e-6.
-3. Candidates whose signatures agree enough join up to clusters. A cluster's full shingle sets come together and all
+   in an order that share at least the first 4 MinHashes are candidates. A pair of similarity 0.75 shares those 4 in some
+   order with probability 1 - 5e-6. Where a region of equal 4 MinHashes holds more classes than the neighbours read
+   (many documents share a passage), deeper MinHashes would divide the pair nearly as fast as the region, so the depth goes on in the
+   shingles themselves: such regions' classes are ordered by their rarest shingles, and any two that can be linked get connected exactly.
+3. Neighbours whose signatures agree enough, and the pairs from dense regions, join up to clusters. A cluster's full shingle sets come together and all
    its pairs are compared (skipping pairs already joined), so a link between two members needs no order of
    its own. A cluster of more than ``BLOCK`` classes is cut to blocks, with some classes in all of them; if
    it then still falls into parts, the largest part and the classes outside of it are cut to blocks each, and every pair
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from appraise.llm import tables
@@ -40,6 +41,8 @@ CLUSTER_AGREE, PAIR_AGREE = 72, 74
 BLOCK, BLOCK_SHINGLES, ANCHORS = 256, 2_000_000, 16
 #: Bits of the filter that picks the documents whose sets are fetched: 8 for each class, this many at most (32 MB).
 MAX_BITS = 1 << 28
+#: Shingles that one batch of a class's set has.
+ROWS = 1 << 16
 
 _rng = np.random.default_rng(75)
 _A = _rng.integers(0, 1 << 31, MINHASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -100,19 +103,36 @@ def _sketch(batches):
 
 
 def _neighbours(batches):
-    """Of rows (t, key, cid) in sorted order: pairs of near neighbours whose t and first PREFIX MinHashes agree."""
-    t, head, cid = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    """Of rows (t, key, cid) in sorted order: pairs of near neighbours whose t and first PREFIX MinHashes agree, and as a pair
+    (cid, cid) each row that agrees so with a row further on than its neighbours, or may do so with one of another task."""
+    def pairs(x, y):
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    far = NEIGHBOURS + 1
+    t, head, cid, first = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.int64), None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64)[::(PREFIX + DEEPER) // 4]
         t = np.concatenate([t, batch.column(0).to_numpy()])
         head, cid = np.concatenate([head, keys]), np.concatenate([cid, batch.column(2).to_numpy()])
         fresh = len(t) - batch.num_rows
-        for o in range(1, NEIGHBOURS + 1):
+        first = first or (t[0], head[0])
+        if (t[fresh], head[fresh]) == first:
+            opening = cid[fresh:][(t[fresh:] == first[0]) & (head[fresh:] == first[1])]
+            yield pairs(opening, opening)
+        for o in range(1, far + 1):
             b = np.arange(max(o, fresh), len(t))
             b = b[(t[b] == t[b - o]) & (head[b] == head[b - o])]
-            x, y = cid[b - o], cid[b]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-        t, head, cid = t[-NEIGHBOURS:], head[-NEIGHBOURS:], cid[-NEIGHBOURS:]
+            if o < far:
+                yield pairs(cid[b - o], cid[b])
+            else:
+                ends = np.unique(np.concatenate([cid[b - o], cid[b]]))
+                yield pairs(ends, ends)
+        t, head, cid = t[-far:], head[-far:], cid[-far:]
+    if len(t):
+        closing = cid[(t == t[-1]) & (head == head[-1])]
+        yield pairs(closing, closing)
 
 
 def _agreeing(batches):
@@ -123,19 +143,66 @@ def _agreeing(batches):
             yield batch.select([0, 1]).filter(keep)
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that stand next to each other in an order and whose signatures agree."""
+def neighbours(classes: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of classes that stand next to each other in an order, and (cid, cid) of those in a dense region."""
     width = 2 * (PREFIX + DEEPER)
     ring = F.concat("sig", F.substring("sig", 1, width))
     rows = (classes.select("cid", ring.alias("ring"), F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("t"))
             .select("t", F.expr(f"substring(ring, {2 * PREFIX} * t + 1, {width})").alias("key"), "cid"))
     near = rows.repartitionByRange("t", "key", "cid").sortWithinPartitions("t", "key", "cid").mapInArrow(_neighbours, "a long, b long")
+    return tables.written(near.distinct(), "neighbours")
+
+
+def agreeing(near: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different classes whose signatures agree."""
     sig = classes.select("cid", "sig")
-    pairs = (near.distinct().join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
+    pairs = (near.where("a <> b").join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
              .select("a", "b", "sig_a", "sig_b"))
     return pairs.mapInArrow(_agreeing, "a long, b long")
 
 
+def _shingles(batches):
+    """Of rows (cid, n, set): a row (cid, n, x) for every shingle of the set."""
+    for batch in batches:
+        for cid, n, one in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            x = np.frombuffer(one, np.int64)
+            for at in range(0, len(x), ROWS):
+                part = x[at:at + ROWS]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), cid, np.int64)), pa.array(np.full(len(part), n, np.int64)), pa.array(part)],
+                                                 ["cid", "n", "x"])
+
+
+def dense_pairs(held: DataFrame) -> DataFrame:
+    """Pairs (a, b) that join the classes (cid, n, set) so that any two of similarity 0.75 or more are connected.
+
+    Classes' shingles are ordered by the number of classes that have them. Two linked classes of n and m shingles share at
+    least 3/7 of n + m, and so one of the first shingles of both; what a class has from the first shared one on bounds the size of
+    its partners (``reach``). A shingle's classes of like sizes are hung on the smallest of them that reaches its own size: of two that do not, each
+    would have to be smaller than the other."""
+    rows = held.select("cid", "n", "set").mapInArrow(_shingles, "cid long, n long, x long")
+    many = rows.groupBy("x").agg(F.count("*").alias("f")).where("f > 1")
+    by = Window.partitionBy("cid")
+    ranked = (rows.join(many, "x").withColumn("m", F.count("*").over(by)).where(SHARE[1] * F.col("m") >= SHARE[0] * F.col("n"))
+              .withColumn("rank", F.row_number().over(by.orderBy("f", "x"))))
+    least = F.ceil(F.col("n") * SHARE[0] / SHARE[1])  # shingles shared with any partner
+    first = ranked.where(F.col("rank") <= F.col("m") - least + 1).select(
+        "cid", "n", "x", F.floor((7 * (F.col("m") - F.col("rank") + 1) - 3 * F.col("n")) / 3).alias("reach"),
+        F.floor(F.log("n") / float(np.log(1 / 0.74))).alias("size"))  # sizes of ratio 0.75 are at most one bin apart
+    first = tables.written(first.withColumn("bin", F.explode(F.array(F.col("size"), F.col("size") + 1))), "dense-shingles")
+    centre = first.where("reach >= n").groupBy("x", "bin").agg(F.min(F.struct("n", "cid")).alias("c"))
+    return (first.join(centre, ["x", "bin"]).where("cid <> c.cid and c.n <= reach")
+            .select(F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b")).distinct())
+
+
+def candidates(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes to be joined to clusters: agreeing neighbours, and what the dense regions' sets need."""
+    near = neighbours(classes)
+    dense = classes.join(near.where("a = b").select(F.col("a").alias("cid")), "cid").select("cid", "n", "s1", "s2")
+    dense = tables.written(dense, "dense")
+    held = dense.join(_sets(docs, dense).groupBy("s1", "s2").agg(F.first("set").alias("set")), ["s1", "s2"])
+    return agreeing(near, classes).union(dense_pairs(tables.written(held.select("cid", "n", "set"), "dense-sets")))
+
+
 def _links(rows) -> tuple[list, list]:
     """Confirmed links between different parts among one block's rows (cid, part, side, sig, set): a spanning forest.
     Rows are compared whose sides, as bits, make 3 together."""
@@ -249,7 +316,7 @@ def groups(docs: DataFrame, with_key: bool = False) -> DataFrame:
     sketch = tables.written(rows.mapInArrow(_sketch, f"doc_id long{', key binary' if with_key else ''}, n long, s1 long, s2 long, sig binary"), "sketch")
     classes = tables.written(sketch.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig"))
                              .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    cluster = components(candidates(classes), "clusters")
+    cluster = components(candidates(docs, classes), "clusters")
     cluster = cluster.union(cluster.select("root", "root").distinct()).toDF("cid", "cluster")
     sized = cluster.join(classes, "cid")
     sizes = sized.groupBy("cluster").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))

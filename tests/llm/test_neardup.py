@@ -50,6 +50,49 @@ def test_dense_group_in_blocks(spark, monkeypatch):
     check(spark, docs)
 
 
+def test_pairs_that_are_alike_by_a_crowded_passage(spark):
+    """Documents of one passage and as much text of their own, and pairs that are alike by that passage alone, at exactly 0.75."""
+    passage = text_of(304, 12, 10 ** 6)
+
+    def page(own, seed):
+        return passage + " " + text_of(own, seed, 10 ** 8)
+    docs = [(i, page(300, 10_000 + i)) for i in range(3000)]
+    pairs = [(5000 + k, page(50, 20_000 + k)) for k in range(24)]
+    for k in range(0, 24, 2):
+        one, two = shingles(pairs[k][1]), shingles(pairs[k + 1][1])
+        assert 100 * len(one & two) == 75 * len(one | two)
+    got = {r.doc_id: r.component_id for r in neardup.groups(frame(spark, docs + pairs)).collect()}
+    assert {got[i] for i, _ in pairs} == {5000} and all(got[i] == i for i, _ in docs)
+
+
+def test_dense_pairs_connect_all_links(spark):
+    rng, sets = np.random.default_rng(9), []
+    for k in range(160):  # overlapping pieces of a few shared runs, and some shingles of their own
+        run, size = k % 4, int(rng.integers(20, 60))
+        start = int(rng.integers(0, 20))
+        sets.append(np.unique(np.concatenate([1000 * run + np.arange(start, start + size), rng.integers(10 ** 6, 10 ** 9, int(rng.integers(0, 12)))])))
+    sets += [sets[0][:-1], sets[1][1:], np.array([5]), np.array([5, 6, 7, 8]), np.array([5, 6, 7])]
+    rows = [(i, len(x), bytearray(x.astype(np.int64).tobytes())) for i, x in enumerate(sets)]
+    got = neardup.dense_pairs(spark.createDataFrame(rows, "cid long, n long, set binary")).collect()
+    comp = helpers.components(len(sets), [(r.a, r.b) for r in got])
+    links = [(i, j) for i in range(len(sets)) for j in range(i)
+             if 100 * (both := len(np.intersect1d(sets[i], sets[j]))) >= 75 * (len(sets[i]) + len(sets[j]) - both)]
+    assert len(links) > 20 and all(comp[i] == comp[j] for i, j in links)
+
+
+def test_rows_of_a_dense_region_are_told_whatever_the_batches():
+    import pyarrow as pa
+    rows = [(t, bytes([h] * 8) + bytes([i] * 8), 100 * t + 10 * h + i) for t, h, k in ((0, 1, 9), (0, 2, 3), (1, 2, 5), (1, 3, 2), (2, 1, 8), (2, 2, 3)) for i in range(k)]
+    for size in (1, 2, 7, 100):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.binary()), pa.array([r[2] for r in part])],
+                                              ["t", "key", "cid"]) for at in range(0, len(rows), size) for part in [rows[at:at + size]]]
+        got = {(a, b) for out in neardup._neighbours(iter(batches)) for a, b in zip(*out.to_pydict().values(), strict=True)}
+        near = {(x[2], y[2]) for i, x in enumerate(rows) for y in rows[i + 1:i + 4] if x[0] == y[0] and x[1][:8] == y[1][:8]}
+        assert {p for p in got if p[0] != p[1]} == near
+        dense = {p[0] for p in got if p[0] == p[1]}
+        assert dense == {10 + i for i in range(9)} | {120, 124} | {210 + i for i in range(8)} | {220, 221, 222}
+
+
 def test_groups_of_a_cluster_without_links_are_bounded(spark, monkeypatch):
     """Pages of one template, 0.6 alike, form one cluster of single classes: no task may get all of them as one group."""
     monkeypatch.setattr(neardup, "BLOCK", 10)
