@@ -33,6 +33,8 @@ from appraise.session import scratch_path
 
 #: Tokens of a block, and of a stretch of blocks in the prefix scan.
 BLOCK, STRETCH = 1 << 16, 1 << 28
+#: Bytes of files that a task reads. The rows of blocks are small, so their tasks are numbered by what they read.
+TASK_BYTES = 1 << 26
 WIDTHS = {2: "<u2", 4: "<u4"}
 
 
@@ -51,14 +53,13 @@ def read_files(spark: SparkSession, paths, width: int = 2, block: int = BLOCK) -
 
 
 def ranges(files: DataFrame, width: int = 2, block: int = BLOCK) -> DataFrame:
-    """file, path, pos, n of the blocks of files (file, path, length in bytes), spread over the tasks."""
+    """file, path, pos, n of the blocks of files (file, path, length in bytes)."""
     step = block * width
     cuts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(step).cast("long"))
     # a last partial id stays in its block, which fails on it
     return (files.select("file", "path", "length", F.explode(cuts).alias("at"))
             .select("file", "path", (F.col("at") / width).cast("long").alias("pos"),
-                    F.ceil(F.least(F.lit(step), F.col("length") - F.col("at")) / width).alias("n"))
-            .repartition("file", "pos"))
+                    F.ceil(F.least(F.lit(step), F.col("length") - F.col("at")) / width).alias("n")))
 
 
 class _Reader:
@@ -88,6 +89,11 @@ def scan(blocks: DataFrame, end: int, width: int = 2) -> DataFrame:
     file = blocks.schema["file"].dataType.simpleString()
     source = ["path", "n"] if "path" in blocks.columns else ["content"]
     blocks = blocks.select("file", F.col("pos").cast("long").alias("pos"), *source)
+    tasks = -(-(blocks.agg(F.sum("n")).first()[0] or 0) * width // TASK_BYTES) if "path" in source else 0
+
+    def spread(rows):
+        """Rows of blocks to be read from files, so many to a task, in the files' order."""
+        return rows.repartitionByRange(max(tasks, 1), "file", "pos").sortWithinPartitions("file", "pos") if "path" in source else rows
 
     def summaries(batches):
         reader = _Reader(width)
@@ -117,7 +123,7 @@ def scan(blocks: DataFrame, end: int, width: int = 2) -> DataFrame:
                                                  ["file", "ordinal", "start", "n_tokens"])
         reader.close()
 
-    found = tables.written(blocks.mapInArrow(summaries, f"file {file}, pos long, closed long, open_from long")
+    found = tables.written(spread(blocks).mapInArrow(summaries, f"file {file}, pos long, closed long, open_from long")
                            .withColumn("stretch", F.floor(F.col("pos") / STRETCH)), "token-blocks")
 
     def before(*by, order):
@@ -133,7 +139,7 @@ def scan(blocks: DataFrame, end: int, width: int = 2) -> DataFrame:
               .join(stretches, ["file", "stretch"])
               .select("file", "pos", (F.col("closed_before") + F.col("closed_here")).alias("first"), F.greatest("open_before", "open_here").alias("begin"),
                       F.col("pos").eqNullSafe(F.col("last_pos")).alias("last")))
-    return blocks.join(placed, ["file", "pos"]).mapInArrow(documents, f"file {file}, ordinal long, start long, n_tokens long")
+    return spread(blocks.join(placed, ["file", "pos"])).mapInArrow(documents, f"file {file}, ordinal long, start long, n_tokens long")
 
 
 def write_files(docs: DataFrame, ranks: str, pattern: str, end: int) -> tuple[DataFrame, DataFrame]:

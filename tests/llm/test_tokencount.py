@@ -46,13 +46,16 @@ def test_flat_files_on_disk(spark, tmp_path):
 def test_stretches_of_the_prefix_scan(spark, tmp_path, monkeypatch, stretch):
     """Files of many blocks over many stretches, among them one whose documents span several of both."""
     monkeypatch.setattr(tokencount, "STRETCH", stretch)
+    monkeypatch.setattr(tokencount, "TASK_BYTES", 1000)
     rng = np.random.default_rng(stretch)
     files = {"mixed": rng.integers(0, 12, 900).tolist(), "long": [1] * 500 + [9] + [2] * 450, "ends": [9] * 90, "last": [3] * 70 + [9]}
     for name, ids in files.items():
         (tmp_path / f"{name}.bin").write_bytes(np.array(ids, "<u4").tobytes())
     blocks = tokencount.read_files(spark, str(tmp_path), width=4, block=7)
     assert blocks.count() == sum(-(-len(ids) // 7) for ids in files.values())
-    got = sorted((r.file.rsplit("/", 1)[1][:-4], r.ordinal, r.start, r.n_tokens) for r in tokencount.scan(blocks, 9, 4).collect())
+    found = tokencount.scan(blocks, 9, 4)
+    assert found.rdd.getNumPartitions() == -(-4 * sum(map(len, files.values())) // 1000)
+    got = sorted((r.file.rsplit("/", 1)[1][:-4], r.ordinal, r.start, r.n_tokens) for r in found.collect())
     assert got == sorted((f, k, *d) for f, ids in files.items() for k, d in enumerate(brute(ids, 9)))
 
 
