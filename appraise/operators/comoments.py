@@ -1,9 +1,11 @@
-"""All pairs of many columns at once: co-moment matrix, and patterns of missing cells."""
+"""All pairs of many columns at once: co-moment matrix, moments of groups that merge and refill, and patterns of missing cells."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -61,6 +63,77 @@ def comoments(df: DataFrame, cols: Sequence[str]) -> dict[str, np.ndarray]:
     return {"n": n.astype(np.int64), "mean": mean, "m2": m2, "c": c}
 
 
+@dataclass
+class Moments:
+    """Rows, column means and co-deviations (columns x columns) of a group of rows; ``gaps`` are the columns that it misses."""
+    n: int
+    mean: np.ndarray
+    scatter: np.ndarray
+    gaps: tuple[int, ...] = ()
+
+
+def group_moments(df: DataFrame, cols: Sequence[str], by: Sequence[str], gaps: Sequence[str] = ()) -> list[tuple[tuple, Moments]]:
+    """(key, moments) for every group of ``by`` and of cells missing (NULL or NaN) in ``gaps``, in one aggregate whose groups, and not
+    rows, reach the driver. Any other missing or infinite cell is an error, as it is for an MLlib fit."""
+    k = len(cols)
+    x = [F.col(c).cast("double") for c in cols]
+    empty = [x[i].isNull() | F.isnan(x[i]) for i in range(k)]
+    own = [F.when(~empty[i], x[i]) if c in gaps else x[i] for i, c in enumerate(cols)]
+    bad = F.lit(False)
+    for i, c in enumerate(cols):
+        bad = bad | (F.abs(x[i]) == float("inf")) | (F.lit(False) if c in gaps else empty[i])
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    marks = {f"_gap{i}": empty[i] for i, c in enumerate(cols) if c in gaps}
+    rows = df.select(*by, *[e.alias(m) for m, e in marks.items()], *[o.alias(f"_c{i}") for i, o in enumerate(own)], F.coalesce(bad, F.lit(False)).alias("_bad"))
+    got = rows.groupBy(*by, *marks).agg(
+        F.count("*").alias("_n"), F.count_if("_bad").alias("_bad"), *[F.avg(f"_c{i}").alias(f"_m{i}") for i in range(k)],
+        *[F.covar_pop(f"_c{i}", f"_c{j}").alias(f"_s{i}_{j}") for i, j in pairs]).collect()
+    out = []
+    for r in got:
+        if r["_bad"]:
+            raise ValueError(f"{r['_bad']} rows with a missing or infinite cell in {', '.join(c for c in cols)}")
+        mean = np.array([0.0 if r[f"_m{i}"] is None else r[f"_m{i}"] for i in range(k)])
+        scatter = np.zeros((k, k))
+        for i, j in pairs:
+            scatter[i, j] = scatter[j, i] = (r[f"_s{i}_{j}"] or 0.0) * r["_n"]
+        out.append((tuple(r[c] for c in by), Moments(r["_n"], mean, scatter, tuple(int(m[4:]) for m in marks if r[m]))))
+    return out
+
+
+def observed_mean(parts: Sequence[Moments], col: int) -> float:
+    """The mean of a column over the rows that have it."""
+    there = [p for p in parts if col not in p.gaps]
+    n = sum(p.n for p in there)
+    if not n:
+        raise ValueError("no row has a value to take the mean of")
+    return float(sum(p.n * p.mean[col] for p in there) / n)
+
+
+def merge_moments(parts: Sequence[Moments], fills: dict[int, float]) -> Moments:
+    """The moments of all rows together once each gap holds its column's fill."""
+    n = sum(p.n for p in parts)
+    means = []
+    for p in parts:
+        mean = p.mean.copy()
+        for i in p.gaps:
+            mean[i] = fills[i]
+        means.append(mean)  # a constant has no co-deviation: the scatter of a gap is zero already
+    mean = sum(p.n * m for p, m in zip(parts, means)) / n
+    scatter = sum(p.scatter + p.n * np.outer(m - mean, m - mean) for p, m in zip(parts, means))
+    return Moments(n, mean, scatter)
+
+
+def rows_of_moments(m: Moments) -> list[tuple[float, np.ndarray]]:
+    """(weight, row): two weighted rows for each column with these moments, so that a fit by least squares on them (penalised or not)
+    is the fit on the rows that the moments were taken from."""
+    k = len(m.mean)
+    sd = np.sqrt(np.diag(m.scatter) / m.n)
+    scale = np.where(sd > 0, sd, 1.0)
+    size, axes = np.linalg.eigh(m.scatter / m.n / np.outer(scale, scale))  # of the correlations: columns differ in scale
+    steps = np.sqrt(k * np.maximum(size, 0.0)) * axes * sd[:, None]
+    return [(m.n / (2 * k), m.mean + side * steps[:, i]) for i in range(k) for side in (1.0, -1.0)]
+
+
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(a, b, n, corr) for every pair of columns a before b: Pearson correlation of their complete pairs, NULL where one is constant there."""
     got, rows = comoments(df, cols), []
