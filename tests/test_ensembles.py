@@ -62,6 +62,35 @@ def test_blocks_and_going_on_fit_each_round_once(rows, monkeypatch):
         assert np.isclose(whole.curve[5][0][k], off[~held].mean()) and np.isclose(whole.curve[5][1][k], off[held].mean())
 
 
+def test_cells_give_the_trees_of_the_rows_and_a_round_reads_the_table_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, [9, 30, 4], size=(1500, 3)).astype(float)
+    y = 0.3 * x[:, 0] + np.where(x[:, 1] > 17, 2.0, 0.0) + rng.normal(scale=0.3, size=1500)
+    df = spark.createDataFrame([(i, i % 3, *map(float, x[i]), float(y[i])) for i in range(1500)], "id long, fold int, a double, b double, c double, y double").cache()
+    kind = {"rounds": 6, "step": 0.3, "block": 3, "folds": 3, "row_share": 0.7, "column_share": 0.6, "min_rows": 10}
+    plain = N.boost(df, NAMES, "y", "id", **kind)
+    sizes = []
+    real = DecisionTreeRegressor.fit
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", lambda self, d: sizes.append(d.count()) or real(self, d))
+    cells = N.boost(df, NAMES, "y", "id", cells_over=100, **kind)
+    assert len(sizes) == 18 and max(sizes) <= 2 * 9 * 30 and cells.levels is not None and plain.levels is None
+    assert np.allclose(plain.curve, cells.curve) and np.allclose(plain.gains, cells.gains)
+    for r in (cells.predict(df, model=1).orderBy("id").collect(), cells.table.select("id", F.col("_margin1").alias("prediction")).orderBy("id").collect()):
+        assert np.allclose([v.prediction for v in r], [v.prediction for v in plain.predict(df, model=1).orderBy("id").collect()])
+
+
+def test_levels_of_many_values_are_quantiles_and_missing_cells_an_error(rows, spark):
+    df, x, _ = rows
+    edges = N.column_levels(df, NAMES)
+    assert all(len(e) == 32 for e in edges) and edges[0][-1] == x[:, 0].max()
+    many = N.boost(df, NAMES, "y", "id", rounds=4, step=0.5, cells_over=0, depth=2)
+    assert many.curve[-1][0][0] < many.curve[0][0][0]
+    margin = np.array([r[0] for r in many.table.orderBy("id").select("_margin0").collect()])
+    assert np.allclose(margin, [r.prediction for r in many.predict(df).orderBy("id").collect()])
+    with pytest.raises(ValueError, match="missing"):
+        N.column_levels(spark.createDataFrame([(1.0,), (None,)], "a double"), ["a"])
+
+
 def test_the_reference_length_ends_by_the_stop(rows):
     df, _, _ = rows
     made = N.boost(df, NAMES, "y", "id", rounds=3000, patience=6, step=0.9, folds=3, block=8)
