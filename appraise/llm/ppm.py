@@ -1,14 +1,16 @@
 """Language-model scores by prediction by partial matching over bytes, pretrained on the training fold.
 
 One scan of the training rows counts all 6-byte grams (five bytes of context and the next byte; a text is
-padded in front and ends with an end symbol) and all tokens. The counts of shorter contexts are their sums. The
-trie holds a context's next byte where it makes up at least ``TRIE_SHARE`` of all positions, so a trie of
-any corpus has at most 1 / TRIE_SHARE bytes an order and can be broadcast; what a context has lost that way counts as its
-escapes, besides one for each byte it holds. A byte is coded in the longest context that the trie has; if it is not
+padded in front and ends with an end symbol) and all tokens. The counts of shorter contexts are their sums. A
+context has an escape for each byte seen after it. A byte is coded in the longest context that was seen; if it is not
 there, an escape leads to the next shorter context, where the bytes of the longer one are excluded; beyond
 order 0, the bytes left are equally likely. The log probabilities of all bytes of A-Z lower-cased text and of its end
 add up to the score.
 
+A byte's log probability depends on its gram only, so grams are looked up, not walked. Those that make up at least
+``TRIE_SHARE`` of all positions, of which any corpus has at most 1 / TRIE_SHARE, are broadcast; a text's other grams are joined to the tables
+of the trie, those never seen order by order.
+
 The base score needs every token's count. Tokens that make up at least ``TOKEN_SHARE`` of all are broadcast (at most 1 /
 TOKEN_SHARE); the other tokens of a text are joined to the table of all counts.
 
@@ -122,75 +124,67 @@ class Index:
 
 
 class Trie:
-    """For each order: contexts, their next bytes' counts, and escapes with and without the longer context's bytes."""
-
-    def __init__(self, contexts: list[dict]):
-        """contexts[k]: arrays ctx, total (all occurrences) and key, n (the bytes held: ctx << 8 | byte, count), by order."""
-        self.orders, parent = [], None
-        for level in contexts:
-            order = np.argsort(level["ctx"])
-            ctx, total = level["ctx"][order].astype(np.uint64), level["total"][order].astype(float)
-            key, n = level["key"].astype(np.uint64), level["n"].astype(float)
-            where = np.searchsorted(ctx, key >> np.uint64(8))
-            held = np.bincount(where, weights=n, minlength=len(ctx))
-            kinds = np.bincount(where, minlength=len(ctx))
-            escape = total - held + kinds
-            made = {"ctx": Index(ctx), "key": Index(key), "n": n, "logn": np.log10(n), "kinds": kinds, "held": held, "lost": total - held,
-                    "log_all": np.log10(held + escape), "log_escape": np.log10(escape) - np.log10(held + escape)}
-            if parent is not None:
-                k = len(self.orders)
-                up = parent["ctx"].find(ctx & np.uint64((1 << 8 * (k - 1)) - 1))
-                same = parent["key"].find(key & np.uint64((1 << 8 * k) - 1))
-                rest = parent["held"][up] - np.bincount(where, weights=parent["n"][same], minlength=len(ctx))
-                out = parent["lost"][up] + parent["kinds"][up] - kinds
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    made["up_log_all"] = np.log10(rest + out)
-                    made["up_log_escape"] = np.where(rest + out > 0, np.log10(out) - made["up_log_all"], 0.0)
-            self.orders.append(made)
-            parent = made
-        self.left = SYMBOLS - (int(self.orders[0]["kinds"][0]) if self.orders and len(self.orders[0]["kinds"]) else 0)
-        for made in self.orders:  # what only the next order's making needs
-            for name in ("n", "kinds", "held", "lost"):
-                del made[name]
+    """Every context of the counted grams and every byte seen after it, as tables.
+
+    seen: key, n, log: each whole gram, its count and the log probability of its last byte after the others. grams: k, key, n by
+    order k. contexts: k, ctx and, of the context's own bytes, norm (log of their count with the escapes) and escape (its log
+    probability); up_norm and up_escape are the same in the next shorter context without these bytes."""
+
+    def __init__(self, grams: DataFrame, share: float):
+        total = grams.agg(F.sum("n")).first()[0] or 0
+        every = grams.select(F.explode(F.sequence(F.lit(0), F.lit(ORDER))).alias("k"), "key", "n") \
+            .groupBy("k", F.expr("key & (shiftleft(1L, 8 * (k + 1)) - 1)").alias("key")).agg(F.sum("n").alias("n"))
+        every = tables.written(every, "ppm-orders")
+        self.total, held = total, F.col("n") >= share * total
+        self.grams = every.where(held)
+        shorter = self.grams.select((F.col("k") + 1).alias("k"), F.col("key").alias("up_key"), F.col("n").alias("up_n"))
+        by = every.withColumn("up_key", F.expr("key & (shiftleft(1L, 8 * k) - 1)")).join(shorter, ["k", "up_key"], "left") \
+            .groupBy("k", F.shiftright("key", 8).alias("ctx")).agg(
+                F.sum("n").alias("total"), F.sum(F.when(held, F.col("n"))).alias("held"), F.count_if(held).alias("kinds"),
+                F.sum(F.when(held, F.coalesce("up_n", F.lit(0)))).alias("shared")).where("kinds > 0")
+        by = tables.written(by, "ppm-contexts")
+        above = by.select((F.col("k") + 1).alias("k"), F.col("ctx").alias("up_ctx"), F.col("held").alias("up_held"),
+                          (F.col("total") - F.col("held") + F.col("kinds")).alias("up_out"))
+        norm, out = F.log10(F.col("total") + F.col("kinds")), F.col("up_out") - F.col("kinds")
+        left = F.col("up_held") - F.col("shared") + out  # 0 where the longer context has all that the shorter one has
+        self.contexts = tables.written(by.withColumn("up_ctx", F.expr("ctx & (shiftleft(1L, 8 * (k - 1)) - 1)")).join(above, ["k", "up_ctx"], "left").select(
+            "k", "ctx", norm.alias("norm"), (F.log10(F.col("total") - F.col("held") + F.col("kinds")) - norm).alias("escape"),
+            F.when(left > 0, F.log10(left)).alias("up_norm"), F.when(left > 0, F.log10(out) - F.log10(left)).otherwise(0.0).alias("up_escape")), "ppm-escapes")
+        root = by.where("k = 0").first()
+        self.left = SYMBOLS - (root.kinds if root else 0)
+        longest = self.contexts.where(F.col("k") == ORDER).select("ctx", "norm")
+        self.seen = tables.written(self.grams.where(F.col("k") == ORDER).withColumn("ctx", F.shiftright("key", 8)).join(longest, "ctx")
+                                   .select("key", "n", (F.log10("n") - F.col("norm")).alias("log")), "ppm-seen")
+
+    def logs(self, codes: DataFrame) -> DataFrame:
+        """key, log of the distinct ``codes`` (key): the log probability of each coded symbol after its context."""
+        found = tables.written(codes.join(self.seen.select("key", "log"), "key", "left"), "ppm-looked-up")
+        none = F.lit(None).cast("double")
+        now = found.where("log is null").select("key", F.lit(0.0).alias("sum"), none.alias("up_norm"), none.alias("up_escape"), none.alias("log"))
+        for k in range(ORDER, -1, -1):
+            context = self.contexts.where(F.col("k") == k).select("ctx", "norm", "escape", F.col("up_norm").alias("next_norm"), F.col("up_escape").alias("next_escape"))
+            now = now.withColumn("ctx", F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * k) - 1))).join(context, "ctx", "left")
+            if k < ORDER:
+                gram = self.grams.where(F.col("k") == k).select(F.col("key").alias("gram"), "n")
+                now = now.withColumn("gram", F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))).join(gram, "gram", "left")
+                # the bytes of the longer context, where it is known, are excluded here
+                now = now.withColumn("log", F.coalesce("log", F.col("sum") + F.log10("n") - F.coalesce("up_norm", "norm")))
+            step = F.when(F.col("norm").isNotNull(), F.coalesce("up_escape", "escape")).otherwise(0.0)
+            now = now.select("key", (F.col("sum") + step).alias("sum"), F.col("next_norm").alias("up_norm"), F.col("next_escape").alias("up_escape"), "log")
+        rest = now.select("key", F.coalesce("log", F.col("sum") - F.log10(F.lit(float(max(self.left, 1))))).alias("log"))
+        return found.where("log is not null").select("key", "log").union(rest)
 
     def log10(self, code: np.ndarray) -> np.ndarray:
-        """Log probability of each coded symbol after its context."""
-        out = np.zeros(len(code))
-        todo, child, child_order = np.arange(len(code)), np.full(len(code), -1), None
-        for k in range(len(self.orders) - 1, -1, -1):
-            o, longer = self.orders[k], self.orders[k + 1] if k + 1 < len(self.orders) else None
-            c = code[todo]
-            ctx = o["ctx"].find((c >> np.uint64(8)) & np.uint64((1 << 8 * k) - 1))
-            known = ctx >= 0
-            gram = np.where(known, o["key"].find(c & np.uint64((1 << 8 * (k + 1)) - 1)), -1)
-            after = known & (child >= 0)
-            plain = known & (child < 0)
-            if longer is not None and after.any():
-                i, g = child[after], gram[after]
-                out[todo[after]] += np.where(g >= 0, o["logn"][g] - longer["up_log_all"][i], longer["up_log_escape"][i])
-            i, g = ctx[plain], gram[plain]
-            out[todo[plain]] += np.where(g >= 0, o["logn"][g] - o["log_all"][i], o["log_escape"][i])
-            rest = gram < 0
-            todo, child = todo[rest], ctx[rest]
-        out[todo] -= np.log10(self.left)
-        return out
-
-
-def build(grams: DataFrame, share: float = TRIE_SHARE) -> Trie:
-    """The trie of a table of gram counts (key, n)."""
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    levels = []
-    for k in range(ORDER + 1):
-        key = F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
-        each = grams.groupBy(key.alias("key")).agg(F.sum("n").alias("n")) if k < ORDER else grams
-        held = F.col("n") >= share * total
-        by = each.groupBy(F.shiftright("key", 8).alias("ctx")).agg(
-            F.sum("n").alias("total"), F.collect_list(F.when(held, F.struct("key", "n"))).alias("held")).where(F.size("held") > 0)
-        got = by.select("ctx", "total", F.col("held.key").alias("key"), F.col("held.n").alias("n")).toArrow().combine_chunks()
-        flat = {c: pa.chunked_array([x for x in got[c].chunks] or [pa.array([], pa.list_(pa.int64()))]).combine_chunks() for c in ("key", "n")}
-        levels.append({"ctx": got["ctx"].to_numpy(), "total": got["total"].to_numpy(),
-                       "key": flat["key"].flatten().to_numpy(), "n": flat["n"].flatten().to_numpy()})
-    return Trie(levels if total else [])
+        """Log probability of each of a few coded symbols after its context."""
+        spark, codes = self.seen.sparkSession, np.unique(code.astype(np.int64))
+        got = self.logs(spark.createDataFrame(pa.table({"key": codes}))).toArrow().sort_by("key")
+        return got["log"].to_numpy()[np.searchsorted(codes, code.astype(np.int64))]
+
+
+def build(grams: DataFrame, share: float = 0.0) -> Trie:
+    """The trie of a table of gram counts (key, n). With a ``share``, a context's next byte that makes up less of all positions counts
+    as the context's escapes; by default the trie holds them all."""
+    return Trie(grams, share)
 
 
 def score(docs: DataFrame, train: DataFrame) -> DataFrame:
@@ -202,35 +196,48 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     common = tokens.where(F.col("n") >= TOKEN_SHARE * of.all).toArrow()
     common = common["key"].to_numpy(), common["n"].to_numpy()
     over = np.log10(of.all + 0.1 * (of.kinds + 1))
-    sent = spark.sparkContext.broadcast((build(grams), Index(common[0].view(np.uint64)), np.log10(common[1] + 0.1) - over))
+    trie = build(grams)
+    often = trie.seen.where(F.col("n") >= TRIE_SHARE * trie.total).select("key", "log").toArrow()
+    sent = spark.sparkContext.broadcast((Index(often["key"].to_numpy().view(np.uint64)), often["log"].to_numpy(),
+                                         Index(common[0].view(np.uint64)), np.log10(common[1] + 0.1) - over))
     end = dict(zip(*map(np.ndarray.tolist, common), strict=True)).get(END_TOKEN, 0)
 
+    def lists(keys, owner, n):
+        off = np.zeros(n + 1, np.int32)
+        np.cumsum(np.bincount(owner, minlength=n), out=off[1:])
+        return pa.ListArray.from_arrays(pa.array(off), pa.array(keys))
+
     def run(batches):
-        number, (trie, index, logs) = tables.Rows(), sent.value
+        number, (known, known_logs, index, logs) = tables.Rows(), sent.value
         for batch, t in slices(batches):
             code, begin = gram_codes(t)
-            model = np.add.reduceat(trie.log10(code), begin)
+            of_text = np.repeat(np.arange(t.n), np.diff(np.append(begin, len(code))))
+            at = known.find(code)
+            met = at >= 0
+            model = np.bincount(of_text[met], weights=known_logs[at[met]], minlength=t.n).astype(float)
+            grams = lists(code[~met].view(np.int64), of_text[~met], t.n)
             tokens, count = _tokens(t)
             owner = np.repeat(np.arange(t.n), count)
             at = index.find(tokens.view(np.uint64))
             hit = at >= 0
             base = np.bincount(owner[hit], weights=logs[at[hit]], minlength=t.n) + np.log10(end + 0.1) - over
             here = np.bincount(owner[hit], minlength=t.n) + (end > 0)
-            rest = np.bincount(owner[~hit], minlength=t.n)
-            off = np.zeros(t.n + 1, np.int32)
-            np.cumsum(rest, out=off[1:])
             yield pa.RecordBatch.from_arrays([
                 number.take(t.n), batch.column(0), batch.column(2), pa.array((count + 1).astype(np.int64)), pa.array(here.astype(np.int64)),
-                pa.array(base), pa.array(model), pa.ListArray.from_arrays(pa.array(off), pa.array(tokens[~hit]))],
-                ["rid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rest"])
+                pa.array(base), pa.array(model), lists(tokens[~hit], owner[~hit], t.n), grams],
+                ["rid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rest", "grams"])
     rows = tables.documents(docs, (~tables.training("doc_id", FOLD)).alias("held_out")).mapInArrow(
-        run, "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<long>")
+        run, "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<long>, grams array<long>")
     rows = tables.written(rows, "ppm-scored")
     sent.destroy()
     rare = rows.select("rid", F.explode("rest").alias("key")).join(tokens.where(F.col("n") < TOKEN_SHARE * of.all), "key", "left")
     c = F.coalesce(F.col("n"), F.lit(0))
     more = rare.groupBy("rid").agg(F.sum(F.log10(c + 0.1) - F.lit(float(over))).alias("rest_base"), F.sum((c > 0).cast("long")).alias("rest_known"))
+    seldom = rows.select("rid", F.explode("grams").alias("key"))
+    found = tables.written(trie.logs(seldom.select("key").distinct()), "ppm-seldom")
+    rest = seldom.join(found, "key").groupBy("rid").agg(F.sum("log").alias("rest_score"))
     zero = F.lit(0)
-    return rows.drop("rest").join(more, "rid", "left").select(
+    return rows.drop("rest", "grams").join(more, "rid", "left").join(rest, "rid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rest_known", zero)).alias("n_known"),
-        F.lit(of.all).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest_base", F.lit(0.0))).alias("base_score"), "score")
+        F.lit(of.all).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest_base", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("rest_score", F.lit(0.0))).alias("score"))

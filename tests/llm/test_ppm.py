@@ -78,6 +78,31 @@ def test_probabilities_of_all_next_symbols_add_up_to_one(spark):
         assert total == pytest.approx(1, abs=1.1 * 10 ** t.log10(code).min() + 1e-9)  # the 257th symbol stands for none
 
 
+@pytest.mark.parametrize("common", [2.0, 0.002])
+def test_grams_that_are_joined_score_as_those_that_are_broadcast(spark, common, monkeypatch):
+    docs = [d for d in odd_texts() if d[0] not in (8, 9)] + [(100 + i, text_of(20 + i, i, 40 if i % 2 else 4000)) for i in range(30)]
+    monkeypatch.setattr(ppm, "TRIE_SHARE", common)
+    df = frame(spark, docs)
+    got = ppm.score(df, df.where(training("doc_id", ppm.FOLD))).collect()
+    levels = trie([t for i, t in docs if zlib.crc32((str(i) if i is not None else "").encode()) % 10], 0)
+    want = sorted(((i, brute(levels, t)) for i, t in docs), key=repr)
+    for a, b in zip(sorted(((r.doc_id, r.score) for r in got), key=repr), want, strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], rel=1e-9)
+
+
+def test_a_byte_seen_once_among_millions_counts(spark):
+    """Of 5 million positions one is less than a share of 2^-22."""
+    n, rare = 5_000_000, text_of(20, 3)
+    levels = trie(["a" * 20, rare], 0)
+    for k, level in enumerate(levels):  # the other n - 20 times that an "a" follows some
+        total, held = level[(97,) * k]
+        level[(97,) * k] = (total + n - 20, {**held, 97: held[97] + n - 20})
+    train = frame(spark, [(1, "a" * n), (2, rare)])
+    new = "w1 " + rare[:30] + "aab"
+    got = {r.doc_id: r.score for r in ppm.score(frame(spark, [(3, rare), (4, new)]), train).collect()}
+    assert got == {3: pytest.approx(brute(levels, rare), rel=1e-9), 4: pytest.approx(brute(levels, new), rel=1e-9)}
+
+
 def test_index_finds_its_keys_only():
     rng = np.random.default_rng(5)
     keys = np.unique(rng.integers(0, 1 << 40, 5000)).astype(np.uint64)
