@@ -81,6 +81,21 @@ def test_random_split_exact_size(spark):
     assert out.where("is_train").count() == math.floor(0.75 * n)
 
 
+@pytest.mark.parametrize("resamples", [3, 7])
+def test_bootstrap_columns_are_the_weights_of_each_resample(spark, resamples):
+    ids = spark.createDataFrame([(f"k{i % 350}",) for i in range(400)], "id string")
+    wide = {r.id: tuple(r)[1:] for r in R.bootstrap_columns(ids, "id", resamples).collect()}
+    long = {}
+    for r in R.bootstrap_weights(ids, "id", resamples).collect():
+        long.setdefault(r.id, [0] * resamples)[r.resample] += r.weight
+    assert wide == {k: tuple(v) for k, v in long.items()} and sum(map(sum, wide.values())) == 400 * resamples
+
+
+def test_bootstrap_rows_are_shuffled_once_for_all_resamples(spark):
+    plan = R.bootstrap_columns(spark.range(5000), "id", 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+
+
 def test_bootstrap_weights_are_n_draws(spark):
     p = S.properties(spark, SF_SMALL).select("id_parcel")
     n = p.count()
